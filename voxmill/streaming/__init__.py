@@ -1,0 +1 @@
+"""Nothing lives here: the work this package covers is batch only."""
