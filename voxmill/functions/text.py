@@ -12,6 +12,9 @@ SPACE = (
     r"\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
+# A word boundary with letters and digits of all scripts, whatever the regex engine's default.
+_WORD = r"[\p{L}\p{N}_]"
+BOUNDARY = f"(?:(?<={_WORD})(?!{_WORD})|(?<!{_WORD})(?={_WORD}))"
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 
 
@@ -87,7 +90,7 @@ def keyword_hits(lowered: Column, keywords: Sequence[str]) -> Column:
 
 def extract_year(c: Column) -> Column:
     """First stand-alone 19xx or 20xx; null when there is none."""
-    return F.regexp_extract(c, r"\b(19|20)\d{2}\b", 0).try_cast("int")
+    return F.regexp_extract(c, BOUNDARY + r"(19|20)\d{2}" + BOUNDARY, 0).try_cast("int")
 
 
 def split_sentences(c: Column) -> Column:

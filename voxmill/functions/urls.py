@@ -8,7 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from voxmill.config import DEFAULT_SITE, Site
-from voxmill.functions import text as tx
 
 # Paths that are site pages, not categories.
 NON_CATEGORY_PATHS = [
@@ -20,8 +19,8 @@ SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
 
 
 def absolute_url(href: Column, site: Site = DEFAULT_SITE) -> Column:
-    """Resolve a link against the site's root."""
-    h = tx.trim_ws(href)
+    """Resolve a link, without white space around it, against the site's root."""
+    h = href
     root = site.base_url.rstrip("/")
     path = F.concat(F.lit("/"), F.regexp_replace(F.regexp_extract(h, "^[^?#]*", 0), "^/", ""))
     tail = F.regexp_extract(h, r"[?#].*$", 0)

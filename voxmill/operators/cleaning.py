@@ -67,7 +67,7 @@ def fill_defaults(records: DataFrame, site: Site = DEFAULT_SITE) -> DataFrame:
         "comment_count": F.coalesce("comment_count", F.lit(0)),
         "is_featured_review": F.coalesce("is_featured_review", F.lit(False)),
         "breadcrumbs": F.coalesce("breadcrumbs", F.array().cast("array<string>")),
-        "comments": F.coalesce("comments", F.array().cast(f"array<{schemas.COMMENT}>")),
+        "comments": F.coalesce("comments", F.array().cast(schemas.COMMENTS)),
         "raw_url": either("raw_url", ""),
     })
 

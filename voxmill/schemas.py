@@ -6,46 +6,49 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-COMMENT = (
-    "struct<comment_id:string,author_name:string,author_location:string,posted_at:string,"
-    "text:string,helpful_count:int,is_company_response:boolean>"
-)
+S, I, B, D = T.StringType(), T.IntegerType(), T.BooleanType(), T.DoubleType()
+STRINGS = T.ArrayType(S)
+
+
+def struct(**fields: T.DataType) -> T.StructType:
+    """A struct type from names and types; needs no running session."""
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
-RAW_REVIEW = T.StructType.fromDDL(
-    "record_id string, source string, company string, category string,"
-    "breadcrumbs array<string>, title string, review_text string, review_date string,"
-    "review_updated_date string, reviewer_name string, reviewer_location string, rating double,"
-    "comment_count int, helpful_count int, claimed_loss string, desired_outcome string,"
-    f"is_featured_review boolean, comments array<{COMMENT}>, full_text_with_comments string,"
-    "has_return_mention boolean, has_warranty_mention boolean,"
-    "is_warranty_return_relevant boolean, relevance_score int, raw_url string,"
-    "discovery_source string, scraped_at string"
+
+COMMENT_TYPE = struct(
+    comment_id=S, author_name=S, author_location=S, posted_at=S, text=S, helpful_count=I,
+    is_company_response=B,
+)
+COMMENTS = T.ArrayType(COMMENT_TYPE)
+
+RAW_REVIEW = struct(
+    record_id=S, source=S, company=S, category=S, breadcrumbs=STRINGS, title=S, review_text=S,
+    review_date=S, review_updated_date=S, reviewer_name=S, reviewer_location=S, rating=D,
+    comment_count=I, helpful_count=I, claimed_loss=S, desired_outcome=S, is_featured_review=B,
+    comments=COMMENTS, full_text_with_comments=S, has_return_mention=B, has_warranty_mention=B,
+    is_warranty_return_relevant=B, relevance_score=I, raw_url=S, discovery_source=S,
+    scraped_at=S,
 )
 
-CLEAN_REVIEW = T.StructType.fromDDL(
-    "record_id string, source string, company string, category string,"
-    "breadcrumbs array<string>, title string, review_text string,"
-    "review_text_normalized string, full_text_with_comments string, tokens array<string>,"
-    "review_date string, review_updated_date string, reviewer_name string,"
-    "reviewer_location string, rating double, comment_count int, helpful_count int,"
-    "claimed_loss string, desired_outcome string, is_featured_review boolean,"
-    f"comments array<{COMMENT}>, has_return_mention boolean, has_warranty_mention boolean,"
-    "issue_labels array<string>, root_cause_suggestion string, reliability_score double,"
-    "discovery_source string, raw_url string"
+CLEAN_REVIEW = struct(
+    record_id=S, source=S, company=S, category=S, breadcrumbs=STRINGS, title=S, review_text=S,
+    review_text_normalized=S, full_text_with_comments=S, tokens=STRINGS, review_date=S,
+    review_updated_date=S, reviewer_name=S, reviewer_location=S, rating=D, comment_count=I,
+    helpful_count=I, claimed_loss=S, desired_outcome=S, is_featured_review=B, comments=COMMENTS,
+    has_return_mention=B, has_warranty_mention=B, issue_labels=STRINGS, root_cause_suggestion=S,
+    reliability_score=D, discovery_source=S, raw_url=S,
 )
 
-FEATURES = T.StructType.fromDDL(
-    "feature_token_count int, feature_return_hits int, feature_warranty_hits int,"
-    "feature_focus_score int"
+FEATURES = struct(
+    feature_token_count=I, feature_return_hits=I, feature_warranty_hits=I, feature_focus_score=I
 )
 
-ENRICHMENT = T.StructType.fromDDL(
-    "ai_predicted_issue string, ai_confidence double, ai_root_cause_suggestion string,"
-    "ai_sentiment string, ai_sentiment_score double, ai_summary string,"
-    "ai_domain_relevance string"
+ENRICHMENT = struct(
+    ai_predicted_issue=S, ai_confidence=D, ai_root_cause_suggestion=S, ai_sentiment=S,
+    ai_sentiment_score=D, ai_summary=S, ai_domain_relevance=S,
 )
 
-PAGE = T.StructType.fromDDL("page_id long, url string, html string")
+PAGE = struct(page_id=T.LongType(), url=S, html=S)
 
 
 def complete(df: DataFrame, schema: T.StructType) -> DataFrame:

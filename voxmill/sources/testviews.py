@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.schemas import COMMENT
+from voxmill.schemas import COMMENTS
 
 # Opening sentences by n_chars modulo 12 (10 and 11 have none).
 OPENINGS = [
@@ -81,7 +81,6 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("o_orderdate").isNotNull(),
             F.format_string("Mar %d, %d", F.dayofmonth("o_orderdate"), year),
         )
-        # concat() of missing parts: Spark and DuckDB differ, orders exist for every document.
         .alias("review_date"),
         F.when((doc_id % 5 == 0) & F.col("o_orderdate").isNotNull(),
                F.format_string("Apr 2, %d", year + 1))
@@ -106,7 +105,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("full_text_with_comments", F.concat_ws(" ", "review_text", "comment_text"))
         .withColumn(
             "comments",
-            F.when(F.col("comment_text").isNotNull(), F.array(comment)).cast(f"array<{COMMENT}>"),
+            F.when(F.col("comment_text").isNotNull(), F.array(comment)).cast(COMMENTS),
         )
         .drop("comment_text")
     )
@@ -143,3 +142,40 @@ def review_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "seq", F.col("raw_url").alias("url"),
         F.when(F.col("seq") % 19 == 0, bare).otherwise(html).alias("html"),
     )
+
+
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing pages that link to the reviews: ten items a page, four pages a listing.
+
+    Even listings have "Next" links, odd ones only page numbers.
+    """
+    docs = table(spark, sf_dir, "documents").select(
+        F.expr("doc_id div 40").alias("listing_no"),
+        F.expr("(doc_id div 10) % 4 + 1").alias("page_no"),
+        F.struct(
+            "doc_id",
+            F.format_string('<p><a href="/item-c%d?from=list">item</a></p>', F.col("n_chars"))
+            .alias("link"),
+        ).alias("item"),
+    )
+    # A page collects at most ten rows.
+    pages = docs.groupBy("listing_no", "page_no").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list("item")), lambda x: x["link"]), "")
+        .alias("items")
+    )
+    base = F.format_string("/categories/l%d?page=", "listing_no")
+    numbers = F.concat(*[
+        F.concat(F.lit('<a href="'), base, F.lit(f'{n}">{n}</a>')) for n in (1, 2, 3, 4)
+    ])
+    following = F.when(
+        (F.col("listing_no") % 2 == 0) & (F.col("page_no") < 4),
+        F.concat(F.lit('<a href="'), base, (F.col("page_no") + 1).cast("string"),
+                 F.lit('">Next</a>')),
+    ).otherwise("")
+    return pages.select(
+        "listing_no", "page_no",
+        F.concat(F.lit("https://reviews.example.org"), base, F.col("page_no").cast("string"))
+        .alias("url"),
+        F.concat(F.lit("<html><body><h2>List</h2>"), "items", numbers, following,
+                 F.lit("</body></html>")).alias("html"),
+    )
