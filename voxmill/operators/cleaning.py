@@ -13,6 +13,7 @@ from voxmill import schemas
 from voxmill.config import DEFAULT_SITE, Site
 from voxmill.functions import labels as lb
 from voxmill.functions import text as tx
+from voxmill.functions.once import once
 from voxmill.operators.numbering import positions
 
 
@@ -79,11 +80,12 @@ def add_clean_text(
     words = lx.default_stopwords(site.name) if stopwords is None else stopwords
     source = F.coalesce(tx.non_empty(F.col("full_text_with_comments")), F.col("review_text"))
     return (
-        records.withColumn("_text", tx.normalize_text(source))
-        .withColumn("tokens", tx.tokenize_normalized(F.col("_text"), words))
+        records.withColumn("_text", once(tx.normalize_text(source)))
+        .withColumn("tokens", once(tx.tokenize_normalized(F.col("_text"), words)))
         .withColumn(
             "review_text_normalized",
-            F.when(F.size("tokens") > 0, F.array_join("tokens", " ")).otherwise(F.col("_text")),
+            once(F.when(F.size("tokens") > 0, F.array_join("tokens", " "))
+                 .otherwise(F.col("_text"))),
         )
     )
 
@@ -92,7 +94,7 @@ def add_labels(records: DataFrame) -> DataFrame:
     """Labels from ``_text``; mention flags from the stop-word filtered text."""
     kept = F.col("review_text_normalized")
     return (
-        records.withColumn("issue_labels", lb.issue_labels(F.col("_text")))
+        records.withColumn("issue_labels", once(lb.issue_labels(F.col("_text"))))
         .withColumns({
             "has_return_mention": tx.contains_any(kept, lx.CLEAN_RETURN_KEYWORDS),
             "has_warranty_mention": tx.contains_any(kept, lx.CLEAN_WARRANTY_KEYWORDS),

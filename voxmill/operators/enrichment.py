@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from voxmill.functions import labels as lb
 from voxmill.functions import text as tx
+from voxmill.functions.once import once
 
 
 def _opinion_text():
@@ -19,8 +20,8 @@ def _opinion_text():
 def add_sentiment(records: DataFrame) -> DataFrame:
     """The label uses the unrounded balance; the stored score has four digits."""
     return (
-        records.withColumn("_opinion", F.lower(_opinion_text()))
-        .withColumn("_balance", lb.sentiment_balance(F.col("_opinion")))
+        records.withColumn("_opinion", once(F.lower(_opinion_text())))
+        .withColumn("_balance", once(lb.sentiment_balance(F.col("_opinion"))))
         .withColumns({
             "ai_sentiment": lb.sentiment_label(F.col("_balance")),
             "ai_sentiment_score": F.round("_balance", 4),
@@ -32,7 +33,7 @@ def add_sentiment(records: DataFrame) -> DataFrame:
 def add_summary(records: DataFrame, max_sentences: int = 2) -> DataFrame:
     return (
         records.withColumn("_opinion", _opinion_text())
-        .withColumn("_sentences", tx.split_sentences(F.col("_opinion")))
+        .withColumn("_sentences", once(tx.split_sentences(F.col("_opinion"))))
         .withColumn(
             "ai_summary",
             lb.summarize(F.col("_opinion"), F.col("_sentences"), max_sentences=max_sentences),

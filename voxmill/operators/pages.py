@@ -18,6 +18,7 @@ from voxmill import schemas
 from voxmill.config import DEFAULT_SITE, Site
 from voxmill.functions import text as tx
 from voxmill.functions.candidates import find_review
+from voxmill.functions.once import once
 from voxmill.sources.shipping import ship_package
 
 # Crumbs that name no category, month names and the way a place is given.
@@ -86,10 +87,10 @@ def _valid_json(c: Column) -> Column:
 def page_text(found: DataFrame) -> DataFrame:
     """Add the texts that several rules share."""
     return found.withColumns({
-        "_page": F.array_join("strings", " "),
-        "_title": F.coalesce(_at(F.col("title")), F.lit("unknown")),
-        "_h1": _at(F.col("h1")),
-        "_body": _at(F.col("body")),
+        "_page": once(F.array_join("strings", " ")),
+        "_title": once(F.coalesce(_at(F.col("title")), F.lit("unknown"))),
+        "_h1": once(_at(F.col("h1"))),
+        "_body": once(_at(F.col("body"))),
         "_box": F.array_join(
             F.slice(F.col("strings"), F.col("box.start") + 1, F.col("box.n")), " "
         ),
@@ -255,22 +256,24 @@ def extracted(
         found = found.withColumn("discovery_source", F.lit("unknown"))
     name, location = reviewer()
     staged = page_text(found).withColumns({
-        "_crumbs": breadcrumbs(),
-        "_comments": comments(),
-        "_desired": labelled_field("Desired outcome"),
+        "_crumbs": once(breadcrumbs()),
+        "_comments": once(comments()),
+        "_desired": once(labelled_field("Desired outcome")),
+        "_date": once(review_date()),
+        "_updated": once(updated_date()),
     })
     staged = staged.withColumn(
         "_comments",
-        first_of_each(
+        once(first_of_each(
             F.col("_comments"), F.transform("_comments", lambda c: c["comment_id"])
-        ),
+        )),
     )
     full = F.concat_ws(
         " ", F.array(F.col("_body"), F.col("_desired")),
         F.transform("_comments", lambda c: c["text"]),
     )
-    staged = staged.withColumn("_full", tx.collapse_ws(full))
-    staged = staged.withColumn("_lower", F.lower("_full"))
+    staged = staged.withColumn("_full", once(tx.collapse_ws(full)))
+    staged = staged.withColumn("_lower", once(F.lower("_full")))
     hits = tx.keyword_hits(F.col("_lower"), lx.PAGE_FOCUS_KEYWORDS)
     columns = {
         "record_id": F.md5("url"),
@@ -280,8 +283,8 @@ def extracted(
         "breadcrumbs": F.col("_crumbs"),
         "title": F.col("_title"),
         "review_text": F.col("_body"),
-        "review_date": review_date(),
-        "review_updated_date": updated_date(),
+        "review_date": F.col("_date"),
+        "review_updated_date": F.col("_updated"),
         "reviewer_name": name,
         "reviewer_location": location,
         "rating": rating(),
