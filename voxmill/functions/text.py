@@ -37,30 +37,33 @@ def normalize_text(c: Column) -> Column:
     return F.trim(F.regexp_replace(no_links, "[^a-z0-9]+", " "))
 
 
-def tokenize(c: Column, stopwords: Sequence[str]) -> Column:
-    """Runs of a-z and 0-9 longer than two characters that are not stop words."""
-    runs = F.regexp_extract_all(F.lower(c), F.lit("[a-z0-9]+"), F.lit(0))
-    return _drop_stopwords(runs, stopwords, longer_than=2)
+def tokenize(text: str, stopwords: Sequence[str]) -> Column:
+    """Runs of a-z and 0-9 longer than two characters that are not stop words.
 
+    This and the functions below take a column's name: a long word list is cheapest as SQL text.
+    """
+    words = f"regexp_extract_all(lower({text}), '[a-z0-9]+', 0)"
+    return _drop_stopwords(words, stopwords, longer_than=2)
 
-def tokenize_normalized(c: Column, stopwords: Sequence[str]) -> Column:
+
+def tokenize_normalized(text: str, stopwords: Sequence[str]) -> Column:
     """Same as ``tokenize`` for text that went through ``normalize_text``, with a plain split."""
-    return _drop_stopwords(F.split(c, " "), stopwords, longer_than=2)
+    return _drop_stopwords(f"split({text}, ' ')", stopwords, longer_than=2)
 
 
-def index_tokens(c: Column, stopwords: Sequence[str]) -> Column:
+def index_tokens(text: str, stopwords: Sequence[str]) -> Column:
     """Tokens of the search index: Unicode words of two or more characters, no stop words."""
-    words = F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0))
+    words = f"regexp_extract_all(lower({text}), r'[\\p{{L}}\\p{{N}}_]{{2,}}', 0)"
     return _drop_stopwords(words, stopwords)
 
 
-def _drop_stopwords(words: Column, stopwords: Sequence[str], longer_than: int = 0) -> Column:
-    def kept(word: Column) -> Column:
-        test = F.length(word) > longer_than if longer_than else F.lit(True)
-        # A long IN list becomes a hash lookup in the optimizer.
-        return test & ~word.isin(list(stopwords)) if stopwords else test
-
-    return F.filter(words, kept)
+def _drop_stopwords(words: str, stopwords: Sequence[str], longer_than: int = 0) -> Column:
+    tests = [f"length(w) > {longer_than}"] if longer_than else []
+    if stopwords:
+        # The optimizer turns a long IN list into a hash lookup.
+        listed = ", ".join("'" + word.replace("'", "\\'") + "'" for word in stopwords)
+        tests.append(f"w NOT IN ({listed})")
+    return F.expr(f"filter({words}, w -> {' AND '.join(tests) or 'true'})")
 
 
 def bigrams(tokens: Column) -> Column:

@@ -6,17 +6,13 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from voxmill.functions import labels as lb
-from voxmill.functions import text as tx
 from voxmill.operators import tfidf
 from voxmill.operators.evaluation import class_scores
 from voxmill.sources.staging import stage
@@ -111,14 +107,9 @@ def stratified_split(
 
 @dataclass(frozen=True)
 class IssueClassifier:
-    pipeline: PipelineModel
+    features: tfidf.TfidfModel
+    regression: LogisticRegressionModel
     labels: tuple[str, ...]
-    stopwords: tuple[str, ...]
-
-
-def _with_terms(docs: DataFrame, stopwords: Sequence[str]) -> DataFrame:
-    tokens = docs.withColumn("_tokens", tx.index_tokens(F.col("text"), stopwords))
-    return tokens.withColumn("_terms", tfidf.terms_of(F.col("_tokens"))).drop("_tokens")
 
 
 def fit_classifier(
@@ -126,16 +117,6 @@ def fit_classifier(
 ) -> IssueClassifier:
     """Fit on (seq, text, label). Classes weigh the same; regularisation is 1 / (c * rows)."""
     model = tfidf.fit(train.select("seq", "text"))
-    # At most max_features terms with their idf; the feature vectors need them in order.
-    vocabulary = model.vocabulary.select("term", "idf").orderBy("term").collect()
-    vectorizer = CountVectorizerModel.from_vocabulary(
-        [r.term for r in vocabulary], inputCol="_terms", outputCol="_counts"
-    )
-    scaler = ElementwiseProduct(
-        scalingVec=Vectors.dense([r.idf for r in vocabulary]),
-        inputCol="_counts", outputCol="_scaled",
-    )
-    normalizer = Normalizer(p=2.0, inputCol="_scaled", outputCol="features")
     per_class = {r.label: r["count"] for r in train.groupBy("label").count().take(MAX_CLASSES)}
     n = sum(per_class.values())
     weight, index = F.lit(1.0), F.lit(0)
@@ -143,11 +124,11 @@ def fit_classifier(
         share = n / (len(per_class) * per_class[label]) if label in per_class else 1.0
         weight = F.when(F.col("label") == label, share).otherwise(weight)
         index = F.when(F.col("label") == label, i).otherwise(index)
-    rows = _with_terms(train, model.stopwords)
-    for stage_ in (vectorizer, scaler, normalizer):
-        rows = stage_.transform(rows)
     ready = stage(
-        rows.select("features", index.cast("double").alias("_index"), weight.alias("_weight")),
+        tfidf.weigh(train, model).select(
+            F.col("_weights").alias("features"), index.cast("double").alias("_index"),
+            weight.alias("_weight"),
+        ),
         "training",
     )
     regression = LogisticRegression(
@@ -156,23 +137,19 @@ def fit_classifier(
         standardization=False, probabilityCol="_probability", predictionCol="_prediction",
         rawPredictionCol="_raw",
     ).fit(ready)
-    return IssueClassifier(
-        PipelineModel([vectorizer, scaler, normalizer, regression]), tuple(labels),
-        model.stopwords,
-    )
+    return IssueClassifier(model, regression, tuple(labels))
 
 
 def predict_all(records: DataFrame, classifier: IssueClassifier) -> DataFrame:
     """Label and highest probability for every record, training rows included."""
-    rows = _with_terms(records.withColumn("text", tfidf.corpus_text()), classifier.stopwords)
-    scored = classifier.pipeline.transform(rows)
+    rows = tfidf.weigh(records.withColumn("text", tfidf.corpus_text()), classifier.features)
+    scored = classifier.regression.transform(rows.withColumnRenamed("_weights", "features"))
     names = F.array(*[F.lit(label) for label in classifier.labels])
     scored = scored.withColumn("ai_predicted_issue", F.get(names, F.col("_prediction").cast("int")))
     return scored.withColumns({
         "ai_confidence": F.round(F.array_max(vector_to_array("_probability")), 4),
         "ai_root_cause_suggestion": lb.label_suggestion(F.col("ai_predicted_issue")),
-    }).drop("text", "_terms", "_counts", "_scaled", "features", "_raw", "_probability",
-            "_prediction")
+    }).drop("text", "_counts", "features", "_raw", "_probability", "_prediction")
 
 
 def holdout_metrics(predicted: DataFrame) -> DataFrame:

@@ -81,7 +81,7 @@ def add_clean_text(
     source = F.coalesce(tx.non_empty(F.col("full_text_with_comments")), F.col("review_text"))
     return (
         records.withColumn("_text", once(tx.normalize_text(source)))
-        .withColumn("tokens", once(tx.tokenize_normalized(F.col("_text"), words)))
+        .withColumn("tokens", once(tx.tokenize_normalized("_text", words)))
         .withColumn(
             "review_text_normalized",
             once(F.when(F.size("tokens") > 0, F.array_join("tokens", " "))

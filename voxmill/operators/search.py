@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -16,47 +18,51 @@ QUERIES_PER_PASS = 32
 
 def query_weights(
     spark: SparkSession, model: tfidf.TfidfModel, queries: Sequence[str]
-) -> dict[int, dict[str, float]]:
-    """Query number -> term -> weight scaled to length one; its size depends on the queries only."""
-    rows = F.array(*[F.struct(F.lit(i).alias("seq"), F.lit(q).alias("text"))
-                     for i, q in enumerate(queries)])
-    asked = spark.range(1).select(F.inline(rows))
-    weights: dict[int, dict[str, float]] = {}
-    for row in tfidf.tfidf_weights(asked, model).collect():
-        weights.setdefault(row.seq, {})[row.term] = row.weight
-    return weights
-
-
-def _dot(weights: dict[str, float]):
-    value = F.lit(0.0)
-    for term, weight in weights.items():
-        value = F.when(F.col("term") == term, F.lit(weight)).otherwise(value)
-    return F.sum(F.col("raw") * value)
+) -> tuple[dict[int, dict[int, float]], list[str]]:
+    """Query number -> vocabulary index -> weight, and the words the queries match by.
 
-
-def _similar(docs: DataFrame, model: tfidf.TfidfModel, weights: dict[int, dict[str, float]]):
+    Both depend on the queries only.
+    """
+    rows = F.array(*[F.struct(F.lit(i).alias("no"), F.lit(q).alias("text"))
+                     for i, q in enumerate(queries)])
+    asked = tfidf.weigh(spark.range(1).select(F.inline(rows)), model)
+    vector = tfidf.sparse("_weights")
+    weights = {
+        r.no: dict(zip(r.indices, r["values"]))
+        for r in asked.select("no", vector["indices"].alias("indices"),
+                              vector["values"].alias("values")).collect()
+    }
+    used = sorted({i for terms in weights.values() for i in terms})
+    terms = model.vocabulary.where(F.col("index").isin(used)).select("term").collect() if used else []
+    return weights, sorted({r.term.split(" ")[0] for r in terms})
+
+
+def _similar(
+    docs: DataFrame, model: tfidf.TfidfModel, weights: dict[int, dict[int, float]],
+    words: list[str],
+) -> DataFrame:
     """(query_no, seq, sim) of documents that share a term with a query.
 
     A document without any of the query words cannot match and is dropped before it is split into
-    terms. Sums per document are partly made before the shuffle, which carries one row per
-    matching document.
+    terms; the rest is scored row by row.
     """
-    words = sorted({term.split(" ")[0] for terms in weights.values() for term in terms})
-    lowered = F.lower("text")
-    hits = docs.where(tx.contains_any(lowered, words))
-    sums = tfidf.raw_weights(hits, model).groupBy("seq").agg(
-        F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"),
-        *[_dot(terms).alias(f"dot_{no}") for no, terms in weights.items()],
-    )
-    scores = F.array(*[F.struct(F.lit(no).alias("query_no"), F.col(f"dot_{no}").alias("dot"))
-                       for no in weights])
-    return (
-        sums.select("seq", "norm", F.inline(scores))
-        .where("dot > 0")
-        .select("query_no", "seq", (F.col("dot") / F.col("norm")).alias("sim"))
-        .where(F.round("sim", 10) > 0)
+    hits = docs.where(tx.contains_any(F.lower("text"), words))
+    vector = tfidf.sparse("_weights")
+    ready = tfidf.weigh(hits, model).select(
+        "seq", vector["indices"].alias("_at"), vector["values"].alias("_w")
     )
 
+    def dot(terms: dict[int, float]):
+        parts = [
+            F.coalesce(F.get("_w", F.array_position("_at", F.lit(i)).cast("int") - 1), F.lit(0.0)) * w
+            for i, w in terms.items()
+        ]
+        return reduce(add, parts, F.lit(0.0))
+
+    scores = F.array(*[F.struct(F.lit(no).alias("query_no"), dot(terms).alias("sim"))
+                       for no, terms in weights.items()])
+    return ready.select("seq", F.inline(scores)).where(F.round("sim", 10) > 0)
+
 
 def search_batch(
     docs: DataFrame, model: tfidf.TfidfModel, queries: Sequence[str], top_k: int = 5
@@ -68,7 +74,7 @@ def search_batch(
     documents hold enough others.
     """
     spark = docs.sparkSession
-    weights = query_weights(spark, model, queries)
+    weights, words = query_weights(spark, model, queries)
     best = W.partitionBy("query_no").orderBy(F.desc(F.round("sim", 10)), F.desc("seq"))
     numbers = F.array(*[F.lit(i) for i in range(len(queries))])
     found = (
@@ -77,10 +83,10 @@ def search_batch(
         .limit(2 * top_k)
         .select(F.explode(numbers).alias("query_no"), "seq", F.lit(0.0).alias("sim"))
     )
-    numbered = sorted(weights)
+    numbered = sorted(no for no, terms in weights.items() if terms)
     for at in range(0, len(numbered), QUERIES_PER_PASS):
         part = {no: weights[no] for no in numbered[at:at + QUERIES_PER_PASS]}
-        scored = _similar(docs, model, part)
+        scored = _similar(docs, model, part, words)
         ranked = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top_k)
         found = found.unionByName(ranked.drop("rank"))
     text = F.lit(None).cast("string")

@@ -1,8 +1,11 @@
-"""TF-IDF over single words and word pairs, as relations.
+"""TF-IDF over single words and word pairs.
 
-Term counts are made inside each row, so counting terms needs no shuffle by document. Fitting is
-an action: it writes the vocabulary, at most ``max_features`` rows, as a stage table, and every
-later step reads it from there.
+Fitting goes over the corpus three times: words, pairs, document frequencies. A pair cannot be more
+frequent than either of its words, so only pairs of words frequent enough for the vocabulary are
+counted; the long tail of rare pairs never reaches the shuffle. The result is exact.
+
+Weighting is done row by row with the ML transformers: counting, scaling and normalising a document
+needs nothing but the document and the vocabulary, so there is no shuffle.
 """
 
 from __future__ import annotations
@@ -10,8 +13,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from voxmill import lexicons as lx
@@ -22,15 +27,20 @@ from voxmill.sources.staging import stage
 MAX_FEATURES = 8000
 KEY_LENGTH = 64
 BROADCAST_BYTES = 64 * 1024 * 1024
+# The vocabulary goes to the driver and to every executor.
+VOCABULARY_BYTES = 256 * 1024 * 1024
 
 
 @dataclass(frozen=True)
 class TfidfModel:
-    """``vocabulary``: (term, term_key, total, df, idf)."""
+    """``vocabulary`` is (index, term, total, df, idf), at most ``max_features`` rows.
+
+    ``pipeline`` turns the column ``_terms`` into ``_counts`` and the unit-length ``_weights``.
+    """
 
     vocabulary: DataFrame
+    pipeline: PipelineModel
     n_docs: int
-    max_features: int
     stopwords: tuple[str, ...]
 
 
@@ -44,31 +54,46 @@ def terms_of(tokens: Column) -> Column:
     return F.concat(tokens, tx.bigrams(tokens))
 
 
-def document_terms(docs: DataFrame, stopwords: Sequence[str]) -> DataFrame:
-    """(seq, term, tf): sort each row's terms and measure the runs of equal ones."""
-    tokens = docs.select("seq", tx.index_tokens(F.col("text"), stopwords).alias("_tokens"))
-    ordered = tokens.select("seq", F.sort_array(terms_of(F.col("_tokens"))).alias("_terms"))
-    starts = F.array_compact(
-        F.transform(
-            "_terms",
-            lambda t, i: F.when((i == 0) | (t != F.get(F.col("_terms"), i - 1)), i),
-        )
-    )
-    runs = ordered.select("seq", "_terms", starts.alias("_starts"))
-    counted = F.transform(
-        "_starts",
-        lambda s, j: F.struct(
-            F.get(F.col("_terms"), s).alias("term"),
-            (F.coalesce(F.get(F.col("_starts"), j + 1), F.size("_terms")) - s).alias("tf"),
-        ),
-    )
-    return runs.select("seq", F.inline(counted))
+def with_terms(docs: DataFrame, stopwords: Sequence[str]) -> DataFrame:
+    """Add ``_terms``: the words of ``text`` and their neighbouring pairs."""
+    tokens = docs.withColumn("_tokens", tx.index_tokens("text", stopwords))
+    return tokens.withColumn("_terms", terms_of(F.col("_tokens"))).drop("_tokens")
 
 
-def term_key(term: Column) -> Column:
-    """A join key of bounded length: long terms are replaced by a digest."""
-    digest = F.concat(F.lit("#"), F.substring(F.sha2(term, 256), 1, KEY_LENGTH - 1))
-    return F.when(F.length(term) <= KEY_LENGTH, term).otherwise(digest)
+def _key(word: Column) -> Column:
+    """A join key of bounded length: a long word is replaced by a digest."""
+    digest = F.concat(F.lit("#"), F.substring(F.sha2(word, 256), 1, KEY_LENGTH - 1))
+    return F.when(F.length(word) <= KEY_LENGTH, word).otherwise(digest)
+
+
+def _frequent_terms(docs: DataFrame, stopwords: Sequence[str], max_features: int) -> DataFrame:
+    """(term, total) of the ``max_features`` most frequent terms, ties in term order."""
+    tokens = docs.select(tx.index_tokens("text", stopwords).alias("_tokens"))
+    total = F.count(F.lit(1)).alias("total")
+    words = stage(
+        tokens.select(F.explode("_tokens").alias("term")).groupBy("term").agg(total), "words"
+    )
+    order = [F.desc("total"), F.asc("term")]
+    best = words.orderBy(*order).limit(max_features)
+    floor, found = best.agg(F.min("total"), F.count(F.lit(1))).first()
+    pairs = tokens.select(
+        F.inline(F.zip_with(
+            F.slice("_tokens", F.lit(1), F.greatest(F.size("_tokens") - 1, F.lit(0))),
+            F.slice("_tokens", F.lit(2), F.greatest(F.size("_tokens") - 1, F.lit(0))),
+            lambda a, b: F.struct(a.alias("a"), b.alias("b")),
+        ))
+    )
+    if found == max_features and floor > 1:
+        # Words that tie with the last one of the vocabulary stay in.
+        frequent = words.where(F.col("total") >= floor).select(_key(F.col("term")).alias("key"))
+        if frequent.count() * (KEY_LENGTH * 4 + 16) <= BROADCAST_BYTES:
+            frequent = F.broadcast(frequent)
+        for side in ("a", "b"):
+            pairs = pairs.withColumn("key", _key(F.col(side))).join(frequent, "key", "left_semi")
+        pairs = pairs.select("a", "b")
+    counted = pairs.groupBy("a", "b").agg(total)
+    joined = counted.select(F.concat_ws(" ", "a", "b").alias("term"), "total")
+    return best.unionByName(joined).orderBy(*order).limit(max_features)
 
 
 def fit(
@@ -76,53 +101,79 @@ def fit(
     stopwords: Sequence[str] | None = None,
     max_features: int = MAX_FEATURES,
 ) -> TfidfModel:
-    """The ``max_features`` most frequent terms, ties in term order, with smoothed idf."""
+    """Vocabulary and smoothed idf of (seq, text). An action; read ``docs`` from a stage table."""
     words = tuple(lx.default_stopwords() if stopwords is None else stopwords)
-    n_docs = docs.count()
-    idf = F.log(F.lit(1.0 + n_docs) / (F.col("df") + 1)) + 1
-    vocabulary = (
-        document_terms(docs, words)
-        .groupBy("term")
-        .agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
-        .orderBy(F.desc("total"), F.asc("term"))
-        .limit(max_features)
-        .select("term", term_key(F.col("term")).alias("term_key"), "total", "df", idf.alias("idf"))
+    frequent = stage(_frequent_terms(docs, words, max_features), "terms")
+    size = frequent.agg(F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()[0]
+    if size > VOCABULARY_BYTES:
+        raise ValueError(f"the vocabulary takes {size} bytes; lower max_features")
+    rows = frequent.orderBy("term").collect()
+    counter = CountVectorizerModel.from_vocabulary(
+        [r.term for r in rows] or [" "], inputCol="_terms", outputCol="_counts"
+    )
+    counts = counter.transform(with_terms(docs, words)).select("_counts")
+    if docs.isEmpty():
+        n_docs, df = 0, [0] * max(len(rows), 1)
+    else:
+        seen = IDF(inputCol="_counts", outputCol="_idf").fit(counts)
+        n_docs, df = seen.numDocs, list(seen.docFreq)
+    spark = docs.sparkSession
+    listed = spark.createDataFrame(
+        [(i, r.term, r.total, int(n)) for i, (r, n) in enumerate(zip(rows, df))],
+        "index int, term string, total long, df long",
     )
-    return TfidfModel(stage(vocabulary, "vocabulary"), n_docs, max_features, words)
+    smoothed = F.log(F.lit(1.0 + n_docs) / (F.col("df") + 1)) + 1
+    vocabulary = stage(listed.coalesce(1).withColumn("idf", smoothed), "vocabulary")
+    idf = [r.idf for r in vocabulary.orderBy("index").collect()] or [0.0]
+    scaler = ElementwiseProduct(
+        scalingVec=Vectors.dense(idf), inputCol="_counts", outputCol="_scaled"
+    )
+    unit = Normalizer(p=2.0, inputCol="_scaled", outputCol="_weights")
+    return TfidfModel(vocabulary, PipelineModel([counter, scaler, unit]), n_docs, words)
 
 
-def _lookup_side(model: TfidfModel) -> DataFrame:
-    """(term_key, idf), broadcast while rows times the longest key stay under the size bound."""
-    side = model.vocabulary.select("term_key", "idf")
-    bound = model.max_features * (KEY_LENGTH * 4 + 16)
-    return F.broadcast(side) if bound <= BROADCAST_BYTES else side
+def weigh(docs: DataFrame, model: TfidfModel) -> DataFrame:
+    """Add the vectors ``_counts`` and ``_weights`` for ``text``; one row in, one row out."""
+    weighed = model.pipeline.transform(with_terms(docs, model.stopwords))
+    return weighed.drop("_terms", "_scaled")
 
 
-def raw_weights(docs: DataFrame, model: TfidfModel) -> DataFrame:
-    """(seq, term, tf, raw) with raw = tf * idf, for terms of the vocabulary."""
-    return (
-        document_terms(docs, model.stopwords)
-        .withColumn("term_key", term_key(F.col("term")))
-        .join(_lookup_side(model), "term_key")
-        .select("seq", "term", "tf", (F.col("tf") * F.col("idf")).alias("raw"))
-    )
+def sparse(vector: str) -> Column:
+    """The ``indices`` and ``values`` of a sparse vector as a struct of arrays."""
+    return F.unwrap_udt(vector)
 
 
 def tfidf_weights(docs: DataFrame, model: TfidfModel) -> DataFrame:
     """(seq, term, tf, weight), every document's weights scaled to length one."""
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy("seq")))
-    return raw_weights(docs, model).select(
-        "seq", "term", "tf", (F.col("raw") / norm).alias("weight")
+    cells = F.arrays_zip(
+        sparse("_weights")["indices"].alias("index"),
+        sparse("_counts")["values"].alias("tf"),
+        sparse("_weights")["values"].alias("weight"),
+    )
+    # The vocabulary's size is checked when it is fitted.
+    terms = F.broadcast(model.vocabulary.select("index", "term"))
+    return (
+        weigh(docs, model)
+        .select("seq", F.inline(cells))
+        .join(terms, "index")
+        .select("seq", "term", F.col("tf").cast("int").alias("tf"), "weight")
     )
 
 
 def top_corpus_terms(docs: DataFrame, model: TfidfModel, top_k: int = 25) -> DataFrame:
     """Terms with the highest mean weight over all documents, those without the term included."""
     n = max(model.n_docs, 1)
-    return (
-        tfidf_weights(docs, model)
-        .groupBy("term")
+    cells = F.arrays_zip(
+        sparse("_weights")["indices"].alias("index"), sparse("_weights")["values"].alias("weight")
+    )
+    means = (
+        weigh(docs, model)
+        .select(F.inline(cells))
+        .groupBy("index")
         .agg((F.sum("weight") / n).alias("mean"))
+    )
+    return (
+        means.join(F.broadcast(model.vocabulary.select("index", "term")), "index")
         .orderBy(F.desc(F.round("mean", 10)), F.desc("term"))
         .limit(top_k)
         .select("term", F.round("mean", 6).alias("avg_tfidf_weight"))

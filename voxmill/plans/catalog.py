@@ -318,7 +318,7 @@ def tokenize(spark: SparkSession, sf: str) -> DataFrame:
     words = lx.default_stopwords("examplereviews")
     text = tx.normalize_text(F.col("review_text"))
     return tv.reviews(spark, sf).select("seq", text.alias("t")).select(
-        "seq", F.array_join(tx.tokenize(F.col("t"), words), " ").alias("tokens")
+        "seq", F.array_join(tx.tokenize("t", words), " ").alias("tokens")
     )
 
 
