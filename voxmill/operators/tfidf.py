@@ -10,11 +10,13 @@ needs nothing but the document and the vocabulary, so there is no shuffle.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -107,24 +109,27 @@ def fit(
     size = frequent.agg(F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()[0]
     if size > VOCABULARY_BYTES:
         raise ValueError(f"the vocabulary takes {size} bytes; lower max_features")
-    rows = frequent.orderBy("term").collect()
-    counter = CountVectorizerModel.from_vocabulary(
-        [r.term for r in rows] or [" "], inputCol="_terms", outputCol="_counts"
-    )
-    counts = counter.transform(with_terms(docs, words)).select("_counts")
-    if docs.isEmpty():
-        n_docs, df = 0, [0] * max(len(rows), 1)
-    else:
+    # The counter learns its vocabulary from one row that has every chosen term once.
+    chosen = frequent.agg(F.collect_list("term").alias("_terms"))
+    counter = CountVectorizer(
+        vocabSize=max_features, inputCol="_terms", outputCol="_counts"
+    ).fit(chosen if size else chosen.select(F.array(F.lit(" ")).alias("_terms")))
+    if size:
+        counts = counter.transform(with_terms(docs, words)).select("_counts")
         seen = IDF(inputCol="_counts", outputCol="_idf").fit(counts)
-        n_docs, df = seen.numDocs, list(seen.docFreq)
-    spark = docs.sparkSession
-    listed = spark.createDataFrame(
-        [(i, r.term, r.total, int(n)) for i, (r, n) in enumerate(zip(rows, df))],
-        "index int, term string, total long, df long",
-    )
-    smoothed = F.log(F.lit(1.0 + n_docs) / (F.col("df") + 1)) + 1
-    vocabulary = stage(listed.coalesce(1).withColumn("idf", smoothed), "vocabulary")
-    idf = [r.idf for r in vocabulary.orderBy("index").collect()] or [0.0]
+        n_docs, df = seen.numDocs, [int(n) for n in seen.docFreq]
+    else:
+        n_docs, df = docs.count(), [0]
+    idf = [math.log((1.0 + n_docs) / (1.0 + n)) + 1.0 for n in df]
+    totals = {r.term: r.total for r in frequent.collect()}
+    terms = list(counter.vocabulary) if size else []
+    vocabulary = docs.sparkSession.createDataFrame(pa.table({
+        "index": pa.array(range(len(terms)), pa.int32()),
+        "term": pa.array(terms, pa.string()),
+        "total": pa.array([totals[t] for t in terms], pa.int64()),
+        "df": pa.array(df[:len(terms)], pa.int64()),
+        "idf": pa.array(idf[:len(terms)], pa.float64()),
+    }))
     scaler = ElementwiseProduct(
         scalingVec=Vectors.dense(idf), inputCol="_counts", outputCol="_scaled"
     )

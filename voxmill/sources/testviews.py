@@ -38,9 +38,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per document. Every join but the supplier one is on doc_id, so one shuffle serves all."""
+    """One row per document. Every join but the supplier one is on doc_id, so one shuffle serves all.
+
+    The shuffle is asked for by name: it also spreads the text of a table that comes in few large
+    row groups over all cores before the work on it starts.
+    """
     doc_id = F.col("doc_id")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    docs = docs.repartition("doc_id")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("doc_id"), "o_orderdate"
