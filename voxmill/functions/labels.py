@@ -81,13 +81,19 @@ def summarize(
 ) -> Column:
     """The best sentences, in rank order; the start of the text when there is none."""
 
-    def ranked(sentence: Column, i: Column) -> Column:
-        focus = tx.keyword_hits(F.lower(sentence), focus_terms) * 2
-        length = F.floor(F.least(tx.word_count(sentence), F.lit(40)) / 10)
-        return F.struct((-(focus + length)).alias("rank"), i.alias("i"), sentence.alias("s"))
+    # Lower case and word counts are made once per sentence; ranking then moves numbers only.
+    measured = F.transform(
+        sentences,
+        lambda s: F.struct(F.lower(s).alias("low"), tx.word_count(s).alias("words")),
+    )
+
+    def ranked(m: Column, i: Column) -> Column:
+        focus = tx.keyword_hits(m["low"], focus_terms) * 2
+        length = F.floor(F.least(m["words"], F.lit(40)) / 10)
+        return F.struct((-(focus + length)).alias("rank"), i.alias("i"))
 
-    best = F.slice(F.array_sort(F.transform(sentences, ranked)), 1, max_sentences)
-    summary = F.array_join(F.transform(best, lambda r: r["s"]), " ")
+    best = F.slice(F.array_sort(F.transform(measured, ranked)), 1, max_sentences)
+    summary = F.array_join(F.transform(best, lambda r: F.get(sentences, r["i"])), " ")
     opening = tx.collapse_ws(F.coalesce(text, F.lit("")))
     return F.when(F.size(sentences) == 0, tx.ellipsis(opening, 280)).otherwise(
         tx.ellipsis(summary, 400)

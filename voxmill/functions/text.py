@@ -97,15 +97,17 @@ def extract_year(c: Column) -> Column:
 
 
 def split_sentences(c: Column) -> Column:
-    """Cut after . ! ? and white space; keep trimmed pieces longer than 20 characters."""
-    pieces = F.split(F.coalesce(c, F.lit("")), f"(?<=[.!?])[{SPACE}]+")
-    return F.filter(F.transform(pieces, trim_ws), lambda s: F.length(s) > 20)
+    """Cut after . ! ? and white space; keep pieces longer than 20 characters.
+
+    Trimming the text first leaves every piece trimmed.
+    """
+    pieces = F.split(trim_ws(F.coalesce(c, F.lit(""))), f"(?<=[.!?])[{SPACE}]+")
+    return F.filter(pieces, lambda s: F.length(s) > 20)
 
 
 def word_count(c: Column) -> Column:
     """White-space separated words; 0 for blank text."""
-    collapsed = collapse_ws(c)
-    return F.when(F.length(collapsed) == 0, 0).otherwise(F.size(F.split(collapsed, " ")))
+    return F.regexp_count(c, F.lit(f"[^{SPACE}]+"))
 
 
 def ellipsis(c: Column, limit: int) -> Column:

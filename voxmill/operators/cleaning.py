@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from voxmill import lexicons as lx
@@ -15,37 +14,40 @@ from voxmill.functions import labels as lb
 from voxmill.functions import text as tx
 from voxmill.functions.once import once
 from voxmill.operators.numbering import positions
+from voxmill.sources.staging import stage
 
 
-def dedup_reviews(records: DataFrame) -> DataFrame:
-    """Keep the first record, by ``seq``, of each (url, normalised review text).
+def first_of_each(records: DataFrame) -> DataFrame:
+    """(seq) of the first record of each (url, normalised review text).
 
-    Spark cuts the rank filter to one row per key and task before the shuffle, so a group of
-    copies that makes up much of the table never meets in one task.
+    Only urls, digests and numbers are shuffled, and each task sends one row per key, so a group of
+    copies that makes up much of the table meets as a handful of rows.
     """
-    key = W.partitionBy("_url", "_digest").orderBy("seq")
-    return (
-        records.withColumns({
-            "_url": F.coalesce("raw_url", F.lit("")),
-            "_digest": F.md5(tx.normalize_text(F.col("review_text"))),
-        })
-        .withColumn("_rank", F.row_number().over(key))
-        .where("_rank = 1")
-        .drop("_url", "_digest", "_rank")
+    keys = records.select(
+        "seq", F.coalesce("raw_url", F.lit("")).alias("_url"),
+        F.md5(tx.normalize_text(F.col("review_text"))).alias("_digest"),
     )
+    return keys.groupBy("_url", "_digest").agg(F.min("seq").alias("seq")).select("seq")
 
 
-def fill_record_ids(records: DataFrame) -> DataFrame:
-    """``record_<position>`` for rows without an id. Only those rows are joined."""
-    numbered = positions(records.select("seq", "record_id"), "seq", "_position")
-    blank = tx.non_empty(F.col("record_id")).isNull()
-    made = numbered.where(blank).select(
-        "seq", F.concat(F.lit("record_"), F.col("_position")).alias("_made_id")
+def dedup_reviews(records: DataFrame) -> DataFrame:
+    """Keep the first record, by ``seq``, of each (url, normalised review text)."""
+    return records.join(first_of_each(records), "seq", "left_semi")
+
+
+def dedup_and_number(records: DataFrame) -> DataFrame:
+    """``dedup_reviews``, with ``record_<position>`` for the rows that have no id.
+
+    An action: the numbers of the kept rows are written as a stage table, as several steps of
+    numbering read them; the records themselves are joined once.
+    """
+    kept = stage(first_of_each(records), "kept")
+    made = F.concat(F.lit("record_"), F.col("_position"))
+    return (
+        records.join(positions(kept, "seq", "_position"), "seq")
+        .withColumn("record_id", F.coalesce(tx.non_empty(F.col("record_id")), made))
+        .drop("_position")
     )
-    with_id = records.where(~blank)
-    without = records.where(blank).join(made, "seq")
-    without = without.withColumn("record_id", F.col("_made_id")).drop("_made_id")
-    return with_id.unionByName(without)
 
 
 def fill_defaults(records: DataFrame, site: Site = DEFAULT_SITE) -> DataFrame:
@@ -108,7 +110,7 @@ def clean_reviews(
     records: DataFrame, stopwords: Sequence[str] | None = None, site: Site = DEFAULT_SITE
 ) -> DataFrame:
     """Deduplicate, fill, normalise and label: ``seq`` plus the 28 clean fields."""
-    kept = fill_record_ids(dedup_reviews(schemas.complete(records, schemas.RAW_REVIEW)))
+    kept = dedup_and_number(schemas.complete(records, schemas.RAW_REVIEW))
     cleaned = add_labels(add_clean_text(fill_defaults(kept, site), stopwords, site))
     return cleaned.select("seq", *schemas.CLEAN_REVIEW.fieldNames())
 

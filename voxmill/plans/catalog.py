@@ -372,8 +372,7 @@ def mention_flags(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def surrogate_id(spark: SparkSession, sf: str) -> DataFrame:
-    unique = cleaning.dedup_reviews(tv.raw_reviews(spark, sf))
-    return cleaning.fill_record_ids(unique).select("seq", "record_id")
+    return cleaning.dedup_and_number(tv.raw_reviews(spark, sf)).select("seq", "record_id")
 
 
 def missing_counts(spark: SparkSession, sf: str) -> DataFrame:
