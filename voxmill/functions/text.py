@@ -7,11 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode white space, spelled out so that Java, RE2 and Python regexes agree on it.
-SPACE = (
-    r"\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
+# All Unicode white space: Java's class leaves out the non-breaking spaces and next line.
+SPACE = r"\p{javaWhitespace}\x{85}\x{a0}\x{2007}\x{202f}"
 # A word boundary with letters and digits of all scripts, whatever the regex engine's default.
 _WORD = r"[\p{L}\p{N}_]"
 BOUNDARY = f"(?:(?<={_WORD})(?!{_WORD})|(?<!{_WORD})(?={_WORD}))"

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from voxmill import lexicons as lx
-from voxmill.functions.text import SPACE
 
+# Unicode white space in RE2's terms.
+SPACE = (
+    r"\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
 WS = f"[{SPACE}]+"
 EVAL_K = 5
 
