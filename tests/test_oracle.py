@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check_oracle
+from voxmill.plans import catalog, oracle
 
 SF = "/root/testdata/sf0.001"
 ROWS_ONLY = {"subcategory_links", "fit_classifier", "predict_all", "holdout_metrics"}
@@ -16,17 +17,17 @@ def con():
 
 @pytest.fixture(scope="module")
 def sqls(spark):
-    return entry.oracle_sql()
+    return oracle.oracle_sql()
 
 
 def test_every_query_has_sql_or_is_known_not_to(sqls):
-    assert set(entry.queries()) - set(sqls) == ROWS_ONLY
-    assert set(sqls) <= set(entry.queries())
+    assert set(catalog.queries()) - set(sqls) == ROWS_ONLY
+    assert set(sqls) <= set(catalog.queries()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - ROWS_ONLY))
+@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - ROWS_ONLY))
 def test_matches_sql(spark, con, sqls, name):
-    _, problem = check_oracle.compare(spark, con, SF, name, entry.queries()[name], sqls[name])
+    _, problem = check_oracle.compare(spark, con, SF, name, catalog.queries()[name], sqls[name])
     assert problem is None
 
 
