@@ -4,12 +4,30 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from voxmill.llm import bpe, decontaminate
+from voxmill.llm import (
+    bpe, decontaminate, fingerprints, html_templates, sharding, toxicity, url_filter,
+)
 from voxmill.llm.rows import read
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_toxicity(spark, sf_dir):
+    return toxicity.query(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op2_url_filter(spark, sf_dir):
+    return url_filter.query(read(spark, sf_dir, "pages"))
+
+
+def op5_html_main_text(spark, sf_dir):
+    return html_templates.query(read(spark, sf_dir, "pages"))
+
+
+def op6_shards(spark, sf_dir):
+    return sharding.query(read(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark, sf_dir):
     return decontaminate.query(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -18,8 +36,18 @@ def op9_bpe(spark, sf_dir):
     return bpe.query(read(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op10_fingerprints(spark, sf_dir):
+    return fingerprints.query(read(spark, sf_dir, "documents"))
+
+
+_OPERATORS = (
+    op1_toxicity, op2_url_filter, op5_html_main_text, op6_shards, op8_decontaminate, op9_bpe,
+    op10_fingerprints,
+)
+
+
 def queries():
-    return {"op8_decontaminate": op8_decontaminate, "op9_bpe": op9_bpe}
+    return {f.__name__: f for f in _OPERATORS}
 
 
 def oracle_sql():
