@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -41,3 +42,65 @@ def map_slices(
                     )
 
     return df.mapInArrow(run, schema)
+
+
+def map_groups(
+    df: DataFrame, keys: list[str], schema: T.StructType, work: Callable[..., Iterable[tuple]],
+    partitions: int | None = None,
+) -> DataFrame:
+    """Call ``work(key values, *lists of the other columns)`` for each group of equal ``keys``.
+
+    Rows are dealt by the keys and sorted within tasks; a worker holds one group at a time. The
+    caller bounds the size of a group.
+    """
+    ship_package(df.sparkSession)
+    target = to_arrow_schema(schema)
+    n = len(keys)
+    rest = [c for c in df.columns if c not in keys]
+    dealt = df.select(*keys, *rest)
+    dealt = dealt.repartition(partitions, *keys) if partitions else dealt.repartition(*keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        current, made = None, []
+
+        def finish():
+            if held:
+                table = pa.Table.from_batches(held)
+                made.extend(work(current, *(c.to_pylist() for c in table.columns[n:])))
+                held.clear()
+
+        def out(least: int):
+            if len(made) > least:
+                columns = list(zip(*made))
+                made.clear()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(c), f.type) for c, f in zip(columns, target)], schema=target
+                )
+
+        for batch in batches:
+            values = list(zip(*(batch.column(i).to_pylist() for i in range(n))))
+            start = 0
+            for at in range(1, len(values) + 1):
+                if at == len(values) or values[at] != values[start]:
+                    if values[start] != current:
+                        finish()
+                        current = values[start]
+                    held.append(batch.slice(start, at - start))
+                    start = at
+            yield from out(2000)
+        finish()
+        yield from out(0)
+
+    return dealt.sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+#: Rows of a narrow table that may be broadcast; larger ones are joined by a shuffle.
+BROADCAST_ROWS = 500_000
+
+
+def small_side(df: DataFrame, bytes_per_row: int = 64, limit: int = 32_000_000) -> DataFrame:
+    """``df``, a stage table, marked for broadcast if its counted rows prove it small."""
+    rows = df.count()
+    fits = rows <= BROADCAST_ROWS and rows * bytes_per_row <= limit
+    return F.broadcast(df) if fits else df

@@ -29,7 +29,9 @@ from voxmill.sources.staging import stage
 
 FIT_ROWS = 20_000
 MAX_VOTERS = 300
-MIN_SUPPORT = 4
+#: Log likelihood ratio from which a mined mark is believed; chance alone rarely gives it, however
+#: many words are tried.
+MIN_EVIDENCE = 14.0
 THRESHOLD = 0.3
 BEGINNINGS = (4, 5, 6)
 
@@ -177,8 +179,13 @@ def fit(docs: DataFrame, labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model
         marks = map_slices(sample, schema, count, rows=4096).groupBy("mark").agg(
             F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
         )
+        base = n_toxic / (n_toxic + n_clean)
+        share = F.col("toxic") / (F.col("toxic") + F.col("clean"))
+        evidence = F.col("toxic") * F.log(share / base) + F.when(
+            F.col("clean") > 0, F.col("clean") * F.log((1 - share) / (1 - base))
+        ).otherwise(0.0)
         chosen = (
-            marks.where((F.col("toxic") >= MIN_SUPPORT) & (F.col("toxic") > F.col("clean")))
+            marks.where((evidence >= MIN_EVIDENCE) & (F.col("toxic") > F.col("clean")))
             .withColumn("worth", rate * F.sqrt("toxic"))
             .orderBy(F.desc("worth"), "mark").limit(MAX_VOTERS)
         )
