@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 
 from voxmill.llm import (
-    bpe, decontaminate, fingerprints, html_templates, sharding, toxicity, url_filter,
+    bpe, decontaminate, fingerprints, html_templates, near_join, repeats, sharding, toxicity,
+    url_filter,
 )
 from voxmill.llm.rows import read
 
@@ -20,6 +21,10 @@ def op2_url_filter(spark, sf_dir):
     return url_filter.query(read(spark, sf_dir, "pages"))
 
 
+def op4_repeats(spark, sf_dir):
+    return repeats.query(read(spark, sf_dir, "documents"))
+
+
 def op5_html_main_text(spark, sf_dir):
     return html_templates.query(read(spark, sf_dir, "pages"))
 
@@ -28,6 +33,10 @@ def op6_shards(spark, sf_dir):
     return sharding.query(read(spark, sf_dir, "documents"))
 
 
+def op7_near_join(spark, sf_dir):
+    return near_join.query(read(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark, sf_dir):
     return decontaminate.query(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -41,8 +50,8 @@ def op10_fingerprints(spark, sf_dir):
 
 
 _OPERATORS = (
-    op1_toxicity, op2_url_filter, op5_html_main_text, op6_shards, op8_decontaminate, op9_bpe,
-    op10_fingerprints,
+    op1_toxicity, op2_url_filter, op4_repeats, op5_html_main_text, op6_shards, op7_near_join,
+    op8_decontaminate, op9_bpe, op10_fingerprints,
 )
 
 
@@ -51,4 +60,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op8_decontaminate": decontaminate.ORACLE}
+    return {"op4_repeats": repeats.ORACLE, "op8_decontaminate": decontaminate.ORACLE}
