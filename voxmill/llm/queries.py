@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 
 from voxmill.llm import (
-    bpe, decontaminate, fingerprints, html_templates, near_join, repeats, sharding, toxicity,
-    url_filter,
+    bpe, decontaminate, fingerprints, html_templates, near_join, repeats, sharding,
+    token_files, toxicity, url_filter,
 )
 from voxmill.llm.rows import read
 
@@ -21,6 +21,10 @@ def op2_url_filter(spark, sf_dir):
     return url_filter.query(read(spark, sf_dir, "pages"))
 
 
+def op3_token_files(spark, sf_dir):
+    return token_files.query(read(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def op4_repeats(spark, sf_dir):
     return repeats.query(read(spark, sf_dir, "documents"))
 
@@ -50,8 +54,8 @@ def op10_fingerprints(spark, sf_dir):
 
 
 _OPERATORS = (
-    op1_toxicity, op2_url_filter, op4_repeats, op5_html_main_text, op6_shards, op7_near_join,
-    op8_decontaminate, op9_bpe, op10_fingerprints,
+    op1_toxicity, op2_url_filter, op3_token_files, op4_repeats, op5_html_main_text, op6_shards,
+    op7_near_join, op8_decontaminate, op9_bpe, op10_fingerprints,
 )
 
 
