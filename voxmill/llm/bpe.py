@@ -66,11 +66,12 @@ class Bpe:
         self.shorter: dict[int, int | None] = {}
         self.automaton = ahocorasick.Automaton()
         for token, i in ids.items():
-            self.automaton.add_word(token, i)
+            self.automaton.add_word(token, (i, len(token) - 1))
             at = next((n for n in range(len(token) - 1, 0, -1) if token[:n] in ids), 0)
             self.shorter[i] = ids[token[:at]] if at else None
         self.automaton.make_automaton()
-        self.allowed: dict[tuple[int, int], bool] = {}
+        self.whole = {t: i for t, i in ids.items() if t.endswith(_END)}
+        self.allowed: dict[int, bool] = {}
         split = data["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.split = regex.compile(split, regex.V1)
         self.letters = byte_letters()
@@ -95,9 +96,7 @@ class Bpe:
         other merge earlier than the merge taken back last, BPE would have joined them there.
         A merge to the left goes first among equals.
         """
-        key = (left, right)
-        if key in self.allowed:
-            return self.allowed[key]
+        key = left << 16 | right
         pairs, rank, made = self.pairs, self.rank, self.made
         bound, apart = len(rank), True
         while True:
@@ -117,27 +116,39 @@ class Bpe:
 
     def word(self, letters: str) -> list[int]:
         """Ids of one word, given as byte letters and the end mark."""
-        longest: dict[int, int] = {}
-        length, shorter = self.length, self.shorter
-        for end, token in self.automaton.iter(letters):
-            longest[end + 1 - length[token]] = token  # a later match from a place is longer
-        size, at, taken, dead = len(letters), 0, [], set()
-        token = longest.get(0)
-        while at < size:
-            while token is not None and (
-                at + length[token] in dead or taken and not self.compatible(taken[-1], token)
-            ):
+        whole = self.whole.get(letters)
+        if whole is not None:
+            return [whole]
+        size = len(letters)
+        length, shorter, allowed = self.length, self.shorter, self.allowed
+        longest: list[int | None] = [None] * size
+        for end, (token, back) in self.automaton.iter(letters):
+            longest[end - back] = token  # a later match from a place is longer
+        at, taken, dead = 0, [], set()
+        token, before = longest[0], None
+        while True:
+            while token is not None:
+                end = at + length[token]
+                if not dead or end not in dead:
+                    if before is None:
+                        break
+                    fits = allowed.get(before << 16 | token)
+                    if fits is None:
+                        fits = self.compatible(before, token)
+                    if fits:
+                        break
                 token = shorter[token]
-            if token is not None:
-                taken.append(token)
-                at += length[token]
-                token = longest.get(at)
-            else:
+            if token is None:
                 dead.add(at)
-                last = taken.pop()
-                at -= length[last]
-                token = shorter[last]
-        return taken
+                token = taken.pop()
+                at -= length[token]
+                token = shorter[token]
+                before = taken[-1] if taken else None
+                continue
+            taken.append(token)
+            if end == size:
+                return taken
+            at, before, token = end, token, longest[end]
 
     def chunk(self, chunk: str) -> bytes:
         """Ids of a text without white space, as little-endian 32-bit integers."""

@@ -48,7 +48,7 @@ SEGMENTS = T.StructType([
 
 
 class Encoder:
-    """The tokenizers library, asked once for every part of a text between white space."""
+    """The tokenizers library, asked once for every distinct part between white space."""
 
     def __init__(self, content: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -67,7 +67,8 @@ class Encoder:
         for at in range(0, len(fresh), 4096):
             now = fresh[at:at + 4096]
             for part, made in zip(now, self.tokenizer.encode_batch_fast(now, add_special_tokens=False)):
-                known[part] = struct.pack(f"<{len(made.ids)}I", *made.ids)
+                ids = made.ids
+                known[part] = struct.pack(f"<{len(ids)}I", *ids)
         return [b"".join([known[p] for p in own]) for own in parts]
 
 
