@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+
 from voxmill.functions import htmlscan as hs
 
 # Labels and class names of the pages, most specific place first.
@@ -104,13 +106,14 @@ def find_links(html: str) -> dict:
     """
     page = hs.Outline(html or "")
     anchors = page.all(hs.link)
-    place = {i: n for n, i in enumerate(anchors)}
-    heading = hs.either(hs.tags("h2", "h3", "strong"), hs.cls("h3"))
+    headings = page.all(hs.either(hs.tags("h2", "h3", "strong"), hs.cls("h3")))
     cards = []
     for block in page.all(hs.tags("section", "article", "div")):
-        inner = page.all(hs.link, block)
-        if len(inner) >= 2 and page.one(heading, scopes=(block,)) is not None:
-            cards.append({"start": place[inner[0]], "n": len(inner)})
+        end = page.elements[block].end
+        start = bisect_right(anchors, block)
+        n = bisect_left(anchors, end) - start
+        if n >= 2 and bisect_right(headings, block) < bisect_left(headings, end):
+            cards.append({"start": start, "n": n})
     return {
         "anchors": [
             {"href": page.elements[i].attrs["href"], "text": page.text(i)} for i in anchors

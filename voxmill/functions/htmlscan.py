@@ -38,6 +38,8 @@ class Outline(HTMLParser):
         self.nodes: list[tuple[str, int]] = []  # every string, unseen ones too, with its parent
         self.unseen_text: dict[int, str] = {}
         self._open = [-1]
+        self._open_tags: dict[str, int] = {}  # how many elements of each name are open
+        self._unseen = 0
         self._pending: list[str] = []
         self.feed(html)
         self.close()
@@ -51,8 +53,7 @@ class Outline(HTMLParser):
             return
         at = self._open[-1]
         self.nodes.append((text, at))
-        inside = [self.elements[i].tag for i in self._open[1:]]
-        if seen and not UNSEEN.intersection(inside):
+        if seen and not self._unseen:
             if text.strip():
                 self.strings.append(text.strip())
         elif seen:
@@ -61,12 +62,16 @@ class Outline(HTMLParser):
     def _shut(self) -> None:
         element = self.elements[self._open.pop()]
         element.last, element.end = len(self.strings), len(self.elements)
+        self._open_tags[element.tag] -= 1
+        self._unseen -= element.tag in UNSEEN
 
     def handle_starttag(self, tag, attrs):
         self._flush()
         attrs = {k: v or "" for k, v in attrs}
         self.elements.append(Element(tag, attrs, self._open[-1], len(self.strings)))
         self._open.append(len(self.elements) - 1)
+        self._open_tags[tag] = self._open_tags.get(tag, 0) + 1
+        self._unseen += tag in UNSEEN
         if tag in VOID:
             self._shut()
 
@@ -77,7 +82,7 @@ class Outline(HTMLParser):
 
     def handle_endtag(self, tag):
         self._flush()
-        if any(self.elements[i].tag == tag for i in self._open[1:]):
+        if self._open_tags.get(tag):
             while self.elements[self._open[-1]].tag != tag:
                 self._shut()
             self._shut()

@@ -19,7 +19,6 @@ from voxmill.sources.staging import stage
 
 MIN_RECORDS = 30
 SPLIT_BUCKETS = 65_536
-MAX_CLASSES = 1_000
 FALLBACK_CONFIDENCE = 0.55
 
 
@@ -79,17 +78,17 @@ def stratified_split(
     bucket counts tell which buckets are test as a whole, and only the one bucket per class in
     which the quota ends is ranked row by row. The draw does not depend on partitioning.
     """
-    quota = F.lit(0)
-    for label, n in test_quota(counts, percent).items():
-        quota = F.when(F.col("label") == label, n).otherwise(quota)
+    spark = labelled.sparkSession
+    quotas = spark.createDataFrame(list(test_quota(counts, percent).items()), "label string, _quota long")
     hashed = labelled.withColumn("_hash", F.xxhash64("seq", F.lit(seed))).withColumn(
         "_bucket", F.pmod("_hash", F.lit(SPLIT_BUCKETS))
     )
     # At most classes x SPLIT_BUCKETS rows.
     sizes = hashed.groupBy("label", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     upto = F.sum("_n").over(W.partitionBy("label").orderBy("_bucket"))
+    quota = F.coalesce("_quota", F.lit(0))
     cut = (
-        sizes.withColumn("_upto", upto)
+        sizes.withColumn("_upto", upto).join(F.broadcast(quotas), "label", "left")
         .withColumn("_room", quota - (F.col("_upto") - F.col("_n")))
         .where((F.col("_room") > 0) & (F.col("_room") <= F.col("_n")))
         # One row per class: the bucket where the quota ends and how many of its rows are test.
@@ -117,17 +116,19 @@ def fit_classifier(
 ) -> IssueClassifier:
     """Fit on (seq, text, label). Classes weigh the same; regularisation is 1 / (c * rows)."""
     model = tfidf.fit(train.select("seq", "text"))
-    per_class = {r.label: r["count"] for r in train.groupBy("label").count().take(MAX_CLASSES)}
+    per_class = {r.label: r["count"] for r in train.groupBy("label").count().collect()}
     n = sum(per_class.values())
-    weight, index = F.lit(1.0), F.lit(0)
-    for i, label in enumerate(labels):
-        share = n / (len(per_class) * per_class[label]) if label in per_class else 1.0
-        weight = F.when(F.col("label") == label, share).otherwise(weight)
-        index = F.when(F.col("label") == label, i).otherwise(index)
+    share = {k: n / (len(per_class) * count) for k, count in per_class.items()}
+    # One row per class, like ``labels`` and the model's coefficients, which the driver holds too.
+    classes = train.sparkSession.createDataFrame(
+        [(label, float(i), share.get(label, 1.0)) for i, label in enumerate(labels)],
+        "label string, _index double, _weight double",
+    )
+    weighed = tfidf.weigh(train, model).join(F.broadcast(classes), "label", "left")
     ready = stage(
-        tfidf.weigh(train, model).select(
-            F.col("_weights").alias("features"), index.cast("double").alias("_index"),
-            weight.alias("_weight"),
+        weighed.select(
+            F.col("_weights").alias("features"), F.coalesce("_index", F.lit(0.0)).alias("_index"),
+            F.coalesce("_weight", F.lit(1.0)).alias("_weight"),
         ),
         "training",
     )
@@ -173,9 +174,7 @@ def holdout_metrics(predicted: DataFrame) -> DataFrame:
 
 def train_and_predict(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(records with predictions, one-row metrics). Read ``records`` from a stage table."""
-    counts = {r.label: r.records for r in class_counts(records).take(MAX_CLASSES + 1)}
-    if len(counts) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes; labels come from a short taxonomy")
+    counts = {r.label: r.records for r in class_counts(records).collect()}
     labels = sorted(counts)
     names = F.array(*[F.lit(label) for label in labels]).cast("array<string>").alias("labels")
     if len(labels) < 2 or sum(counts.values()) < MIN_RECORDS or min(counts.values()) < 2:

@@ -39,6 +39,10 @@ _FOUND = schemas.struct(
 )
 
 
+#: Pages that a worker holds as Python objects at a time.
+SLICE = 64
+
+
 def page_candidates(pages: DataFrame, keep: Sequence[str] = ("url",)) -> DataFrame:
     """Parse ``html``: the page's strings and the positions of everything the rules need."""
     return scan(pages, keep, _FOUND, find_review)
@@ -55,8 +59,12 @@ def scan(pages: DataFrame, keep: Sequence[str], found: T.StructType, find) -> Da
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [row | find(row["html"]) for row in batch.to_pylist()]
-            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+            for at in range(0, batch.num_rows, SLICE):  # only a slice is held as Python objects
+                rows = []
+                for row in batch.slice(at, SLICE).to_pylist():
+                    html = row.pop("html")
+                    rows.append(row | find(html))
+                yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
     return kept.mapInArrow(parse, schema)
 

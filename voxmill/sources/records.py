@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,11 +17,26 @@ def read_records(
     """Records from parquet, JSON Lines (``jsonl``) or one JSON array per file (``json``).
 
     A JSON array cannot be split, so each such file is read by one task; use it for interchange.
+    JSON input gets ``seq`` from its place (files by path, then position in the file), unless
+    ``schema`` has it. Parquet has no such order: there ``seq`` must be a column.
     """
     if fmt == "parquet":
         return spark.read.parquet(path)
-    reader = spark.read.schema(schema)
-    return reader.json(path, multiLine=(fmt == "json"))
+    records = spark.read.schema(schema).json(path, multiLine=(fmt == "json"))
+    if "seq" in schema.fieldNames():
+        return records
+    split = records.select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_at")
+    )
+    # One row for each split that a task reads.
+    number = F.row_number().over(W.orderBy("_file", "_at")) - 1
+    splits = split.distinct().withColumn("_split", number.cast("long"))
+    placed = records.select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_at"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_row"), *schema.fieldNames(),
+    )
+    seq = F.shiftleft("_split", 33).bitwiseOR(F.col("_row")).alias("seq")
+    return placed.join(splits, ["_file", "_at"]).select(seq, *schema.fieldNames())
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -68,8 +84,6 @@ def parse_robots(files: DataFrame) -> DataFrame:
         .select("origin", F.posexplode(placed).alias("i", "x"))
         .select("origin", "i", "x.*")
     )
-    from pyspark.sql import Window as W
-
     per_file = W.partitionBy("origin").orderBy("i")
     grouped = row.withColumn("grp", F.sum("opens").over(per_file))
     agents = grouped.where("field = 'user-agent'").select(
@@ -84,15 +98,17 @@ def parse_robots(files: DataFrame) -> DataFrame:
     )
 
 
-def agent_rules(rules: DataFrame, agent: str, limit: int = 10_000) -> list[tuple[bool, str]]:
+def agent_rules(rules: DataFrame, agent: str, origin: str | None = None) -> list[tuple[bool, str]]:
     """One site's rules for an agent (else those for ``*``), brought to the driver.
 
-    The rules of one site become part of the filter expression; more than ``limit`` is an error.
+    ``origin`` names the file of the site; it is needed if ``rules`` holds several. The rules
+    become part of the filter expression; ``links.robots_filter_by_host`` joins them instead.
     """
     token = agent.lower().split("/")[0].strip()
-    rows = rules.where(F.col("agent").isin(token, "*")).orderBy("line_no").take(limit + 1)
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} robots rules; pass the rules of one site")
+    own_site = rules if origin is None else rules.where(F.col("origin") == origin)
+    if origin is None and own_site.select("origin").distinct().limit(2).count() > 1:
+        raise ValueError("the rules of several sites; name one by its origin")
+    rows = own_site.where(F.col("agent").isin(token, "*")).orderBy("line_no").collect()
     own = [r for r in rows if r.agent == token] or [r for r in rows if r.agent == "*"]
     return [(r.allow, r.path_pattern) for r in own]
 
@@ -108,6 +124,6 @@ def write_records(df: DataFrame, path: str, fmt: str = "parquet") -> str:
 
 
 def write_summary(summary: DataFrame, path: str) -> str:
-    """A one-row summary as a single JSON line."""
-    summary.limit(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    """A summary as JSON lines, one for each of its rows."""
+    summary.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
     return path
