@@ -125,7 +125,8 @@ def _ranges(docs: DataFrame, count: int) -> DataFrame:
     ).first()["at"] or []
     splits = [float("-inf"), *sorted(set(found)), float("inf")]
     made = Bucketizer(splits=splits, inputCol="_double", outputCol="_range", handleInvalid="keep")
-    return made.transform(docs.withColumn("_double", F.col("doc_id").cast("double"))).drop("_double")
+    ranged = made.transform(docs.withColumn("_double", F.col("doc_id").cast("double")))
+    return ranged.withColumn("_range", F.coalesce("_range", F.lit(float(count)))).drop("_double")
 
 
 def with_next(docs: DataFrame, count: int) -> DataFrame:

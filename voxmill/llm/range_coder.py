@@ -237,7 +237,9 @@ def decode_blocks(blocks: list[bytes]) -> np.ndarray:
 
     def take(lanes):
         for now, _ in _moved(state, lanes):
-            code[now] = (code[now] << np.uint64(16) | words[now, used[now]]) & np.uint64(_SPACE)
+            # A damaged block may ask for more words than it has; its checksum tells.
+            word = words[now, np.minimum(used[now], words.shape[1] - 1)]
+            code[now] = (code[now] << np.uint64(16) | word) & np.uint64(_SPACE)
             used[now] += 1
 
     def place_in(lanes, bits):
