@@ -123,7 +123,7 @@ def _ranges(docs: DataFrame, count: int) -> DataFrame:
     found = docs.agg(
         F.percentile_approx(F.col("doc_id").cast("double"), steps, count * 20).alias("at")
     ).first()["at"] or []
-    splits = [float("-inf"), *sorted(set(found)), float("inf")]
+    splits = [float("-inf"), *(sorted(set(found)) or [0.0]), float("inf")]
     made = Bucketizer(splits=splits, inputCol="_double", outputCol="_range", handleInvalid="keep")
     ranged = made.transform(docs.withColumn("_double", F.col("doc_id").cast("double")))
     return ranged.withColumn("_range", F.coalesce("_range", F.lit(float(count)))).drop("_double")
