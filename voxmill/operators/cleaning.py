@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxmill import lexicons as lx
@@ -14,38 +14,49 @@ from voxmill.functions import labels as lb
 from voxmill.functions import text as tx
 from voxmill.functions.once import once
 from voxmill.operators.numbering import positions
-from voxmill.sources.staging import stage
+from voxmill.sources.staging import broadcast_if_small, stage
 
 
-def first_of_each(records: DataFrame) -> DataFrame:
-    """(seq) of the first record of each (url, normalised review text).
+def copy_keys(records: DataFrame, *more: Column) -> DataFrame:
+    """(seq, _url, _digest, ...): records that agree on url and digest are copies."""
+    return records.select(
+        "seq", F.coalesce("raw_url", F.lit("")).alias("_url"),
+        F.md5(tx.normalize_text(F.col("review_text"))).alias("_digest"), *more,
+    )
+
+
+def first_of_each(keys: DataFrame) -> DataFrame:
+    """(seq) of the first record of each (url, normalised review text), from ``copy_keys``.
 
     Only urls, digests and numbers are shuffled, and each task sends one row per key, so a group of
     copies that makes up much of the table meets as a handful of rows.
     """
-    keys = records.select(
-        "seq", F.coalesce("raw_url", F.lit("")).alias("_url"),
-        F.md5(tx.normalize_text(F.col("review_text"))).alias("_digest"),
-    )
     return keys.groupBy("_url", "_digest").agg(F.min("seq").alias("seq")).select("seq")
 
 
 def dedup_reviews(records: DataFrame) -> DataFrame:
     """Keep the first record, by ``seq``, of each (url, normalised review text)."""
-    return records.join(first_of_each(records), "seq", "left_semi")
+    return records.join(first_of_each(copy_keys(records)), "seq", "left_semi")
 
 
 def dedup_and_number(records: DataFrame) -> DataFrame:
     """``dedup_reviews``, with ``record_<position>`` for the rows that have no id.
 
-    An action: the numbers of the kept rows are written as a stage table, as several steps of
-    numbering read them; the records themselves are joined once.
+    ``seq`` is unique and never null. An action: keys, kept and dropped numbers are narrow stage
+    tables. While the copies, and the rows without an id, are few, they are broadcast and the
+    records themselves are not shuffled; beyond that they are joined by ``seq``.
     """
-    kept = stage(first_of_each(records), "kept")
+    own_id = tx.non_empty(F.col("record_id"))
+    keys = stage(copy_keys(records, own_id.isNull().alias("_bare")), "keys")
+    kept = stage(first_of_each(keys), "kept")
+    dropped = stage(keys.select("seq").join(kept, "seq", "left_anti"), "dropped")
+    bare = keys.where("_bare").select("seq")
+    numbers = stage(positions(kept, "seq", "_position").join(bare, "seq", "left_semi"), "numbers")
     made = F.concat(F.lit("record_"), F.col("_position"))
     return (
-        records.join(positions(kept, "seq", "_position"), "seq")
-        .withColumn("record_id", F.coalesce(tx.non_empty(F.col("record_id")), made))
+        records.join(broadcast_if_small(dropped), "seq", "left_anti")
+        .join(broadcast_if_small(numbers), "seq", "left")
+        .withColumn("record_id", F.coalesce(own_id, made))
         .drop("_position")
     )
 
@@ -107,11 +118,17 @@ def add_labels(records: DataFrame) -> DataFrame:
 
 
 def clean_reviews(
-    records: DataFrame, stopwords: Sequence[str] | None = None, site: Site = DEFAULT_SITE
+    records: DataFrame, stopwords: Sequence[str] | None = None, site: Site = DEFAULT_SITE,
+    where: Column | None = None,
 ) -> DataFrame:
-    """Deduplicate, fill, normalise and label: ``seq`` plus the 28 clean fields."""
-    kept = dedup_and_number(schemas.complete(records, schemas.RAW_REVIEW))
-    cleaned = add_labels(add_clean_text(fill_defaults(kept, site), stopwords, site))
+    """Deduplicate, fill, normalise and label: ``seq`` plus the 28 clean fields.
+
+    ``where``, a condition on filled raw fields such as ``filters.in_years(...)``, keeps other
+    records out of the text work. A filter on the result gives the same rows but runs after it.
+    """
+    kept = fill_defaults(dedup_and_number(schemas.complete(records, schemas.RAW_REVIEW)), site)
+    kept = kept if where is None else kept.where(where)
+    cleaned = add_labels(add_clean_text(kept, stopwords, site))
     return cleaned.select("seq", *schemas.CLEAN_REVIEW.fieldNames())
 
 

@@ -16,6 +16,7 @@ from voxmill.functions import urls
 from voxmill.functions.candidates import find_links
 from voxmill.operators.numbering import running_total
 from voxmill.operators.pages import scan
+from voxmill.sources.staging import stage
 
 NEXT_TEXTS = ("Next", "›", "»")
 
@@ -98,7 +99,8 @@ def listing_links(
     )
     found = None
     for step in range(max_pages):
-        here = walk.join(stored, "at")
+        # Each step is written, so that the plan of a long walk does not repeat the steps before.
+        here = stage(walk.join(stored, "at"), "walk")
         links = here.select(
             "listing",
             F.posexplode(item_links(F.col("anchors"), site)).alias("pos", "link"),
@@ -192,7 +194,7 @@ def crawl_frontier(
         F.min("listing_no").alias("listing_no"), F.min_by("ord", "listing_no").alias("ord")
     )
     sizes = first.groupBy("listing_no").agg(F.count(F.lit(1)).alias("n"))
-    queued = running_total(sizes, "listing_no", "n", "upto")
+    queued = running_total(stage(sizes, "queue"), "listing_no", "n", "upto")
     # The search links always count; a listing counts while the queue before it is under the cap.
     open_ = queued.where((F.col("listing_no") < 0) | (F.col("upto") - F.col("n") < cap))
     source = F.when(F.col("listing_no") < 0, "search").otherwise("category_navigation")

@@ -474,8 +474,7 @@ def filtered_search(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dataset_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    records = clean(spark, sf)
-    return filters.dataset_metrics(records, filters.apply_filters(records, issue="support_issue"))
+    return filters.dataset_metrics(clean(spark, sf), issue="support_issue")
 
 
 def result_view(spark: SparkSession, sf: str) -> DataFrame:

@@ -6,8 +6,11 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
+#: Rows of a table of a few numbers that may be broadcast.
+BROADCAST_ROWS = 500_000
 
 
 def stage_root(spark: SparkSession) -> str:
@@ -31,3 +34,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def broadcast_if_small(staged: DataFrame) -> DataFrame:
+    """A stage table of a few numbers a row, marked for broadcast if its counted rows allow it."""
+    return F.broadcast(staged) if staged.count() <= BROADCAST_ROWS else staged
