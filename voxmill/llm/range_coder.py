@@ -1,13 +1,17 @@
 """Adaptive context-mixing range coder for token ids, run for many blocks in step.
 
 Every block starts from the same state, so blocks decode independently, and numpy works on one id
-of every block at a time. For each id, contexts of the last two ids, of the last id, and of no id
-each predict what follows. Their confidence selects adaptive probabilities that are mixed in the
-logistic domain with learnt weights; the mix codes whether the best candidate is right. Otherwise
-the id is coded as four digits of base 16, by adaptive distributions of order 0 that each know the digits before.
+of every block at a time. For each id, contexts of the last two ids (order 2), of the last id
+(order 1) and of no id (order 0: the most frequent one so far) each predict what follows. Their
+confidence selects adaptive probabilities, which are mixed in the logistic domain with learnt
+weights. The mix says how likely the best candidate is; the rest of the range is shared out among
+all ids by a ``Prior``, a distribution of order 0. One division of the range codes either case.
+
+The prior is flat, or counted over many blocks from the ids that the candidates missed, and then
+stored once beside the blocks.
 
 All arithmetic is on integers, so that the result does not depend on the machine. A block is
-``MAGIC``, the number of ids and their crc32 (little-endian, 32 bits each), and 16-bit words.
+``MAGIC``, the number of ids and their crc32 (little-endian, 32 bits each), and 32-bit words.
 """
 
 from __future__ import annotations
@@ -18,201 +22,216 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"VXT1"
+MAGIC = b"VXT2"
+PRIOR_MAGIC = b"VXP2"
 BLOCK = 4096
 MAX_ID = 1 << 16
 
-_ROWS = 1 + 16 + 256 + 512
-_ONE = 1 << 14  # sum of a digit distribution
-_LEAST = 4
-_RATE = 4
-_T1, _T2, _T0 = 1 << 12, 1 << 13, 1 << 10
-_SPACE, _TOP, _BOTTOM = (1 << 48) - 1, 32, 1 << 30
-
-_digit = np.arange(16)
-#: Where the limits of a distribution move after each digit.
-_GOAL = np.where(
-    _digit[None, :] <= _digit[:, None], _digit[None, :] * _LEAST, _ONE - (16 - _digit[None, :]) * _LEAST
-).astype(np.int16)
-_STRETCH = np.array(
-    [round(256 * math.log((p + 0.5) / (4095.5 - p))) for p in range(4096)], np.int64
-)
+_T0, _T1, _T2 = 1 << 9, 1 << 11, 1 << 12  # places per block for each order
+_SURE = 1 << 16  # an entry of order 1 or 2 is an id plus its confidence, 0 to 3, times this
+_FULL = 1 << 20  # sum of a prior
+_BITS = np.uint64(32)
+_WORD = np.uint64((1 << 32) - 1)
+_STEPS = 128  # ids of each block whose limits are computed together
+
+_STRETCH = np.array([round(256 * math.log((p + 0.5) / (4095.5 - p))) for p in range(4096)], np.int32)
 _SQUASH = np.array(
     [min(4095, max(1, round(4096 / (1 + math.exp(-x / 256))))) for x in range(-2047, 2048)], np.int64
 )
+#: First chances in 4096ths, by confidence, of order 1, order 2 and order 0.
+_CHANCES = np.array([600, 1400, 2200, 3000, 600, 1400, 2200, 3000, 300, 900, 0, 0], np.int32)
 
 
-class _State:
-    """Model and coder state of ``n`` blocks; ``cut`` drops blocks that have ended from the end."""
+class Prior:
+    """Shares of ids in ``_FULL``, as widths, starts and the id of each place."""
 
-    def __init__(self, n: int):
-        self.n = n
-        self.lane = np.arange(n)
-        self.rows = np.tile((_digit * (_ONE // 16)).astype(np.int16), (n * _ROWS, 1))
-        self.by1 = np.zeros(n * _T1, np.uint32)
-        self.by2 = np.zeros(n * _T2, np.uint32)
-        self.times = np.zeros(n * _T0, np.uint16)
-        self.chance = np.tile(np.array([600, 1400, 2200, 3000] * 2 + [300, 900, 0, 0], np.int32), (n, 1)).ravel()
-        self.weights = [np.full(n, 24000, np.int64) for _ in range(3)]
-        self.prev = np.zeros(n, np.int64)
-        self.prev2 = np.zeros(n, np.int64)
-        self.usual = np.zeros(n, np.int64)
-        self.usual_times = np.zeros(n, np.int64)
-        self.low = np.zeros(n, np.uint64)
-        self.range = np.full(n, _SPACE, np.uint64)
+    def __init__(self, ids: np.ndarray, widths: np.ndarray):
+        self.ids, self.widths = ids, widths
+        self.width = np.zeros(MAX_ID, np.int64)
+        self.width[ids] = widths
+        self.start = np.cumsum(self.width) - self.width
+        self.id = np.repeat(np.arange(MAX_ID, dtype=np.uint16), self.width)
+
+    @classmethod
+    def flat(cls) -> Prior:
+        return cls(np.arange(MAX_ID), np.full(MAX_ID, _FULL // MAX_ID))
+
+    @classmethod
+    def counted(cls, ids: np.ndarray) -> Prior:
+        """By frequency in ``ids``; no other id can be coded. Flat if there are none."""
+        counts = np.bincount(ids, minlength=MAX_ID)
+        found = np.flatnonzero(counts)
+        if not len(found):
+            return cls.flat()
+        widths = 1 + counts[found] * (_FULL - len(found)) // len(ids)
+        widths[widths.argmax()] += _FULL - widths.sum()
+        return cls(found, widths)
+
+    def to_bytes(self) -> bytes:
+        steps = np.diff(self.ids, prepend=0).astype("<u2").tobytes()
+        body = zlib.compress(steps + self.widths.astype("<u4").tobytes())
+        return PRIOR_MAGIC + struct.pack("<II", len(self.ids), zlib.crc32(body)) + body
+
+    @classmethod
+    def from_bytes(cls, data: bytes) -> Prior:
+        if data[:4] != PRIOR_MAGIC:
+            raise ValueError("not a prior of token ids")
+        count, crc = struct.unpack_from("<II", data, 4)
+        if zlib.crc32(data[12:]) != crc:
+            raise ValueError("a prior does not fit its checksum")
+        body = zlib.decompress(data[12:])
+        ids = np.cumsum(np.frombuffer(body, "<u2", count).astype(np.int64))
+        return cls(ids, np.frombuffer(body, "<u4", count, 2 * count).astype(np.int64))
 
-    def cut(self, n: int) -> None:
-        self.n = n
-        self.lane = self.lane[:n]
-        self.weights = [w[:n] for w in self.weights]
-        for name in ("prev", "prev2", "usual", "usual_times", "low", "range"):
-            setattr(self, name, getattr(self, name)[:n])
+
+class _Model:
+    """What ``n`` blocks have learnt so far."""
+
+    def __init__(self, n: int):
+        lane = np.arange(n)
+        # Places of order 1 and order 2 are in one table, so that both are read at once.
+        self.first = np.stack([lane * _T1, n * _T1 + lane * _T2])
+        self.mask = np.array([[_T1 - 1], [_T2 - 1]])
+        self.table = np.zeros(n * (_T1 + _T2), np.int32)
+        self.first0 = lane * _T0
+        self.times = np.zeros(n * _T0, np.int16)
+        self.chance = np.tile(_CHANCES, n)
+        self.sets = lane * 12 + np.array([[0], [4], [8]])
+        self.weights = np.full((3, n), 24000, np.int32)
+        self.hash = np.zeros((2, n), np.int64)
+        self.usual = np.zeros(n, np.int32)
+        self.usual_times = np.zeros(n, np.int16)
+        self.place = np.empty((3, n), np.int64)
 
     def predict(self) -> tuple[np.ndarray, np.ndarray]:
         """(candidate, probability in 4096ths that it is right)"""
-        at1 = self.lane * _T1 + ((self.prev * 40503 >> 4) & (_T1 - 1))
-        at2 = self.lane * _T2 + (((self.prev * 40503 + self.prev2 * 30011) >> 3) & (_T2 - 1))
-        seen1, seen2 = self.by1[at1].astype(np.int64), self.by2[at2].astype(np.int64)
-        id1, sure1, id2, sure2 = seen1 & 0xFFFF, seen1 >> 16, seen2 & 0xFFFF, seen2 >> 16
-        best = np.where(sure2 > 0, id2, np.where(sure1 > 0, id1, self.usual))
-        base = self.lane * 12
-        places = (
-            base + sure2, base + 4 + np.where(id1 == best, sure1, 0),
-            base + 8 + (self.usual == best),
-        )
-        inputs = [_STRETCH[self.chance[p]] for p in places]
-        total = sum(w * s for w, s in zip(self.weights, inputs)) >> 16
-        p = _SQUASH[np.clip(total, -2047, 2047) + 2047]
-        self.at = at1, at2, id1, sure1, id2, sure2, places, inputs, p
-        return best, p
+        self.at = (self.hash & self.mask) + self.first
+        self.seen = self.table.take(self.at)
+        self.sure = self.seen >> 16
+        self.known = self.seen & 0xFFFF
+        best = np.where(self.sure[0] > 0, self.known[0], self.usual)
+        best = np.where(self.sure[1] > 0, self.known[1], best)
+        np.multiply(self.sure, self.known == best, out=self.place[:2])
+        self.place[2] = self.usual == best
+        self.place += self.sets
+        self.now = self.chance.take(self.place)
+        self.inputs = _STRETCH.take(self.now)
+        mixed = (self.weights * self.inputs).sum(axis=0) >> 16
+        self.p = _SQUASH.take(np.minimum(np.maximum(mixed, -2047), 2047) + 2047)
+        return best, self.p
 
     def learn(self, ids: np.ndarray, hit: np.ndarray) -> None:
-        at1, at2, id1, sure1, id2, sure2, places, inputs, p = self.at
-        goal = hit.astype(np.int64) << 12
-        miss = goal - p
-        for place, w, s in zip(places, self.weights, inputs):
-            now = self.chance[place]
-            self.chance[place] = np.clip(now + ((goal - now) >> 5), 1, 4095)
-            w += (s * miss) >> 9
-        for table, at, known, sure in ((self.by1, at1, id1, sure1), (self.by2, at2, id2, sure2)):
-            same = known == ids
-            table[at] = np.where(
-                same, ids | np.minimum(sure + 1, 3) << 16,
-                np.where(sure > 1, known | (sure - 1) << 16, ids | 1 << 16),
-            )
-        at0 = self.lane * _T0 + (ids & (_T0 - 1))
-        times = self.times[at0] + 1
+        goal = hit.astype(np.int32) << 12
+        miss = goal - self.p.astype(np.int32)
+        self.chance[self.place] = np.maximum(self.now + ((goal - self.now) >> 5), 1)
+        self.weights += (self.inputs * miss) >> 10
+        np.minimum(np.maximum(self.weights, -200_000, out=self.weights), 200_000, out=self.weights)
+        fresh = np.where(self.sure > 1, self.seen - _SURE, ids | _SURE)
+        same = np.minimum(self.seen + _SURE, ids | 3 * _SURE)
+        self.table[self.at] = np.where(self.known == ids, same, fresh)
+        at0 = self.first0 + (ids & (_T0 - 1))
+        times = self.times.take(at0) + 1
         self.times[at0] = times
-        more = times >= self.usual_times
-        self.usual = np.where(more, ids, self.usual)
-        self.usual_times = np.where(more, times, self.usual_times)
-        self.prev2, self.prev = self.prev, ids
-
-    def digit_row(self, lanes: np.ndarray, so_far: np.ndarray, place: int) -> np.ndarray:
-        base = lanes * _ROWS
-        if place == 0:
-            return base
-        if place == 1:
-            return base + 1 + so_far
-        if place == 2:
-            return base + 17 + so_far
-        return base + 273 + ((so_far * 40503 >> 3) & 511)
-
-    def limits(self, row: np.ndarray, limits: np.ndarray, digit: np.ndarray):
-        """(start, width) of ``digit``; then the distribution moves towards it."""
-        every = np.arange(len(row))
-        start = limits[every, digit].astype(np.int64)
-        end = np.where(digit == 15, _ONE, limits[every, np.minimum(digit + 1, 15)])
-        self.rows[row] = limits + ((_GOAL[digit] - limits) >> _RATE)
-        return start, end - start
-
-
-def _narrow(state: _State, lanes, start, width, bits: int) -> None:
-    part = state.range[lanes] >> np.uint64(bits)
-    state.low[lanes] += part * start.astype(np.uint64)
-    state.range[lanes] = part * width.astype(np.uint64)
-
-
-def _moved(state: _State, lanes: np.ndarray):
-    """Yield the blocks whose next 16 bits are settled, and shift these bits out."""
-    while len(lanes):
-        low, width = state.low[lanes], state.range[lanes]
-        same = ((low ^ (low + width)) >> np.uint64(_TOP)) == 0
-        tight = ~same & (width < _BOTTOM)
-        if tight.any():  # straddles a limit: give up the part beyond it
-            width = np.where(tight, (~low + np.uint64(1)) & np.uint64(_BOTTOM - 1), width)
-        go = same | tight
-        lanes, low, width = lanes[go], low[go], width[go]
-        if not len(lanes):
-            return
-        yield lanes, low >> np.uint64(_TOP)
-        state.low[lanes] = (low << np.uint64(16)) & np.uint64(_SPACE)
-        state.range[lanes] = width << np.uint64(16)
+        np.copyto(self.usual, ids, where=times >= self.usual_times)
+        np.maximum(self.usual_times, times, out=self.usual_times)
+        order1 = ids.astype(np.int64) * 40503 >> 4
+        self.hash[1] = order1 * 3 + self.hash[0] * 5  # hash[0] still is that of the id before
+        self.hash[0] = order1
 
 
-def encode_blocks(ids: np.ndarray) -> list[bytes]:
-    """``ids`` cut into blocks of BLOCK ids, each one encoded by itself."""
-    count = -(-len(ids) // BLOCK)
-    if not count:
-        return []
-    if int(ids.max()) >= MAX_ID:
-        raise ValueError(f"ids must be below {MAX_ID}")
-    padded = np.zeros(count * BLOCK, np.int64)
-    padded[:len(ids)] = ids
-    steps = np.ascontiguousarray(padded.reshape(count, BLOCK).T)
-    short = len(ids) - (count - 1) * BLOCK
-    state = _State(count)
-    words = np.zeros((count, BLOCK * 5 + 8), np.uint16)
-    used = np.zeros(count, np.int64)
-
-    def put(lanes):
-        for now, word in _moved(state, lanes):
-            words[now, used[now]] = word
-            used[now] += 1
-
-    for t in range(BLOCK):
-        if t == short:
-            state.cut(count - 1)
-            if not state.n:
-                break
-        x = steps[t, :state.n]
-        best, p = state.predict()
-        hit = best == x
-        _narrow(state, state.lane, np.where(hit, 0, p), np.where(hit, p, 4096 - p), 12)
-        put(state.lane)
-        lanes = state.lane[~hit]
-        if len(lanes):
-            own = x[lanes]
-            for place in (0, 2):
-                a, b = (own >> (12 - 4 * place)) & 15, (own >> (8 - 4 * place)) & 15
-                before = own >> (16 - 4 * place)
-                row = state.digit_row(lanes, before, place)
-                s1, w1 = state.limits(row, state.rows[row], a)
-                row = state.digit_row(lanes, before << 4 | a, place + 1)
-                s2, w2 = state.limits(row, state.rows[row], b)
-                _narrow(state, lanes, (s1 << 14) + w1 * s2, w1 * w2, 28)
-                put(lanes)
-        state.learn(x, hit)
-    # Three more words settle the value. ``low`` of a block that ended early is still in the arrays.
-    low = _whole(state.low, count)
+class _Range:
+    """Low end and width of ``n`` blocks; 32 bits move out once the width is below 32 bits."""
+
+    def __init__(self, n: int):
+        self.low = np.zeros(n, np.uint64)
+        self.width = np.full(n, (1 << 64) - 1, np.uint64)
+
+    def narrow(self, part: np.ndarray, start: np.ndarray, width: np.ndarray):
+        """(blocks that move, their words)"""
+        self.low += part * start.view(np.uint64)
+        self.width = part * width.view(np.uint64)
+        go = np.flatnonzero(self.width <= _WORD)
+        low, rest = self.low[go], self.width[go]
+        # Where a multiple of 2**32 lies inside, give up the part beyond it.
+        rest = np.where((low ^ (low + rest)) > _WORD, -low & _WORD, rest)
+        self.low[go] = low << _BITS
+        self.width[go] = rest << _BITS
+        return go, low >> _BITS
+
+
+def _predictions(steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each id its probability as candidate, and whether it was the candidate."""
+    model = _Model(steps.shape[1])
+    chances = np.empty(steps.shape, np.int16)
+    hits = np.empty(steps.shape, bool)
+    for t, ids in enumerate(steps):
+        best, chances[t] = model.predict()
+        np.equal(best, ids, out=hits[t])
+        model.learn(ids, hits[t])
+    return chances, hits
+
+
+def _write(ids: np.ndarray, steps: np.ndarray, chances, hits, prior: Prior) -> list[bytes]:
+    length, count = steps.shape
+    coder = _Range(count)
+    words = np.zeros((count, length + 2), np.uint32)
+    flat = words.ravel()
+    at = np.arange(count) * (length + 2)
+    short = len(ids) - (count - 1) * length
+    for first in range(0, length, _STEPS):
+        p = chances[first:first + _STEPS].astype(np.int64)
+        hit, x = hits[first:first + _STEPS], steps[first:first + _STEPS]
+        edge, rest = p << 20, 4096 - p
+        starts = np.where(hit, 0, edge + rest * prior.start[x])
+        widths = np.where(hit, edge, rest * prior.width[x])
+        for t in range(len(p)):
+            if first + t == short:  # the last block ends here; what follows in its lane is dropped
+                last = int(coder.low[-1]), int(at[-1])
+            go, word = coder.narrow(coder.width >> _BITS, starts[t], widths[t])
+            flat[at[go]] = word
+            at[go] += 1
+    if short == length:
+        last = int(coder.low[-1]), int(at[-1])
     out = []
     for b in range(count):
-        tail = [int(low[b]) >> 32 & 0xFFFF, int(low[b]) >> 16 & 0xFFFF, int(low[b]) & 0xFFFF]
-        size = short if b == count - 1 else BLOCK
-        own = ids[b * BLOCK:b * BLOCK + size].astype("<u4").tobytes()
-        body = words[b, :used[b]].astype("<u2").tobytes() + struct.pack("<3H", *tail)
-        out.append(MAGIC + struct.pack("<II", size, zlib.crc32(own)) + body)
+        low, end = last if b == count - 1 else (int(coder.low[b]), int(at[b]))
+        own = ids[b * length:(b + 1) * length].astype("<u4")
+        body = words[b, :end - b * (length + 2)].astype("<u4").tobytes()
+        tail = struct.pack("<II", low >> 32, low & 0xFFFFFFFF)
+        out.append(MAGIC + struct.pack("<II", len(own), zlib.crc32(own)) + body + tail)
     return out
 
 
-def _whole(view: np.ndarray, count: int) -> np.ndarray:
-    """The array that ``cut`` took ``view`` from."""
-    while len(view) < count and view.base is not None:
-        view = view.base
-    return view
+def _steps(ids: np.ndarray) -> np.ndarray:
+    """Blocks side by side: row t holds id t of each. The last block is filled up with its last id."""
+    if int(ids.max()) >= MAX_ID:
+        raise ValueError(f"ids must be below {MAX_ID}")
+    length = min(BLOCK, len(ids))
+    count = -(-len(ids) // length)
+    padded = np.full(count * length, ids[-1], np.int32)
+    padded[:len(ids)] = ids
+    return np.ascontiguousarray(padded.reshape(count, length).T)
+
+
+def encode_blocks(ids: np.ndarray) -> list[bytes]:
+    """``ids`` cut into blocks of BLOCK ids, each one encoded by itself with a flat prior."""
+    if not len(ids):
+        return []
+    steps = _steps(ids)
+    return _write(ids, steps, *_predictions(steps), Prior.flat())
+
 
+def encode_counted(ids: np.ndarray) -> tuple[Prior, list[bytes]]:
+    """A prior counted over all blocks, and the blocks that were encoded with it."""
+    if not len(ids):
+        return Prior.flat(), []
+    steps = _steps(ids)
+    chances, hits = _predictions(steps)
+    prior = Prior.counted(steps[~hits])
+    return prior, _write(ids, steps, chances, hits, prior)
 
-def decode_blocks(blocks: list[bytes]) -> np.ndarray:
+
+def decode_blocks(blocks: list[bytes], prior: Prior | None = None) -> np.ndarray:
     """The ids of all blocks, in order. Raises ValueError if a checksum does not fit."""
     if not blocks:
         return np.zeros(0, np.uint32)
@@ -221,65 +240,45 @@ def decode_blocks(blocks: list[bytes]) -> np.ndarray:
         if block[:4] != MAGIC:
             raise ValueError("not a block of token ids")
         size, crc = struct.unpack_from("<II", block, 4)
+        if not 0 < size <= BLOCK:
+            raise ValueError("a block of token ids has a wrong size")
         sizes.append(size)
         sums.append(crc)
-        bodies.append(np.frombuffer(block, "<u2", offset=12))
-    order = sorted(range(len(blocks)), key=lambda b: -sizes[b])  # those that end first come last
-    count = len(blocks)
-    words = np.zeros((count, max(map(len, bodies)) + 4), np.uint64)
-    for lane, b in enumerate(order):
-        words[lane, :len(bodies[b])] = bodies[b]
-    state = _State(count)
-    code = words[:, 0] << np.uint64(32) | words[:, 1] << np.uint64(16) | words[:, 2]
-    used = np.full(count, 3)
-    length = np.array([sizes[b] for b in order])
-    steps = np.zeros((int(length[0]), count), np.int64)
-
-    def take(lanes):
-        for now, _ in _moved(state, lanes):
-            # A damaged block may ask for more words than it has; its checksum tells.
-            word = words[now, np.minimum(used[now], words.shape[1] - 1)]
-            code[now] = (code[now] << np.uint64(16) | word) & np.uint64(_SPACE)
-            used[now] += 1
-
-    def place_in(lanes, bits):
-        part = state.range[lanes] >> np.uint64(bits)
-        value = (code[lanes] - state.low[lanes]) // part
-        return np.minimum(value, np.uint64((1 << bits) - 1)).astype(np.int64)
-
-    for t in range(int(length[0])):
-        alive = int(np.searchsorted(-length, -t, side="left"))  # blocks longer than t
-        if alive < state.n:
-            state.cut(alive)
-        best, p = state.predict()
-        hit = place_in(state.lane, 12) < p
-        _narrow(state, state.lane, np.where(hit, 0, p), np.where(hit, p, 4096 - p), 12)
-        take(state.lane)
-        x = np.where(hit, best, 0)
-        lanes = state.lane[~hit]
-        if len(lanes):
-            own = np.zeros(len(lanes), np.int64)
-            for place in (0, 2):
-                value = place_in(lanes, 28)
-                row = state.digit_row(lanes, own, place)
-                limits = state.rows[row]
-                a = (limits <= (value >> 14)[:, None].astype(np.int16)).sum(axis=1) - 1
-                s1, w1 = state.limits(row, limits, a)
-                inner = (value - (s1 << 14)) // w1
-                own = own << 4 | a
-                row = state.digit_row(lanes, own, place + 1)
-                limits = state.rows[row]
-                b = (limits <= inner[:, None].astype(np.int16)).sum(axis=1) - 1
-                s2, w2 = state.limits(row, limits, b)
-                own = own << 4 | b
-                _narrow(state, lanes, (s1 << 14) + w1 * s2, w1 * w2, 28)
-                take(lanes)
-            x[lanes] = own
-        steps[t, :state.n] = x
-        state.learn(x, hit)
-    made: list[np.ndarray] = [None] * count  # type: ignore[list-item]
-    for lane, b in enumerate(order):
-        made[b] = steps[:sizes[b], lane].astype("<u4")
+        bodies.append(np.frombuffer(block, "<u4", offset=12))
+    prior = prior or Prior.flat()
+    count, wide = len(blocks), max(map(len, bodies)) + 1
+    words = np.zeros((count, wide), np.uint64)
+    for b, body in enumerate(bodies):
+        words[b, :len(body)] = body
+    code = words[:, 0] << _BITS | words[:, 1]
+    flat = words.ravel()
+    ends = np.arange(1, count + 1) * wide - 1
+    at = ends - wide + 3
+    steps = np.empty((max(sizes), count), np.int32)
+    model, coder = _Model(count), _Range(count)
+    for t in range(len(steps)):
+        x, p = model.predict()
+        part = coder.width >> _BITS
+        value = np.minimum((code - coder.low) // part, _WORD).view(np.int64)
+        width = p << 20
+        hit = value < width
+        start = np.zeros(count, np.int64)
+        missed = np.flatnonzero(~hit)
+        edge, rest = width[missed], 4096 - p[missed]
+        ids = prior.id.take((value[missed] - edge) // rest)
+        x[missed] = ids
+        start[missed] = edge + rest * prior.start.take(ids)
+        width[missed] = rest * prior.width.take(ids)
+        go, _ = coder.narrow(part, start, width)
+        # Blocks that have ended or are damaged read on at their last word.
+        own = at[go]
+        code[go] = code[go] << _BITS | flat.take(np.minimum(own, ends[go]))
+        at[go] = own + 1
+        steps[t] = x
+        model.learn(x, hit)
+    made = []
+    for b in range(count):
+        made.append(steps[:sizes[b], b].astype("<u4"))
         if zlib.crc32(made[b].tobytes()) != sums[b]:
             raise ValueError("a block of token ids does not fit its checksum")
     return np.concatenate(made)

@@ -2,8 +2,8 @@
 
 Texts are encoded with the tokenizers library, an end id follows each, and the ids are written in
 ascending order of ``doc_id`` (nulls first, equal ids by text). A file belongs to one range of
-ids and holds segments: rows of whole documents with their ids and lengths, and a payload of
-blocks (see ``range_coder``). A segment can be read by itself; ``start`` comes from the totals of
+ids and holds segments: rows of whole documents with their ids and lengths, and a payload of a
+prior and blocks (see ``range_coder``). A segment can be read by itself; ``start`` comes from the totals of
 the segments before it.
 
 Null texts count as empty and have the end id only. An empty table makes an empty file set.
@@ -27,14 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from voxmill.llm.range_coder import decode_blocks, encode_blocks
+from voxmill.llm.range_coder import Prior, decode_blocks, encode_counted
 from voxmill.llm.rows import map_slices, small_side
 from voxmill.sources.shipping import ship_package
 from voxmill.sources.staging import scratch_path
 
 END_ID = 1
 #: A segment is closed once it holds this many ids.
-SEGMENT_IDS = 4 * 1024 * 1024
+SEGMENT_IDS = 8 * 1024 * 1024
 CACHE_CHUNKS = 700_000
 #: White space of the tokenizer's pattern; its words never hold any, so parts between are independent.
 _CHUNK = re.compile("[^\t-\r \x85\xa0  -     　]+")
@@ -107,7 +107,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, text: str = "text", end_id
 
         def segment():
             joined = np.frombuffer(b"".join(ids), "<u4")
-            payload = pack(encode_blocks(joined))
+            prior, blocks = encode_counted(joined)
+            payload = pack([prior.to_bytes(), *blocks])
             return pa.RecordBatch.from_pylist([{
                 "part": part, "segment": number, "n_ids": len(joined), "doc_ids": names,
                 "lengths": lengths, "payload": payload,
@@ -150,7 +151,8 @@ def read(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
 
     def work(parts, numbers, names, lengths, payloads):
         for part, number, docs, sizes, payload in zip(parts, numbers, names, lengths, payloads):
-            data = decode_blocks(unpack(payload)).tobytes()
+            prior, *blocks = unpack(payload)
+            data = decode_blocks(blocks, Prior.from_bytes(prior)).tobytes()
             at = 0
             for doc, size in zip(docs, sizes):
                 own = data[4 * at:4 * (at + size)]
