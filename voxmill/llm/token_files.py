@@ -39,6 +39,12 @@ CACHE_CHUNKS = 700_000
 #: White space of the tokenizer's pattern; its words never hold any, so parts between are independent.
 _CHUNK = re.compile("[^\t-\r \x85\xa0  -     　]+")
 _CONTROL = re.compile("[\x1c-\x1f]")
+#: Marks that the tokenizer's pattern never joins with letters, and keeps together at the end of a part.
+_MARKS = ".,!?;:"
+#: Words of letters whose lower case and composition are theirs alone.
+_PLAIN = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+").fullmatch
+#: Parts asked for in one text.
+_TOGETHER = 256
 
 SEGMENTS = T.StructType([
     T.StructField("part", T.IntegerType()), T.StructField("segment", T.IntegerType()),
@@ -48,28 +54,69 @@ SEGMENTS = T.StructType([
 
 
 class Encoder:
-    """The tokenizers library, asked once for every distinct part between white space."""
+    """The tokenizers library, asked once for every distinct part between white space.
+
+    A part of plain letters and closing marks is one word and its marks, whose ids do not depend on
+    each other or on the case; it is asked for by the lower-cased word and the marks. Parts that
+    are asked for together are joined by a special token, and the ids are cut where it stands.
+    """
 
     def __init__(self, content: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(content)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.special = re.compile("|".join(re.escape(t.content) for t in added.values()) or "(?!)").search
+        self.between = next((
+            (t.content, i) for i, t in added.items()
+            if t.special and not (t.normalized or t.single_word or t.lstrip or t.rstrip)
+        ), None)
         self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {"": b""}
+
+    def _ask(self, pieces: list[str]) -> None:
+        """Put the ids of ``pieces`` into ``self.pieces``."""
+        alone = pieces if not self.between else [p for p in pieces if self.special(p)]
+        for piece in alone:
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+            self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        if not self.between:
+            return
+        token, id_ = self.between
+        rest = [p for p in pieces if p not in self.pieces]
+        groups = [rest[at:at + _TOGETHER] for at in range(0, len(rest), _TOGETHER)]
+        joined = [token.join(g) for g in groups]
+        for group, made in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(made.ids, "<u4")
+            raw, start = ids.tobytes(), 0
+            for piece, cut in zip(group, [*(4 * np.flatnonzero(ids == id_)).tolist(), len(raw)]):
+                self.pieces[piece] = raw[start:cut]
+                start = cut + 4
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian 32-bit integers."""
         if len(self.known) > CACHE_CHUNKS:
             self.known.clear()
-        known = self.known
+        if len(self.pieces) > CACHE_CHUNKS:
+            self.pieces = {"": b""}
+        known, pieces = self.known, self.pieces
         parts = [_CHUNK.findall(t) if _CONTROL.search(t) else t.split() for t in texts]
-        fresh = list({p for own in parts for p in own if p not in known})
-        for at in range(0, len(fresh), 4096):
-            now = fresh[at:at + 4096]
-            for part, made in zip(now, self.tokenizer.encode_batch_fast(now, add_special_tokens=False)):
-                ids = made.ids
-                known[part] = struct.pack(f"<{len(ids)}I", *ids)
-        return [b"".join([known[p] for p in own]) for own in parts]
+        found = [list(map(known.get, own)) for own in parts]
+        fresh = {p for own, ids in zip(parts, found) if None in ids for p, i in zip(own, ids) if i is None}
+        words = [p.rstrip(_MARKS) for p in fresh]
+        plain = [w.isascii() and w.isalpha() or _PLAIN(w) is not None for w in words]
+        heads = [w.lower() if yes else p for p, w, yes in zip(fresh, words, plain)]
+        tails = [p[len(w):] if yes else "" for p, w, yes in zip(fresh, words, plain)]
+        self._ask(list(set(heads).union(tails).difference(pieces)))
+        for part, head, tail in zip(fresh, heads, tails):
+            known[part] = pieces[head] + pieces[tail]
+        return [
+            b"".join([known[p] if i is None else i for p, i in zip(own, ids)] if None in ids else ids)
+            for own, ids in zip(parts, found)
+        ]
 
 
 @lru_cache(maxsize=1)
