@@ -27,7 +27,7 @@ PRIOR_MAGIC = b"VXP2"
 BLOCK = 4096
 MAX_ID = 1 << 16
 
-_T0, _T1, _T2 = 1 << 9, 1 << 11, 1 << 12  # places per block for each order
+_T0, _T1, _T2 = 1 << 8, 1 << 9, 1 << 10  # places per block for each order: small, to stay in fast memory
 _SURE = 1 << 16  # an entry of order 1 or 2 is an id plus its confidence, 0 to 3, times this
 _FULL = 1 << 20  # sum of a prior
 _BITS = np.uint64(32)

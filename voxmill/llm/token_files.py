@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from voxmill.llm.bpe import byte_letters
 from voxmill.llm.range_coder import Prior, decode_blocks, encode_counted
 from voxmill.llm.rows import map_slices, small_side
 from voxmill.sources.shipping import ship_package
@@ -43,6 +44,7 @@ _CONTROL = re.compile("[\x1c-\x1f]")
 _MARKS = ".,!?;:"
 #: Words of letters whose lower case and composition are theirs alone.
 _PLAIN = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+").fullmatch
+_LETTERS = byte_letters()
 #: Parts asked for in one text.
 _TOGETHER = 256
 
@@ -57,8 +59,9 @@ class Encoder:
     """The tokenizers library, asked once for every distinct part between white space.
 
     A part of plain letters and closing marks is one word and its marks, whose ids do not depend on
-    each other or on the case; it is asked for by the lower-cased word and the marks. Parts that
-    are asked for together are joined by a special token, and the ids are cut where it stands.
+    each other or on the case. The lower-cased word goes straight to the library's model, in byte
+    letters. All else is asked for in texts of many parts, joined by a special token, and the ids
+    are cut where it stands.
     """
 
     def __init__(self, content: str):
@@ -74,10 +77,18 @@ class Encoder:
             (t.content, i) for i, t in added.items()
             if t.special and not (t.normalized or t.single_word or t.lstrip or t.rstrip)
         ), None)
+        self.model = self.tokenizer.model
+        self.letters = {c: "".join(_LETTERS[b] for b in chr(c).encode()) for c in range(0x80, 0x100)}
         self.known: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {"": b""}
 
-    def _ask(self, pieces: list[str]) -> None:
+    def _ask_words(self, words: set[str]) -> None:
+        tokenize, letters = self.model.tokenize, self.letters
+        for word in words:
+            ids = [t.id for t in tokenize(word if word.isascii() else word.translate(letters))]
+            self.pieces[word] = struct.pack(f"<{len(ids)}I", *ids)
+
+    def _ask(self, pieces: set[str]) -> None:
         """Put the ids of ``pieces`` into ``self.pieces``."""
         alone = pieces if not self.between else [p for p in pieces if self.special(p)]
         for piece in alone:
@@ -110,7 +121,8 @@ class Encoder:
         plain = [w.isascii() and w.isalpha() or _PLAIN(w) is not None for w in words]
         heads = [w.lower() if yes else p for p, w, yes in zip(fresh, words, plain)]
         tails = [p[len(w):] if yes else "" for p, w, yes in zip(fresh, words, plain)]
-        self._ask(list(set(heads).union(tails).difference(pieces)))
+        self._ask_words({h for h, yes in zip(heads, plain) if yes and h not in pieces})
+        self._ask(set(heads).union(tails).difference(pieces))
         for part, head, tail in zip(fresh, heads, tails):
             known[part] = pieces[head] + pieces[tail]
         return [
