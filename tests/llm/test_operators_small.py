@@ -95,6 +95,25 @@ def test_range_coder():
         range_coder.decode_blocks([bytes(damaged)])
 
 
+def test_counted_prior():
+    ids = np.minimum(np.random.RandomState(4).zipf(1.3, 9000), 65535)
+    prior, blocks = range_coder.encode_counted(ids)
+    stored = prior.to_bytes()
+    again = range_coder.Prior.from_bytes(stored)
+    assert (range_coder.decode_blocks(blocks, again) == ids).all()
+    assert (range_coder.decode_blocks(blocks[2:], again) == ids[8192:]).all()
+    assert sum(map(len, blocks)) + len(stored) < sum(map(len, range_coder.encode_blocks(ids)))
+    assert range_coder.encode_counted(ids[:0])[1] == []
+    damaged = bytearray(stored)
+    damaged[20] ^= 255
+    for call in (
+        lambda: range_coder.Prior.from_bytes(bytes(damaged)),
+        lambda: range_coder.decode_blocks([blocks[0][:12]], again),  # a block without its words
+    ):
+        with pytest.raises(ValueError):
+            call()
+
+
 def test_token_files(docs, none):
     library = Tokenizer.from_file(queries.TOKENIZER)
     want, at = [], 0

@@ -246,7 +246,7 @@ def decode_blocks(blocks: list[bytes], prior: Prior | None = None) -> np.ndarray
         sums.append(crc)
         bodies.append(np.frombuffer(block, "<u4", offset=12))
     prior = prior or Prior.flat()
-    count, wide = len(blocks), max(map(len, bodies)) + 1
+    count, wide = len(blocks), max(2, *map(len, bodies)) + 1
     words = np.zeros((count, wide), np.uint64)
     for b, body in enumerate(bodies):
         words[b, :len(body)] = body
