@@ -169,6 +169,22 @@ def test_repeats(docs, none, monkeypatch):
     assert sorted((tuple(r) for r in repeats.query(docs).collect()), key=key) == want
 
 
+def test_repeats_sees_each_text_once(spark, monkeypatch):
+    copied, shared = words(200), words(120)
+    texts = [copied] * 50 + [words(20) + " " + copied[100:700] + " " + words(20), words(9) + " " + shared, shared]
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    given, inner = [], repeats.repeated
+
+    def spy(found, *args, **kinds):
+        given.append(found.groupBy("tkey").count().agg(F.max("count"), F.count("*")).first())
+        return inner(found, *args, **kinds)
+
+    monkeypatch.setattr(repeats, "repeated", spy)
+    got = sorted(tuple(r) for r in repeats.query(table).collect())
+    assert given == [(1, 4)]
+    assert got == [(i, *r) for i, r in enumerate(brute_repeats(texts))]
+
+
 def test_repeated_windows(monkeypatch):
     monkeypatch.setattr(repeats, "LENGTH", 12)
     for turn in range(60):

@@ -342,7 +342,11 @@ def _apply(key, digests, contents, packs) -> Iterator[tuple]:
 
 
 def repeated(texts: DataFrame) -> DataFrame:
-    """tkey, runs: [first, last, ...] of windows that occur elsewhere. ``texts``: tkey, bytes."""
+    """tkey, runs: [first, last, ...] of windows that occur elsewhere.
+
+    ``texts``: tkey, bytes, one row for each different text. A window that repeats only in copies of
+    its text is not found here; ``remove`` takes all of such a text.
+    """
     marked = map_slices(texts, _ANCHORS, _anchors)
     each = marked.select("tkey", F.explode("hashes").alias("hash"), F.lit(False).alias("own"))
     own = marked.select("tkey", F.explode("own").alias("hash"), F.lit(True).alias("own"))
@@ -400,6 +404,13 @@ def repeated(texts: DataFrame) -> DataFrame:
     return placed.groupBy("tkey").agg(F.flatten(F.collect_list("runs")).alias("runs"))
 
 
+def distinct_texts(texts: DataFrame, copies: DataFrame) -> DataFrame:
+    """tkey, bytes: each text once. Only texts in ``copies`` are sorted; they meet within tasks first."""
+    several = small_side(copies, 16).select("tkey")
+    one = texts.join(several, "tkey", "left_semi").groupBy("tkey").agg(F.max("bytes").alias("bytes"))
+    return texts.join(several, "tkey", "left_anti").select("tkey", "bytes").union(stage(one, "texts-copied"))
+
+
 def covered(runs: list[int]) -> list[tuple[int, int]]:
     """Byte spans covered by runs of windows, merged."""
     spans: list[list[int]] = []
@@ -427,8 +438,8 @@ def remove(docs: DataFrame, keep: list[str], text: str = "text", with_text: bool
     value = F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")
     long = docs.select(value.alias("bytes")).where(F.octet_length("bytes") >= LENGTH)
     long = long.select(F.xxhash64("bytes").alias("tkey"), "bytes")
-    copies = long.groupBy("tkey").agg(F.count("*").alias("n")).where("n > 1")
-    found = repeated(long)
+    copies = stage(long.groupBy("tkey").agg(F.count("*").alias("n")).where("n > 1"), "copies")
+    found = repeated(distinct_texts(long, copies))
     both = found.join(copies, "tkey", "full").select(
         "tkey", F.when(F.col("n").isNull(), F.col("runs")).alias("runs")  # null: all of it
     )
