@@ -8,6 +8,9 @@ from voxmill.llm import bpe, decontaminate, near_join, queries, repeats, toxicit
 from voxmill.llm.rows import read
 from voxmill.sources.staging import stage
 
+#: Words of the shortest passage that must not stand in two places, whatever its bytes.
+REPEATED_WORDS = 51
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.clean(docs, read(spark, sf_dir, "labels"))
@@ -18,7 +21,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return repeats.cut(docs)
+    return repeats.cut(docs, REPEATED_WORDS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from voxmill.llm import (
     bpe, decontaminate, fingerprints, html_templates, near_join, queries, range_coder, repeats,
     sharding, token_files, toxicity, url_filter,
@@ -185,6 +186,27 @@ def test_repeats_sees_each_text_once(spark, monkeypatch):
     assert got == [(i, *r) for i, r in enumerate(brute_repeats(texts))]
 
 
+def test_pipeline_cuts_passages_of_51_words(spark):
+    short, wide, fifty = words(51), "é " * 50 + "ende", words(50)
+    long_word = "x" + "0123456789abcdef" * 30
+    twice = words(53)
+    texts = [
+        f"{words(30)} 1 {short} 2 {words(9)}", f"{words(5)} 3\n{short.replace(' ', '  ')}\u3000ü {words(40)}",
+        f"ß {wide} 4 {words(8)}", f"{words(70)} 5 {wide}", f"{words(4)} 6 {fifty} 7", f"8 {fifty} 9 {words(6)}",
+        f"{long_word} {words(3)}", f"{words(3)} {long_word}", twice, twice, words(9), None,
+    ]
+    assert all(len(t.encode()) < 400 for t in (short, wide, twice))
+    rows = [(i, t, "en", None, len(t or ""), "x", "y") for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r for r in corpus_pipeline.cut_repeats(spark, spark.createDataFrame(rows, DOC), "").collect()}
+    for i in (0, 1):
+        assert " ".join(short.split()) not in " ".join(got[i]["text"].split())
+        assert got[i]["text"] == texts[i].replace(short if i == 0 else short.replace(" ", "  "), "")
+    assert [got[i]["text"] for i in (2, 3)] == [texts[i].replace(wide, "") for i in (2, 3)]
+    assert [got[i]["text"] for i in (4, 5, 10, 11)] == [texts[i] for i in (4, 5, 10, 11)]
+    assert all("0123456789abcdef" not in got[i]["text"] for i in (6, 7))
+    assert got[8]["text"] == got[9]["text"] == "" and got[8]["n_chars"] == 0
+
+
 def test_repeated_windows(monkeypatch):
     monkeypatch.setattr(repeats, "LENGTH", 12)
     for turn in range(60):

@@ -3,7 +3,7 @@
 Every byte covered by a string of ``LENGTH`` bytes that starts somewhere else too is removed.
 Texts are UTF-8 bytes and matches stay within a document.
 
-1. Anchors. Hashes of ``GRAM`` bytes that are the smallest of ``SPAN`` neighbours are counted over
+1. Anchors. Hashes of ``GRAM`` bytes that are the smallest of ``LENGTH / 4`` neighbours are counted over
    all texts. A window of ``LENGTH`` bytes can only repeat if the anchors that lie well inside it do.
 2. Segments. The windows that pass are given to the smallest hash inside each; neighbouring
    windows with the same one form a segment. Equal windows have equal hashes, so they meet. Equal
@@ -17,12 +17,18 @@ Texts are UTF-8 bytes and matches stay within a document.
 
 Texts below ``LENGTH`` bytes, nulls and empty texts lose nothing. Repeated rows are copies: a text
 that occurs twice and has ``LENGTH`` bytes or more loses all of them.
+
+``cut`` can also take out runs of a number of words that start somewhere else too, of any length in
+bytes. Words are what stands between white space. They are searched as above, on texts in which
+each word is a code of ``CODE`` bytes; windows count where a word begins.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import xxhash
@@ -34,14 +40,16 @@ from voxmill.llm.rows import map_groups, map_slices, small_side
 from voxmill.sources.staging import stage
 
 LENGTH = 400
-GRAM, SPAN = 24, 100
+GRAM = 24
+CODE = 5
 BUCKET_BYTES = 2_500_000
 HOT = 3000
 DIGEST_PARTS = 64
 
 _FACTOR = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
-_SEPARATOR = 0xFF  # never part of UTF-8
+_SEPARATOR = 0xFF  # never part of UTF-8 or of a code
+_WORD = re.compile(r"\S+")
 
 
 # Hashes of byte strings
@@ -92,28 +100,28 @@ def _place(keys: np.ndarray) -> np.ndarray:
     return (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
-def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of all grams, for each run of SPAN grams the place of its smallest)"""
+def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all grams, for each run of ``length // 4`` grams the place of its smallest)"""
     hashes = gram_hashes(data, GRAM)
-    return hashes, _place(sliding_min(_ordered(hashes), SPAN))
+    return hashes, _place(sliding_min(_ordered(hashes), length // 4))
 
 
-def segments(data: np.ndarray, known: np.ndarray) -> list[tuple[int, int, int]]:
+def segments(data: np.ndarray, known: np.ndarray, length: int) -> list[tuple[int, int, int]]:
     """(hash, first window, last window) of the windows that may repeat.
 
     ``known``: sorted hashes of anchors that occur more than once.
     """
-    hashes, place = anchors(data)
+    hashes, place = anchors(data, length)
     held = hashes[place]
     at = np.searchsorted(known, held)
     good = known[np.minimum(at, len(known) - 1)] == held
-    inside = LENGTH - GRAM + 1 - SPAN + 1  # runs of SPAN grams within a window
+    inside = length - GRAM + 1 - length // 4 + 1  # runs of grams within a window
     bad = np.concatenate(([0], np.cumsum(~good)))
-    windows = len(data) - LENGTH + 1
+    windows = len(data) - length + 1
     starts = np.flatnonzero(bad[inside:inside + windows] == bad[:windows])
     if not len(starts):
         return []
-    chief = _place(sliding_min(_ordered(hashes), LENGTH - GRAM + 1))[starts]
+    chief = _place(sliding_min(_ordered(hashes), length - GRAM + 1))[starts]
     edge = np.flatnonzero((np.diff(starts) != 1) | (np.diff(chief) != 0))
     first, last = np.concatenate(([0], edge + 1)), np.concatenate((edge, [len(starts) - 1]))
     signed = hashes.view(np.int64)
@@ -205,23 +213,57 @@ def prefix_places(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray
     return found
 
 
-def repeated_windows(parts: list[bytes], counts: list[int]) -> list[np.ndarray]:
+def repeated_windows(parts: list[bytes], counts: list[int], length: int | None = None) -> list[np.ndarray]:
     """For each part the windows (by first byte) that occur elsewhere in ``parts``, or that belong
     to a part that stands for several equal ones."""
+    length = length or LENGTH
     text = np.frombuffer(b"\xff".join(parts) + b"\xff", np.uint8)
     size = np.array([len(p) for p in parts])
     begin = np.concatenate(([0], np.cumsum(size + 1)[:-1]))
-    order = suffix_order(text, LENGTH)
-    apart = prefix_places(text, order, LENGTH)
-    paired = ~(apart[:-1] & apart[1:])  # shares LENGTH bytes with the suffix before or after
+    order = suffix_order(text, length)
+    apart = prefix_places(text, order, length)
+    paired = ~(apart[:-1] & apart[1:])  # shares ``length`` bytes with the suffix before or after
     again = np.zeros(len(text), bool)
     again[order] = paired
     return [
-        np.arange(s - LENGTH + 1) if c > 1 else np.flatnonzero(again[b:b + s - LENGTH + 1])
+        np.arange(s - length + 1) if c > 1 else np.flatnonzero(again[b:b + s - length + 1])
         for b, s, c in zip(begin, size, counts)
     ]
 
 
+# Words
+
+
+def word_spans(data: bytes) -> list[tuple[int, int]]:
+    """First and last byte, plus one, of each word."""
+    text = data.decode("utf-8", "surrogateescape")
+    if len(text) == len(data):
+        return [m.span() for m in _WORD.finditer(text)]
+    size = lambda part: len(part.encode("utf-8", "surrogateescape"))
+    spans, at, end = [], 0, 0
+    for m in _WORD.finditer(text):
+        at += size(text[end:m.start()])
+        spans.append((at, at + size(m[0])))
+        at, end = spans[-1][1], m.end()
+    return spans
+
+
+def word_codes(data: bytes) -> bytes:
+    """``CODE`` bytes below 255 for each word; equal words have equal codes."""
+    hashes = np.array([xxhash.xxh3_64_intdigest(data[a:b]) for a, b in word_spans(data)], np.uint64)
+    digits = [hashes // np.uint64(255 ** i) % np.uint64(255) for i in range(CODE)]
+    return np.stack(digits, axis=1).astype(np.uint8).tobytes()
+
+
+def word_cover(data: bytes, runs: list[int], words: int) -> list[tuple[int, int]]:
+    """Byte spans of the words in ``runs`` of windows of codes."""
+    spans = word_spans(data)
+    return [
+        (spans[-(-first // CODE)][0], spans[last // CODE + words - 1][1])
+        for first, last in zip(runs[::2], runs[1::2]) if -(-first // CODE) <= last // CODE
+    ]
+
+
 # Jobs
 
 
@@ -254,33 +296,35 @@ _PACKED = T.StructType([
 ])
 
 
-def _anchors(keys, texts) -> Iterator[tuple]:
-    for key, text in zip(keys, texts):
-        hashes, place = anchors(np.frombuffer(text, np.uint8))
+def _anchors(length, view, keys, texts) -> Iterator[tuple]:
+    for key, text in zip(keys, map(view, texts)):
+        if len(text) < length:
+            continue
+        hashes, place = anchors(np.frombuffer(text, np.uint8), length)
         found, times = np.unique(hashes[np.unique(place)].view(np.int64), return_counts=True)
         yield key, found[times == 1].tolist(), found[times > 1].tolist()
 
 
-def _segments(keys, known, texts) -> Iterator[tuple]:
-    for key, hashes, text in zip(keys, known, texts):
+def _segments(length, view, keys, known, texts) -> Iterator[tuple]:
+    for key, hashes, text in zip(keys, known, map(view, texts)):
         known_hashes = np.sort(np.array(hashes, np.int64).view(np.uint64))
         found: dict[tuple[int, int], tuple[list[int], bytes]] = {}
-        for hash_, first, last in segments(np.frombuffer(text, np.uint8), known_hashes):
-            content = text[first:last + LENGTH]
+        for hash_, first, last in segments(np.frombuffer(text, np.uint8), known_hashes, length):
+            content = text[first:last + length]
             digest = xxhash.xxh3_64_intdigest(content) - (1 << 63)
             found.setdefault((hash_, digest), ([], content))[0].append(first)
         for (hash_, digest), (starts, content) in found.items():
             yield hash_, digest, key, starts, content
 
 
-def _bucket(key, hashes, digests, counts, contents) -> Iterator[tuple]:
+def _bucket(length, key, hashes, digests, counts, contents) -> Iterator[tuple]:
     several = {}
     for h in hashes:
         several[h] = several.get(h, 0) + 1
     alone = [x for x, h in enumerate(hashes) if several[h] == 1]
     for x in alone:  # nothing else has its hash: all or nothing
         if counts[x] > 1:
-            yield hashes[x], digests[x], [0, len(contents[x]) - LENGTH]
+            yield hashes[x], digests[x], [0, len(contents[x]) - length]
     rest = [x for x, h in enumerate(hashes) if several[h] > 1]
     while rest:  # a few megabytes at a time; groups of one hash stay together
         rest.sort(key=lambda x: hashes[x])
@@ -291,17 +335,17 @@ def _bucket(key, hashes, digests, counts, contents) -> Iterator[tuple]:
             size += len(contents[rest[end]])
             end += 1
         now, rest = rest[:end], rest[end:]
-        windows = repeated_windows([contents[x] for x in now], [counts[x] for x in now])
+        windows = repeated_windows([contents[x] for x in now], [counts[x] for x in now], length)
         for x, places in zip(now, windows):
             if len(places):
                 yield hashes[x], digests[x], _runs(places)
 
 
-def window_digests(content: bytes) -> np.ndarray:
+def window_digests(content: bytes, length: int) -> np.ndarray:
     """Two independent 64-bit hashes of each window."""
     data = np.frombuffer(content, np.uint8)
     other = (data.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(40)
-    return np.stack([gram_hashes(data, LENGTH), gram_hashes(other, LENGTH)], axis=1)
+    return np.stack([gram_hashes(data, length), gram_hashes(other, length)], axis=1)
 
 
 _PAIR = np.dtype([("a", "<u8"), ("b", "<u8")])
@@ -311,9 +355,9 @@ def _pairs(windows: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(windows).view(_PAIR).ravel()
 
 
-def _pack(key, contents) -> Iterator[tuple]:
+def _pack(length, key, contents) -> Iterator[tuple]:
     hash_, salt = key
-    windows = np.unique(np.concatenate([_pairs(window_digests(c)) for c in contents]))
+    windows = np.unique(np.concatenate([_pairs(window_digests(c, length)) for c in contents]))
     part = (windows["a"] % np.uint64(DIGEST_PARTS)).astype(np.int64)
     for p in np.unique(part):
         yield hash_, int(p), salt, windows[part == p].tobytes()
@@ -331,23 +375,23 @@ def _across(key, salts, packs) -> Iterator[tuple]:
             yield hash_, part, salt, mine.tobytes()
 
 
-def _apply(key, digests, contents, packs) -> Iterator[tuple]:
+def _apply(length, key, digests, contents, packs) -> Iterator[tuple]:
     """Rows with ``packs`` hold repeated digests, the others hold segments."""
     shared = np.concatenate([np.frombuffer(p, _PAIR) for p in packs if p is not None] or [np.zeros(0, _PAIR)])
     for digest, content in zip(digests, contents):
         if content is not None and len(shared):
-            places = np.flatnonzero(np.isin(_pairs(window_digests(content)), shared))
+            places = np.flatnonzero(np.isin(_pairs(window_digests(content, length)), shared))
             if len(places):
                 yield key[0], digest, _runs(places)
 
 
-def repeated(texts: DataFrame) -> DataFrame:
-    """tkey, runs: [first, last, ...] of windows that occur elsewhere.
+def repeated(texts: DataFrame, length: int, view: Callable[[bytes], bytes] = bytes) -> DataFrame:
+    """tkey, runs: [first, last, ...] of windows of ``length`` bytes that occur elsewhere.
 
-    ``texts``: tkey, bytes, one row for each different text. A window that repeats only in copies of
+    ``texts``: tkey, bytes, one row for each different text; ``view`` gives what is compared. A window that repeats only in copies of
     its text is not found here; ``remove`` takes all of such a text.
     """
-    marked = map_slices(texts, _ANCHORS, _anchors)
+    marked = map_slices(texts, _ANCHORS, partial(_anchors, length, view))
     each = marked.select("tkey", F.explode("hashes").alias("hash"), F.lit(False).alias("own"))
     own = marked.select("tkey", F.explode("own").alias("hash"), F.lit(True).alias("own"))
     found = stage(each.union(own), "anchors")
@@ -362,7 +406,7 @@ def repeated(texts: DataFrame) -> DataFrame:
     rows = max(1, known.count())
     chosen = texts.join(small_side(known, 16 + 8 * weight // rows), "tkey")
     cut = stage(
-        map_slices(chosen.select("tkey", "known", "bytes"), _SEGMENTS, _segments, rows=64), "segments"
+        map_slices(chosen.select("tkey", "known", "bytes"), _SEGMENTS, partial(_segments, length, view), rows=64), "segments"
     )
     distinct = stage(
         cut.groupBy("hash", "digest").agg(
@@ -381,20 +425,20 @@ def repeated(texts: DataFrame) -> DataFrame:
     salted = distinct.join(variants, "hash").withColumn("salt", F.pmod(F.xxhash64("digest"), salts).cast("int"))
     dealt = salted.withColumn("bucket", F.pmod(F.xxhash64("hash", "salt"), F.lit(buckets)))
     runs = map_groups(
-        dealt.select("bucket", "hash", "digest", "count", "bytes"), ["bucket"], _RUNS, _bucket, int(buckets)
+        dealt.select("bucket", "hash", "digest", "count", "bytes"), ["bucket"], _RUNS, partial(_bucket, length), int(buckets)
     )
     if hot.limit(1).count():
         spread = stage(
             salted.join(hot.select("hash"), "hash", "left_semi").select("hash", "salt", "digest", "bytes"),
             "segments-spread",
         )
-        packed = map_groups(spread.select("hash", "salt", "bytes"), ["hash", "salt"], _PACKED, _pack)
+        packed = map_groups(spread.select("hash", "salt", "bytes"), ["hash", "salt"], _PACKED, partial(_pack, length))
         shared = map_groups(packed.select("hash", "part", "salt", "windows"), ["hash", "part"], _PACKED, _across)
         none = F.lit(None)
         both = spread.select("hash", "salt", "digest", "bytes", none.cast("binary").alias("pack")).union(
             shared.select("hash", "salt", none.cast("long"), none.cast("binary"), "windows")
         )
-        runs = runs.union(map_groups(both, ["hash", "salt"], _RUNS, _apply))
+        runs = runs.union(map_groups(both, ["hash", "salt"], _RUNS, partial(_apply, length)))
     runs = stage(runs, "runs")
     placed = (
         cut.select("hash", "digest", "tkey", "starts").join(runs, ["hash", "digest"])
@@ -411,17 +455,21 @@ def distinct_texts(texts: DataFrame, copies: DataFrame) -> DataFrame:
     return texts.join(several, "tkey", "left_anti").select("tkey", "bytes").union(stage(one, "texts-copied"))
 
 
-def covered(runs: list[int]) -> list[tuple[int, int]]:
-    """Byte spans covered by runs of windows, merged."""
+def merged(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
     spans: list[list[int]] = []
-    for first, last in sorted(zip(runs[::2], runs[1::2])):
+    for first, end in sorted(found):
         if spans and first <= spans[-1][1]:
-            spans[-1][1] = max(spans[-1][1], last + LENGTH)
+            spans[-1][1] = max(spans[-1][1], end)
         else:
-            spans.append([first, last + LENGTH])
+            spans.append([first, end])
     return [(a, b) for a, b in spans]
 
 
+def covered(runs: list[int]) -> list[tuple[int, int]]:
+    """Byte spans covered by runs of windows."""
+    return [(first, last + LENGTH) for first, last in zip(runs[::2], runs[1::2])]
+
+
 _REMOVED = [
     T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
     T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType()),
@@ -429,34 +477,46 @@ _REMOVED = [
 ]
 
 
-def remove(docs: DataFrame, keep: list[str], text: str = "text", with_text: bool = True) -> DataFrame:
+def remove(
+    docs: DataFrame, keep: list[str], text: str = "text", with_text: bool = True, words: int | None = None
+) -> DataFrame:
     """Columns ``keep`` plus ``n_bytes, n_removed, n_spans, kept_sha256, kept``.
 
     ``kept``: the remaining text; bytes of a character that was cut are left out of it. It is null
-    where nothing was removed, or if ``with_text`` is false.
+    where nothing was removed, or if ``with_text`` is false. ``words``: runs of so many words that
+    start somewhere else too are removed besides.
     """
     value = F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")
-    long = docs.select(value.alias("bytes")).where(F.octet_length("bytes") >= LENGTH)
+    least = min(LENGTH, 2 * words - 1) if words else LENGTH
+    long = docs.select(value.alias("bytes")).where(F.octet_length("bytes") >= least)
     long = long.select(F.xxhash64("bytes").alias("tkey"), "bytes")
     copies = stage(long.groupBy("tkey").agg(F.count("*").alias("n")).where("n > 1"), "copies")
-    found = repeated(distinct_texts(long, copies))
+    texts = distinct_texts(long, copies)
+    found = repeated(texts.where(F.octet_length("bytes") >= LENGTH), LENGTH)
+    if words:
+        again = repeated(texts, words * CODE, word_codes).withColumnRenamed("runs", "word_runs")
+        found = found.join(again, "tkey", "full")
+    else:
+        found = found.withColumn("word_runs", F.lit(None).cast("array<int>"))
+    own = lambda c: F.when(F.col("n").isNull(), F.col(c)).alias(c)
     both = found.join(copies, "tkey", "full").select(
-        "tkey", F.when(F.col("n").isNull(), F.col("runs")).alias("runs")  # null: all of it
+        "tkey", own("runs"), own("word_runs"), F.col("n").isNotNull().alias("whole")
     )
     both = stage(both, "removals")
-    weight = both.agg(F.sum(F.greatest(F.size("runs"), F.lit(0)))).first()[0] or 0
-    side = small_side(both, 24 + 4 * weight // max(1, both.count()))
+    places = F.greatest(F.size("runs"), F.lit(0)) + F.greatest(F.size("word_runs"), F.lit(0))
+    weight = both.agg(F.sum(places)).first()[0] or 0
+    side = small_side(both, 28 + 4 * weight // max(1, both.count()))
     rows = docs.select(
         *(F.col(c).alias(f"_{i}") for i, c in enumerate(keep)), value.alias("bytes"),
     ).withColumn("tkey", F.xxhash64("bytes"))
-    joined = rows.join(side.withColumn("found", F.lit(True)), "tkey", "left")
+    joined = rows.join(side, "tkey", "left")
     inner = [T.StructField(f"_{i}", docs.schema[c].dataType) for i, c in enumerate(keep)]
 
     def work(*columns):
-        for *left, data, hit, runs in zip(*columns):
-            spans = []
-            if hit and len(data) >= LENGTH:
-                spans = [(0, len(data))] if runs is None else covered(runs)
+        for *left, data, whole, runs, word_runs in zip(*columns):
+            spans = merged(covered(runs or []) + (word_cover(data, word_runs, words) if word_runs else []))
+            if whole and (len(data) >= LENGTH or words and len(word_spans(data)) >= words):
+                spans = [(0, len(data))]
             rest, at = [], 0
             for a, b in spans:
                 rest.append(data[at:a])
@@ -470,7 +530,7 @@ def remove(docs: DataFrame, keep: list[str], text: str = "text", with_text: bool
 
     names = [f.name for f in _REMOVED]
     out = map_slices(
-        joined.select(*(f.name for f in inner), "bytes", "found", "runs"),
+        joined.select(*(f.name for f in inner), "bytes", "whole", "runs", "word_runs"),
         T.StructType([*inner, *_REMOVED]), work,
     )
     return out.select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(keep)), *names)
@@ -480,9 +540,9 @@ def query(docs: DataFrame) -> DataFrame:
     return remove(docs, ["doc_id"], with_text=False).drop("kept")
 
 
-def cut(docs: DataFrame) -> DataFrame:
+def cut(docs: DataFrame, words: int | None = None) -> DataFrame:
     """``docs`` with repeated strings taken out of ``text`` and ``n_chars`` counted anew."""
-    made = remove(docs, docs.columns)
+    made = remove(docs, docs.columns, words=words)
     text = F.coalesce("kept", "text")
     changed = F.col("kept").isNotNull()
     columns = []
