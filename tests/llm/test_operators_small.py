@@ -244,6 +244,31 @@ def test_html(spark):
     assert html_templates.query(pages.limit(0)).count() == 0
 
 
+def html_texts(spark, pages):
+    rows = [(i, f"http://{host}/{i}", html, "x") for i, (host, html) in enumerate(pages)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    return [r["text"] for r in sorted(html_templates.query(table).collect())]
+
+
+def test_html_state_classes_on_wrappers(spark):
+    post = "<{tag}><h2>Head {n}</h2><p>Text of {n}.</p><div class=comments><p>reader</p></div></{tag2}>"
+    art = lambda n: post.format(tag="article class=share-enabled", tag2="article", n=n)
+    div = lambda n: post.format(tag="div class=entry", tag2="div", n=f"{n} " + "long " * 30)
+    shells = [
+        '<body class="has-sidebar">{}</body>', '<body><main class="no-sidebar">{}</main></body>',
+        '<body><div id="page" class="menu-open">{}<div id=comments><article>reader</article></div></div></body>',
+    ]
+    pages = [(f"h{k}.example", s.format(art(n))) for k, s in enumerate(shells) for n in range(3)]
+    pages += [("d.example", shells[2].replace("<article>", "<p>").format(div(n))) for n in range(3)]
+    pages += [("m.example", s.format(art(n))) for n, s in enumerate((shells[0], shells[2], shells[2]))]
+    got = html_texts(spark, pages)
+    for i in range(9):
+        assert got[i] == f"Head {i % 3}\n\nText of {i % 3}."
+    for n in range(3):
+        assert got[9 + n].startswith(f"Head {n} long") and "reader" not in got[9 + n]
+        assert got[12 + n] == f"Head {n}\n\nText of {n}."
+
+
 def test_shards(spark, docs, none):
     got = rows_of(sharding.query(docs))
     assert len(got) == len(TEXTS) + 2

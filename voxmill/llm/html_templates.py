@@ -66,32 +66,36 @@ _WORDS = re.compile(r"[a-z]+")
 Node = tuple  # (path, noise, in_link)
 
 
-def _name(tag: str, attributes: str) -> tuple[str, bool, bool]:
-    """(step of the path, whether it is noise, whether it is a named main element)"""
-    noise, main, label = tag in _NOISE_TAGS, tag in ("article", "main"), ""
+def _name(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
+    """(step of the path, noise by tag or role, noise by a class or id, whether it is a named main element)"""
+    noise, soft, main, label = tag in _NOISE_TAGS, False, tag in ("article", "main"), ""
     if attributes:
         for kind, a, b, c in _ATTRIBUTE.findall(attributes):
             value = (a or b or c).lower()
             if kind.lower() in ("class", "id"):
                 label += "." + ".".join(value.split())
-                noise = noise or not _NOISE_WORDS.isdisjoint(_WORDS.findall(value))
+                soft = soft or not _NOISE_WORDS.isdisjoint(_WORDS.findall(value))
             else:
                 main = main or value in _MAIN_ROLES
                 noise = noise or value in ("navigation", "banner", "complementary", "contentinfo", "search")
-    return tag + label, noise, main
+    return tag + label, noise, soft and not main and tag not in ("html", "body"), main
 
 
-def walk(html: str):
-    """Events in page order: ("open", path, noise, main), ("text", path, noise, in_link, raw), ("break",)."""
-    stack: list[tuple[str, str, bool, bool, bool]] = []  # tag, path, noise, main, link
+def walk(html: str, free: frozenset = frozenset(), root: str | None = None):
+    """Events in page order: ("open", path, noise, main, softs, hard), ("text", path, noise, in_link, raw,
+    softs, hard), ("break",). ``softs``: places of the elements around that are noise by a class word only;
+    those in ``free`` are not noise. ``hard``: within noise by tag or role. Noise is judged below ``root``.
+    """
+    stack: list[tuple] = []  # tag, path, noise, main, link, softs, hard
+    top = ("", "", False, False, False, (), False)
     at, size = 0, len(html)
     find = _TAG.search
     while at < size:
         m = find(html, at)
         start = m.start() if m else size
         if start > at:
-            _, path, noise, _, link = stack[-1] if stack else ("", "", False, False, False)
-            yield "text", path, noise, link, html[at:start]
+            _, path, noise, _, link, softs, hard = stack[-1] if stack else top
+            yield "text", path, noise, link, html[at:start], softs, hard
         if not m:
             return
         at = m.end()
@@ -109,8 +113,8 @@ def walk(html: str):
                     break
             continue
         if tag == "br":
-            _, path, noise, _, link = stack[-1] if stack else ("", "", False, False, False)
-            yield "text", path, noise, link, " "
+            _, path, noise, _, link, softs, hard = stack[-1] if stack else top
+            yield "text", path, noise, link, " ", softs, hard
             continue
         if tag in _BLOCK:
             yield ("break",)
@@ -130,10 +134,15 @@ def walk(html: str):
                     if stack[i][0] in _BARRIER:
                         break
         attributes = m[3] if m[3] is not None else m[6] or ""
-        step, noise, main = _name(tag, attributes)
-        above = stack[-1] if stack else ("", "", False, False, False)
+        step, own_hard, own_soft, main = _name(tag, attributes)
+        above = stack[-1] if stack else top
         path = f"{above[1]}>{step}" if tag in _BLOCK else above[1]
-        yield "open", path if tag in _BLOCK else "", noise or above[2], main
+        softs = (*above[5], at) if own_soft else above[5]
+        hard = own_hard or above[6]
+        noise = own_hard or own_soft and at not in free or above[2]
+        if tag in _BLOCK and path == root:
+            noise = False
+        yield "open", path if tag in _BLOCK else "", noise, main, softs, hard
         if tag in _VOID:
             continue
         if tag in _RAW:
@@ -141,7 +150,27 @@ def walk(html: str):
             at = closed.end() if closed else size
             continue
         if not attributes.endswith("/"):
-            stack.append((tag, path, noise or above[2], main or above[3], above[4] or tag == "a"))
+            stack.append((tag, path, noise, main or above[3], above[4] or tag == "a", softs, hard))
+
+
+def wrappers(html: str) -> frozenset:
+    """Places of elements whose class word tells a state of the page, not noise: those around the named main
+    element that has the fewest of them, else those that hold nine tenths of the unlinked text."""
+    around, held, total = None, {}, 0
+    for event in walk(html):
+        if event[0] == "break" or event[-1]:
+            continue
+        if event[0] == "open":
+            if event[3] and (around is None or len(event[4]) < len(around)):
+                around = event[4]
+        elif not event[3]:
+            size = len(event[4].strip())
+            total += size
+            for place in event[5]:
+                held[place] = held.get(place, 0) + size
+    if around is not None:
+        return frozenset(around)
+    return frozenset(place for place, size in held.items() if size * 10 >= total * 9)
 
 
 TOKENS = T.StructType([
@@ -155,7 +184,7 @@ TOKENS = T.StructType([
 def tokens_of(html: str) -> dict[str, list]:
     """path -> [times, named main, noise, characters of unlinked text inside]"""
     found: dict[str, list] = {}
-    for event in walk(html):
+    for event in walk(html, wrappers(html)):
         if event[0] == "open" and event[1]:
             own = found.setdefault(event[1], [0, event[3], event[2], 0])
             own[0] += 1
@@ -180,7 +209,8 @@ def templates(pages: DataFrame) -> DataFrame:
         tokens.groupBy("host", "path").agg(
             F.count("*").alias("pages"), F.sum("times").alias("times"),
             F.sum(F.pmod(F.xxhash64("page", "times"), F.lit(1 << 31))).alias("vector"),
-            F.max("main").alias("main"), F.max("noise").alias("noise"), F.sum("chars").alias("chars"),
+            F.max("main").alias("main"), F.sum("chars").alias("chars"),
+            (F.count_if("noise") * 2 > F.count("*")).alias("noise"),
         ),
         "html-vectors",
     )
@@ -213,11 +243,13 @@ def main_slots(found: DataFrame) -> DataFrame:
     )
 
 
-def _blocks(html: str, inside) -> list[str]:
+def _blocks(html: str, free: frozenset, root: str | None) -> list[str]:
+    """Blocks of text under ``root``, or of the whole page."""
     blocks, parts = [], []
-    for event in walk(html):
+    under = None if root is None else root + ">"
+    for event in walk(html, free, root):
         if event[0] == "text":
-            if not event[2] and inside(event[1]):
+            if not event[2] and (root is None or event[1] == root or event[1].startswith(under)):
                 parts.append(event[4])
         elif event[0] == "break" and parts:
             blocks.append("".join(parts))
@@ -231,15 +263,13 @@ def main_text(html: str | None, main: str | None) -> str:
     """Blocks of the main slot, joined by an empty line."""
     if not html:
         return ""
-    under = None if main is None else main + ">"
-    blocks = [] if main is None else _blocks(html, lambda p: p == main or p.startswith(under))
+    free = wrappers(html)
+    blocks = [] if main is None else _blocks(html, free, main)
     if not blocks:
-        named = {e[1] for e in walk(html) if e[0] == "open" and e[3] and e[1] and not e[2]}
+        named = {e[1] for e in walk(html, free) if e[0] == "open" and e[3] and e[1] and not e[2]}
         own = min(named, key=lambda p: (p.count(">"), p), default=None)
-        if own is None:
-            blocks = _blocks(html, lambda p: True) if main is None else []
-        elif own != main:
-            blocks = _blocks(html, lambda p: p == own or p.startswith(own + ">"))
+        if own != main or own is None:
+            blocks = _blocks(html, free, own)
     return "\n\n".join(blocks)
 
 
