@@ -269,6 +269,23 @@ def test_html_state_classes_on_wrappers(spark):
         assert got[12 + n] == f"Head {n}\n\nText of {n}."
 
 
+def test_html_layouts_optional_parts_and_page_ids(spark):
+    shell = "<body><nav><a href=/>Menu</a></nav><div class=crumb>You are here</div>{}<div class=end>Contact us</div></body>"
+    art = lambda n, a="": f"<article {a}><h2>Head {n}</h2><p>Text of {n}.</p></article>"
+    box = lambda kind, n: f"<div class={kind}><h2>Head {n}</h2><p>Text {n} {'long ' * 60}</p></div>"
+    pages = [("lack.example", shell.format(art(n) if n else "<p>Nothing here</p>")) for n in range(4)]
+    pages += [("twice.example", shell.format(art(n) + (art("more") if n == 5 else ""))) for n in range(4, 8)]
+    pages += [("ids.example", shell.format(art(n, f"id=post-{n} class='post-{n} post'"))) for n in range(8, 11)]
+    pages += [("two.example", shell.format(box("post" if n % 2 else "story", n))) for n in range(11, 17)]
+    got = html_texts(spark, pages)
+    for n in [1, 2, 3, 4, 6, 7, 8, 9, 10]:
+        assert got[n] == f"Head {n}\n\nText of {n}."
+    assert "Nothing here" in got[0]
+    assert got[5] == "Head 5\n\nText of 5.\n\nHead more\n\nText of more."
+    for n in range(11, 17):
+        assert got[n] == f"Head {n}\n\nText {n} " + " ".join(["long"] * 60)
+
+
 def test_shards(spark, docs, none):
     got = rows_of(sharding.query(docs))
     assert len(got) == len(TEXTS) + 2

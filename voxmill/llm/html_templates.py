@@ -1,16 +1,18 @@
 """Main text of web pages by equivalence classes of template tokens.
 
-A token is an element's place in the page (its path of names and classes). Pages of one host are
+A token is an element's place in the page (its path of names, classes and ids; words with digits and the ids
+of articles belong to a page and are left out). Pages of one host are
 compared by occurrence vectors: how often a token occurs on each page. Tokens with the same vector
 form a class; vectors are compared by an additive hash, so a host with any number of pages needs
-one small sum per token and task. A class is valid if it covers every page of the host, each of its tokens once per page, and
-holds at least two tokens; nested by path, the valid classes are the template. Its slots are the contents of its elements. The main
-slot is the one that holds the article: a named one (``article``, ``main``) if the template has it,
-else the deepest element with most of the unlinked text. Pages are then cut at the template's main
-slot, elements that are never part of an article are left out, and the blocks of text remain.
+one small sum per token and task. A class is valid if at least ``SUPPORT`` of the host's pages hold it (and
+two, if the host has two), any number of times, and it has two tokens or a named one (``article``, ``main``).
+The valid classes nest by path. Their elements are slots: the named ones, and those that hold most of the
+unlinked text of the pages that have them. A host with several layouts, or with optional parts, has
+slots of several classes. A page is cut at the best slot that it has itself: a named one, the outermost first,
+else the deepest. Elements that are never part of an article are left out, and the blocks of text remain.
 
 Null and empty html gives an empty text. A null URL, or a URL without host, counts as the host ''.
-A page that lacks its host's main slot falls back on its own ``article``, ``main`` or ``body``.
+A page that lacks its host's slots, or has none below ``body``, falls back on its own ``article``, ``main`` or ``body``.
 """
 
 from __future__ import annotations
@@ -26,8 +28,14 @@ from voxmill.llm.rows import map_slices
 from voxmill.llm.url_filter import host_and_path
 from voxmill.sources.staging import stage
 
-#: Hosts whose main slots may be broadcast: about 64 MB at 256 bytes each. More are joined.
-BROADCAST_HOSTS = 250_000
+#: Bytes of the hosts' slots that may be broadcast. More are joined.
+BROADCAST_BYTES = 32_000_000
+#: Share of a host's pages that must hold a class.
+SUPPORT = 0.05
+#: Elements that can be a slot without a name; paragraphs, lists and headings are parts of an article.
+_CONTAINERS = "html|body|div|section|td|center|fieldset|details"
+#: Share of the unlinked text that a slot without a name must hold.
+DENSE = 0.7
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
@@ -62,6 +70,7 @@ _NOISE_WORDS = frozenset(
 )
 _MAIN_ROLES = frozenset({"main", "articlebody"})
 _WORDS = re.compile(r"[a-z]+")
+_DIGIT = re.compile(r"\d")
 
 Node = tuple  # (path, noise, in_link)
 
@@ -73,7 +82,8 @@ def _name(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
         for kind, a, b, c in _ATTRIBUTE.findall(attributes):
             value = (a or b or c).lower()
             if kind.lower() in ("class", "id"):
-                label += "." + ".".join(value.split())
+                if kind.lower() == "class" or tag not in ("article", "main"):
+                    label += "".join("." + w for w in value.split() if not _DIGIT.search(w))
                 soft = soft or not _NOISE_WORDS.isdisjoint(_WORDS.findall(value))
             else:
                 main = main or value in _MAIN_ROLES
@@ -177,7 +187,7 @@ TOKENS = T.StructType([
     T.StructField("host", T.StringType()), T.StructField("page", T.LongType()),
     T.StructField("path", T.StringType()), T.StructField("times", T.LongType()),
     T.StructField("main", T.BooleanType()), T.StructField("noise", T.BooleanType()),
-    T.StructField("chars", T.LongType()),
+    T.StructField("chars", T.LongType()), T.StructField("all_chars", T.LongType()),
 ])
 
 
@@ -201,46 +211,50 @@ def templates(pages: DataFrame) -> DataFrame:
     """host, tokens: the paths of the host's valid classes. ``pages``: host, page, html."""
     def work(hosts, keys, texts):
         for host, page, text in zip(hosts, keys, texts):
-            for path, (times, main, noise, chars) in tokens_of(text or "").items():
-                yield host, page, path, times, main, noise, chars
+            tokens = tokens_of(text or "")
+            whole = max((t[3] for t in tokens.values()), default=0)
+            for path, (times, main, noise, chars) in tokens.items():
+                yield host, page, path, times, main, noise, chars, whole
 
     tokens = map_slices(pages.select("host", "page", "html"), TOKENS, work)
     vectors = stage(
         tokens.groupBy("host", "path").agg(
             F.count("*").alias("pages"), F.sum("times").alias("times"),
             F.sum(F.pmod(F.xxhash64("page", "times"), F.lit(1 << 31))).alias("vector"),
-            F.max("main").alias("main"), F.sum("chars").alias("chars"),
+            F.max("main").alias("main"), F.sum("chars").alias("chars"), F.sum("all_chars").alias("all_chars"),
             (F.count_if("noise") * 2 > F.count("*")).alias("noise"),
         ),
         "html-vectors",
     )
     totals = vectors.groupBy("host").agg(F.max("pages").alias("of"))
+    enough = F.greatest(F.least(F.lit(2), F.col("of")), F.ceil(F.col("of") * SUPPORT))
     classes = (
         vectors.join(totals, "host")
-        .where((F.col("pages") == F.col("of")) & (F.col("times") == F.col("pages")))
+        .where(F.col("pages") >= enough)
         .groupBy("host", "vector")
-        .agg(F.collect_list(F.struct("path", "main", "noise", "chars")).alias("tokens"))
-        .where(F.size("tokens") >= 2)  # bounded: distinct paths that every page of a host has
+        .agg(F.collect_list(F.struct("path", "main", "noise", "chars", "all_chars")).alias("tokens"))
+        .where((F.size("tokens") >= 2) | F.exists("tokens", lambda t: t["main"]))
     )
+    # bounded: as each token is on a share of the pages, there are 1 / SUPPORT times those of a page
     return classes.groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
 
 
 def main_slots(found: DataFrame) -> DataFrame:
-    """host, main: the path of the element that holds the article."""
+    """host, main: the paths of the elements that may hold the article, best first."""
     useful = F.filter("tokens", lambda t: ~t["noise"])
     depth = lambda t: F.size(F.split(t["path"], ">"))
     named = F.array_sort(F.transform(
         F.filter(useful, lambda t: t["main"]),
         lambda t: F.struct(depth(t).alias("depth"), (-t["chars"]).alias("less"), t["path"].alias("path")),
     ))
-    most = F.array_max(F.transform(useful, lambda t: t["chars"]))
     dense = F.array_sort(F.transform(
-        F.filter(useful, lambda t: t["chars"] * 10 >= most * 7),
-        lambda t: F.struct((-depth(t)).alias("deep"), t["path"].alias("path")),
+        F.filter(
+            useful, lambda t: ~t["main"] & t["path"].rlike(f">({_CONTAINERS})(\\.[^>]*)?$")
+            & (t["chars"] >= t["all_chars"] * DENSE) & (t["chars"] > 0),
+        ),
+        lambda t: F.struct((-depth(t)).alias("deep"), (-t["chars"]).alias("less"), t["path"].alias("path")),
     ))
-    return found.select(
-        "host", F.coalesce(F.get(named, F.lit(0))["path"], F.get(dense, F.lit(0))["path"]).alias("main")
-    )
+    return found.select("host", F.concat(named["path"], dense["path"]).alias("main"))
 
 
 def _blocks(html: str, free: frozenset, root: str | None) -> list[str]:
@@ -259,17 +273,21 @@ def _blocks(html: str, free: frozenset, root: str | None) -> list[str]:
     return [b for b in plain if b]
 
 
-def main_text(html: str | None, main: str | None) -> str:
-    """Blocks of the main slot, joined by an empty line."""
+def main_text(html: str | None, slots: list[str] | None) -> str:
+    """Blocks of the first of ``slots`` that the page has, joined by an empty line."""
     if not html:
         return ""
     free = wrappers(html)
+    opened = [e for e in walk(html, free) if e[0] == "open" and e[1]]
+    held, named = {e[1] for e in opened}, {e[1] for e in opened if e[3] and not e[2]}
+    main = next((p for p in slots or () if p in held), None)
+    own = min(named, key=lambda p: (p.count(">"), p), default=None)
+    step = main.rpartition(">")[2].partition(".")[0] if main else None
+    if own is not None and step in ("html", "body"):
+        main = own
     blocks = [] if main is None else _blocks(html, free, main)
-    if not blocks:
-        named = {e[1] for e in walk(html, free) if e[0] == "open" and e[3] and e[1] and not e[2]}
-        own = min(named, key=lambda p: (p.count(">"), p), default=None)
-        if own != main or own is None:
-            blocks = _blocks(html, free, own)
+    if not blocks and (own != main or own is None):
+        blocks = _blocks(html, free, own)
     return "\n\n".join(blocks)
 
 
@@ -281,7 +299,8 @@ def extract(pages: DataFrame, keep: list[str], url: str = "url", html: str = "ht
     )
     keys = pages.select(host.alias("host"), F.xxhash64(*keep, F.col(url)).alias("page"), F.col(html).alias("html"))
     slots = stage(main_slots(templates(keys)), "html-slots")
-    few = slots.count() <= BROADCAST_HOSTS
+    size = F.octet_length(F.concat_ws("", "main")) + F.octet_length("host") + 64
+    few = (slots.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES
     joined = rows.join(F.broadcast(slots) if few else slots, "host", "left")
     inner = [T.StructField(f"_{i}", pages.schema[c].dataType) for i, c in enumerate(keep)]
 
