@@ -1,10 +1,9 @@
-"""Near-duplicate join on word shingles: MinHash LSH forest, then exact Jaccard.
+"""Near-duplicate join on word shingles: MinHash bands, then exact Jaccard.
 
 A text's set: hashes of its runs of five words (lower-cased ``\\w+``; a shorter text has one run of
 all its words). Texts with equal sets are one node with a weight. Each node has ``TREES`` labels of
-``DEPTH`` MinHash values; the labels of a tree, sorted, are a prefix trie. Matching starts at whole
-labels and shortens the prefix until trees * prefix length give the wanted recall for the
-threshold (``prefix_for``); nodes that meet in a trie node are compared by their signatures first. What
+``DEPTH`` MinHash values. The first values of a label are a band, of one length for all, the longest that gives
+the wanted recall for the threshold (``prefix_for``); nodes that meet in a band are compared by their signatures first. What
 passes is gathered into candidate groups by connected components, every group's sets are fetched
 once, and all its pairs are verified exactly.
 
