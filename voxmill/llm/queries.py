@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from voxmill.llm import (
-    bpe, decontaminate, fingerprints, html_templates, near_join, repeats, sharding,
+    bpe, decontaminate, fill_middle, fingerprints, html_templates, near_join, repeats, sharding,
     token_files, toxicity, url_filter,
 )
 from voxmill.llm.rows import read
@@ -53,9 +53,14 @@ def op10_fingerprints(spark, sf_dir):
     return fingerprints.query(read(spark, sf_dir, "documents"))
 
 
+def op11_fill_middle(spark, sf_dir):
+    return fill_middle.query(read(spark, sf_dir, "documents"))
+
+
 _OPERATORS = (
     op1_toxicity, op2_url_filter, op3_token_files, op4_repeats, op5_html_main_text, op6_shards,
     op7_near_join, op8_decontaminate, op9_bpe, op10_fingerprints,
+    op11_fill_middle,
 )
 
 
@@ -64,4 +69,7 @@ def queries():
 
 
 def oracle_sql():
-    return {"op4_repeats": repeats.ORACLE, "op8_decontaminate": decontaminate.ORACLE}
+    return {
+        "op4_repeats": repeats.ORACLE, "op8_decontaminate": decontaminate.ORACLE,
+        "op11_fill_middle": fill_middle.ORACLE,
+    }
