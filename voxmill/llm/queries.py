@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 
 from voxmill.llm import (
-    bpe, decontaminate, fill_middle, fingerprints, html_templates, near_join, repeats, sharding,
-    token_files, toxicity, url_filter,
+    bpe, decontaminate, fill_middle, fingerprints, html_templates, merkle, near_join, repeats,
+    sharding, token_files, toxicity, url_filter, warc,
 )
 from voxmill.llm.rows import read
 
@@ -57,10 +57,18 @@ def op11_fill_middle(spark, sf_dir):
     return fill_middle.query(read(spark, sf_dir, "documents"))
 
 
+def op12_warc(spark, sf_dir):
+    return warc.query(read(spark, sf_dir, "pages"))
+
+
+def op13_merkle(spark, sf_dir):
+    return merkle.query(read(spark, sf_dir, "documents"))
+
+
 _OPERATORS = (
     op1_toxicity, op2_url_filter, op3_token_files, op4_repeats, op5_html_main_text, op6_shards,
     op7_near_join, op8_decontaminate, op9_bpe, op10_fingerprints,
-    op11_fill_middle,
+    op11_fill_middle, op12_warc, op13_merkle,
 )
 
 
@@ -71,5 +79,5 @@ def queries():
 def oracle_sql():
     return {
         "op4_repeats": repeats.ORACLE, "op8_decontaminate": decontaminate.ORACLE,
-        "op11_fill_middle": fill_middle.ORACLE,
+        "op11_fill_middle": fill_middle.ORACLE, "op12_warc": warc.ORACLE, "op13_merkle": merkle.ORACLE,
     }
