@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,13 +30,58 @@ def stage_root(spark: SparkSession) -> str:
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back, so that it is computed once and survives lost executors."""
     spark = df.sparkSession
-    path = f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if _scopes():
+        _scopes()[-1].append(path)
+    return path
+
+
+_local = threading.local()
+
+
+def _scopes() -> list[list[str]]:
+    """The open scopes of this thread, each with the paths given out in it."""
+    if not hasattr(_local, "scopes"):
+        _local.scopes = []
+    return _local.scopes
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder from whatever store it is in."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Stage tables and scratch paths of the block are removed at its end, also if it fails.
+
+    They are on shared storage until then, so a lost executor costs no more than the tasks it ran. What is
+    needed after the block must be written by ``settled``, or collected.
+    """
+    own: list[str] = []
+    _scopes().append(own)
+    try:
+        yield
+    finally:
+        _scopes().remove(own)
+        for path in own:
+            remove_path(spark, path)
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """The result of ``make()`` as a stage table; those that it wrote on the way are removed."""
+    path = scratch_path(spark, label)  # of the scope outside
+    with scope(spark):
+        made = make()
+        made.write.parquet(path)
+    return spark.read.schema(made.schema).parquet(path)
 
 
 def broadcast_if_small(staged: DataFrame) -> DataFrame:
