@@ -164,10 +164,11 @@ def test_repeats(docs, none, monkeypatch):
     key = lambda r: (r[0] is None, r[0] or 0, r[1:])
     want = sorted(((d[0], *r) for d, r in zip(table, brute_repeats([t for _, t in table]))), key=key)
     assert sum(r[2] > 0 for r in want) >= 5
-    assert sorted((tuple(r) for r in repeats.query(docs).collect()), key=key) == want
+    bytes_of = lambda df: [tuple(r)[:5] for r in df.collect()]
+    assert sorted(bytes_of(repeats.query(docs)), key=key) == want
     assert repeats.query(none).count() == 0
     monkeypatch.setattr(repeats, "HOT", 1)  # every hash with two segments is split over buckets
-    assert sorted((tuple(r) for r in repeats.query(docs).collect()), key=key) == want
+    assert sorted(bytes_of(repeats.query(docs)), key=key) == want
 
 
 def test_repeats_sees_each_text_once(spark, monkeypatch):
@@ -181,7 +182,7 @@ def test_repeats_sees_each_text_once(spark, monkeypatch):
         return inner(found, *args, **kinds)
 
     monkeypatch.setattr(repeats, "repeated", spy)
-    got = sorted(tuple(r) for r in repeats.query(table).collect())
+    got = sorted(tuple(r)[:5] for r in repeats.query(table).collect())
     assert given == [(1, 4)]
     assert got == [(i, *r) for i, r in enumerate(brute_repeats(texts))]
 

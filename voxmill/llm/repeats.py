@@ -1,79 +1,140 @@
-"""Removal of long repeated byte strings.
-
-Every byte covered by a string of ``LENGTH`` bytes that starts somewhere else too is removed.
-Texts are UTF-8 bytes and matches stay within a document.
-
-1. Anchors. Hashes of ``GRAM`` bytes that are the smallest of ``LENGTH / 4`` neighbours are counted over
-   all texts. A window of ``LENGTH`` bytes can only repeat if the anchors that lie well inside it do.
-2. Segments. The windows that pass are given to the smallest hash inside each; neighbouring
-   windows with the same one form a segment. Equal windows have equal hashes, so they meet. Equal
-   segments are one row with a count, which takes away what copies of any number would bring.
-3. Buckets of segments, a few megabytes each. Within a bucket the segments are one text. From its
+"""Removal of long repeated strings.
+
+Every byte covered by a string of ``LENGTH`` bytes that starts somewhere else too is removed; so is, where
+asked for, every word in a run of a number of words that starts somewhere else too. Texts are UTF-8 bytes,
+words are what stands between white space, and matches stay within a document. A ``Law`` says what the
+symbols are (bytes, or words as codes) and how long a window is; all laws are searched together.
+
+1. Chunks. Of ``near`` neighbouring grams the one with the smallest hash is an anchor; what lies from one
+   anchor to the next is a chunk. Which chunks lie well inside a window depends on the window alone, so a
+   window can only repeat if all of them do. Texts are packed into blocks; a block's chunk hashes go to
+   the counting tasks as packed numbers, and one bit a chunk comes back: whether it occurs twice.
+2. Segments. The windows that pass are given to the smallest chunk hash inside each; neighbouring windows
+   with the same one form a segment. Equal windows have equal chunks, so they meet. Equal segments are one
+   row with a count, which takes away what copies of any number would bring.
+3. Buckets of segments of about a megabyte. Within a bucket the segments are one text. From its
    Burrows-Wheeler transform, intervals of equal prefixes are extended backward, breadth first: level by
-   level this yields the places where neighbouring suffixes share exactly 0, 1, 2, ... bytes. It stops
-   at ``LENGTH``: suffixes without a place between them share at least that much and are repeated.
-4. A hash with more than ``HOT`` different segments is split over buckets. What repeats only
-   across them is found by digests of the windows, exchanged in packed form.
-
-Texts below ``LENGTH`` bytes, nulls and empty texts lose nothing. Repeated rows are copies: a text
-that occurs twice and has ``LENGTH`` bytes or more loses all of them.
-
-``cut`` can also take out runs of a number of words that start somewhere else too, of any length in
-bytes. Words are what stands between white space. They are searched as above, on texts in which
-each word is a code of ``CODE`` bytes; windows count where a word begins.
+   level this yields the places where neighbouring suffixes share exactly so many symbols. It stops at
+   the length of a window: suffixes without a place between them share at least that much and are repeated.
+4. A hash with more than ``HOT`` different segments, or ``HOT_BYTES`` of them, is split over buckets. What
+   repeats only across them is found by digests of the windows, exchanged in packed form.
+
+Texts below a window, nulls and empty texts lose nothing. Repeated rows are copies: a text that
+occurs twice and has a window loses all of itself. Other columns, of any name, are carried where they
+are asked for. An empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
-from collections.abc import Callable, Iterator
-from functools import partial
+from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import lru_cache, partial
 
 import numpy as np
+import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from voxmill.llm.rows import map_groups, map_slices, small_side
-from voxmill.sources.staging import stage
+from voxmill.sources.shipping import ship_package
+from voxmill.sources.staging import settled, stage
 
 LENGTH = 400
-GRAM = 24
-CODE = 5
-BUCKET_BYTES = 2_500_000
-HOT = 3000
+#: Words of the runs that ``query`` counts besides.
+WORDS = 51
+BLOCK_BYTES = 4 << 20
+BUCKET_BYTES = 1 << 20
+HOT, HOT_BYTES = 3000, 1 << 19
 DIGEST_PARTS = 64
+#: Chunk hashes that one counting task holds, about.
+PART_HASHES = 4_000_000
+#: Symbols whose arrays a worker holds at a time.
+PIECE = 1 << 17
+#: A word is a code of so many bytes, never all ones: that is the separator.
+CODE = 5
+#: Segments whose content a task has sent lately.
+SENT = 200_000
+#: Bytes of the table of chunk bits up to which it is broadcast.
+MASK_BYTES = 64_000_000
+
+_FACTOR, _OTHER = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+_WRAP = 1 << 64
+_HIGH, _LOW = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
+
+
+@dataclass(frozen=True)
+class Law:
+    """Windows of ``length`` symbols; an anchor is the smallest of ``near`` grams of ``gram`` symbols."""
+
+    number: int
+    length: int
+    gram: int
+    near: int
+    #: Bytes of a symbol in a stored segment.
+    width: int
+
+    @property
+    def inside(self) -> int:
+        """How many runs of ``near`` grams lie within a window."""
+        return self.length - self.gram - self.near + 2
+
+
+def byte_law(length: int) -> Law:
+    return Law(0, length, 16, length // 4, 1)
+
+
+def word_law(words: int) -> Law:
+    return Law(1, words, 2, max(1, (words - 1) // 4), CODE)
+
+
+# Symbols
+
+
+_WHITE = np.zeros(256, bool)
+_WHITE[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
+#: White space beyond ASCII in UTF-8, as leading bytes and the last ones that may follow.
+_WIDE_WHITE = (
+    ((0xC2,), (0x85, 0xA0)), ((0xE1, 0x9A), (0x80,)), ((0xE2, 0x80), (*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF)),
+    ((0xE2, 0x81), (0x9F,)), ((0xE3, 0x80), (0x80,)),
+)
+
+
+def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of each word."""
+    text = np.frombuffer(data, np.uint8)
+    white = np.ones(len(text) + 2, bool)
+    inner = white[1:-1]
+    inner[:] = _WHITE[text]
+    if not data.isascii():
+        for lead, last in _WIDE_WHITE:
+            at = np.flatnonzero(text[:len(text) - len(lead)] == lead[0])
+            for j, byte in enumerate(lead[1:], 1):
+                at = at[text[at + j] == byte]
+            at = at[np.isin(text[at + len(lead)], last)]
+            for j in range(len(lead) + 1):
+                inner[at + j] = True
+    edge = np.flatnonzero(white[1:] != white[:-1])
+    return edge[::2], edge[1::2]
 
-_FACTOR = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
-_SEPARATOR = 0xFF  # never part of UTF-8 or of a code
-_WORD = re.compile(r"\S+")
-
-
-# Hashes of byte strings
-
-
-def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """A 64-bit hash of every run of ``size`` bytes, by doubling the length of the runs."""
-    total, have, factor = None, 0, 1
-    part, length, power = data.astype(np.uint64) + np.uint64(1), 1, _FACTOR
-    while True:
-        if size & length:
-            # total: hash of the first ``have`` bytes; append a run of ``length`` bytes
-            if total is None:
-                total = part
-            else:
-                n = len(data) - have - length + 1
-                total = total[:n] * np.uint64(power) + part[have:have + n]
-            have += length
-        if have == size:
-            break
-        n = len(data) - 2 * length + 1
-        part = part[:n] * np.uint64(power) + part[length:length + n]
-        length, power = 2 * length, power * power & _MASK
-    return mixed(total)
+
+@lru_cache(maxsize=4)
+def _powers(factor: int, count: int) -> np.ndarray:
+    made, have = np.ones(count, np.uint64), 1
+    while have < count:
+        more = min(have, count - have)
+        made[have:have + more] = made[:more] * np.uint64(pow(factor, have, _WRAP))
+        have += more
+    return made
+
+
+@lru_cache(maxsize=1)
+def _byte_values() -> np.ndarray:
+    return np.random.default_rng(7).integers(0, 1 << 63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -82,6 +143,63 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def _values(symbols: np.ndarray) -> np.ndarray:
+    """A number for each symbol: random ones for bytes; codes of words are random already."""
+    return _byte_values()[symbols] if symbols.dtype == np.uint8 else symbols
+
+
+def span_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, factor: int = _FACTOR) -> np.ndarray:
+    """A 64-bit hash of each span of symbols, from running sums of symbols times powers.
+
+    ``starts`` and ``ends`` rise. Longer spans than ``PIECE`` are hashed one by one.
+    """
+    made = np.empty(len(starts), np.uint64)
+    forth, back = _powers(factor, PIECE + 1), _powers(pow(factor, -1, _WRAP), PIECE + 1)
+    i = 0
+    while i < len(starts):
+        base = int(starts[i])
+        j = int(np.searchsorted(ends, base + PIECE, side="right"))
+        if j <= i:
+            made[i] = xxhash.xxh3_64_intdigest(symbols[base:int(ends[i])].tobytes(), factor & 0xFFFF)
+            i += 1
+            continue
+        part = _values(symbols[base:int(ends[j - 1])])
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * forth[:len(part)], out=total[1:])
+        first = starts[i:j] - base
+        made[i:j] = (total[ends[i:j] - base] - total[first]) * back[first]
+        i = j
+    return mixed(made ^ (ends - starts).astype(np.uint64) * np.uint64(_OTHER))
+
+
+def word_codes(data: bytes) -> np.ndarray:
+    """A number below 2 ** 40 - 1 for each word; equal words have equal numbers."""
+    return span_hashes(np.frombuffer(data, np.uint8), *word_spans(data)) % np.uint64((1 << 8 * CODE) - 1)
+
+
+def symbols_of(law: Law, data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8) if law.width == 1 else word_codes(data)
+
+
+def packed(law: Law, symbols: np.ndarray) -> bytes:
+    """Symbols as they stand in a segment."""
+    if law.width == 1:
+        return symbols.tobytes()
+    return symbols.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :CODE].tobytes()
+
+
+def unpacked(width: int, content: bytes) -> np.ndarray:
+    data = np.frombuffer(content, np.uint8)
+    if width == 1:
+        return data
+    wide = np.zeros((len(data) // width, 8), np.uint8)
+    wide[:, :width] = data.reshape(-1, width)
+    return wide.view("<u8").ravel()
+
+
+# Chunks
+
+
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     length = 1
     while 2 * length <= width:
@@ -91,117 +209,187 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:len(values) - rest], values[rest:]) if rest else values
 
 
-def _ordered(hashes: np.ndarray) -> np.ndarray:
+def _gram_keys(law: Law, symbols: np.ndarray) -> np.ndarray:
     """Hash in the high half, place in the low half: minima tell where they are, the first among equals."""
-    return (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
-
-
-def _place(keys: np.ndarray) -> np.ndarray:
-    return (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
-
-
-def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of all grams, for each run of ``length // 4`` grams the place of its smallest)"""
-    hashes = gram_hashes(data, GRAM)
-    return hashes, _place(sliding_min(_ordered(hashes), length // 4))
-
-
-def segments(data: np.ndarray, known: np.ndarray, length: int) -> list[tuple[int, int, int]]:
-    """(hash, first window, last window) of the windows that may repeat.
-
-    ``known``: sorted hashes of anchors that occur more than once.
+    if law.width == 1:  # 16 bytes as two numbers
+        size = max(0, len(symbols) - 7)
+        eight = np.empty(size, np.uint64)
+        for k in range(min(8, size)):
+            eight[k::8] = np.frombuffer(symbols, "<u8", (len(symbols) - k) // 8, k)
+        one, two = eight[:-8], eight[8:]
+    else:
+        one, two = symbols[:-1], symbols[1:]
+    keys = one * np.uint64(_FACTOR)
+    keys += two * np.uint64(_OTHER)
+    keys &= _HIGH
+    keys |= np.arange(len(keys), dtype=np.uint64)
+    return keys
+
+
+def chunks(law: Law, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(for each anchor the first run of grams that it is the smallest of, hashes of the chunks between)"""
+    runs = len(symbols) - law.gram - law.near + 2
+    if len(symbols) < law.length:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    firsts, places, last = [], [], -1
+    for low in range(0, runs, PIECE):
+        high = min(runs, low + PIECE)
+        part = np.ascontiguousarray(symbols[low:high + law.near + law.gram - 2])
+        place = (sliding_min(_gram_keys(law, part), law.near) & _LOW).astype(np.int64) + low
+        turn = np.flatnonzero(np.diff(place, prepend=last))
+        firsts.append(turn + low)
+        places.append(place[turn])
+        last = int(place[-1])
+    first, anchor = np.concatenate(firsts), np.concatenate(places)
+    return first, span_hashes(symbols, anchor[:-1], anchor[1:] + law.gram)
+
+
+def segments(law: Law, count: int, first: np.ndarray, hashes: np.ndarray, known: np.ndarray) -> list[tuple[int, int, int]]:
+    """(hash, first window, last window) of the windows, of a text of ``count`` symbols, that may repeat.
+
+    ``first``, ``hashes``: what ``chunks`` gives; ``known``: whether a chunk occurs elsewhere, too.
     """
-    hashes, place = anchors(data, length)
-    held = hashes[place]
-    at = np.searchsorted(known, held)
-    good = known[np.minimum(at, len(known) - 1)] == held
-    inside = length - GRAM + 1 - length // 4 + 1  # runs of grams within a window
-    bad = np.concatenate(([0], np.cumsum(~good)))
-    windows = len(data) - length + 1
-    starts = np.flatnonzero(bad[inside:inside + windows] == bad[:windows])
-    if not len(starts):
+    if not known.any():
+        return []
+    windows, last_chunk = count - law.length + 1, len(hashes)
+    # For each anchor the next chunk that is not known.
+    stop = np.minimum.accumulate(np.append(np.where(known, last_chunk, np.arange(last_chunk)), last_chunk)[::-1])[::-1]
+    # What lies inside a window changes where its first or its last anchor does.
+    turns = np.concatenate((first, first - law.inside + 1))
+    turns = np.unique(turns[(turns >= 0) & (turns < windows)])
+    head = np.searchsorted(first, turns, side="right") - 1
+    tail = np.searchsorted(first, turns + law.inside - 1, side="right") - 1
+    good = np.flatnonzero((stop[head] >= tail) & (tail > head))
+    if not len(good):
         return []
-    chief = _place(sliding_min(_ordered(hashes), length - GRAM + 1))[starts]
-    edge = np.flatnonzero((np.diff(starts) != 1) | (np.diff(chief) != 0))
-    first, last = np.concatenate(([0], edge + 1)), np.concatenate((edge, [len(starts) - 1]))
+    # The smallest chunk hash of each, from minima over powers of two.
+    ordered = (hashes & _HIGH) | np.arange(len(hashes), dtype=np.uint64)
+    a, b = head[good], tail[good]
+    level = np.frexp((b - a).astype(float))[1] - 1
+    chief, minima = np.empty(len(good), np.uint64), ordered
+    for k in range(int(level.max()) + 1):
+        own = np.flatnonzero(level == k)
+        chief[own] = np.minimum(minima[a[own]], minima[b[own] - (1 << k)])
+        minima = np.minimum(minima[:-(1 << k)], minima[1 << k:])
+    chief = (chief & _LOW).astype(np.int64)
+    begin, end = turns[good], np.append(turns[1:], windows)[good]
+    fresh = np.concatenate(([True], (begin[1:] != end[:-1]) | (chief[1:] != chief[:-1])))
+    at = np.flatnonzero(fresh)
+    finish = end[np.append(at[1:], len(end)) - 1]
     signed = hashes.view(np.int64)
-    return [
-        (int(signed[chief[a]]), int(starts[a]), int(starts[b])) for a, b in zip(first, last)
-    ]
+    return list(zip(signed[chief[at]].tolist(), begin[at].tolist(), (finish - 1).tolist()))
 
 
 # Equal windows by backward extension on the Burrows-Wheeler transform
 
 
-def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes sorted by their first ``depth`` bytes at least, by doubling ranks."""
+def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, int, np.ndarray]:
+    """(suffixes sorted by their first ``depth`` symbols at least, a level, the groups at that level)
+
+    Ranks are doubled. Pairs of ranks and the place go into one number where they fit, which sorts fastest.
+    The groups are flags: whether a suffix differs from the one before in its first ``level`` symbols.
+    """
     n = len(text)
+    bits = n.bit_length()
+    letter = max(1, int(text.max()).bit_length())
+    have = min(depth, (64 - bits) // letter)
+    shallow = max(have, depth // 16)
     key = np.zeros(n, np.uint64)
-    for j in range(8):
-        key <<= np.uint64(8)
-        key[:n - j] += text[j:].astype(np.uint64) + np.uint64(0)
-    order = np.argsort(key, kind="stable")
-    sorted_ = key[order]
-    head = np.concatenate(([True], sorted_[1:] != sorted_[:-1]))
-    rank = np.empty(n, np.int64)
-    # The rank of a group is the place of its first member.
-    rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
-    have = 8
-    while have < depth:
-        tied = ~head
-        tied[:-1] |= ~head[1:]
-        places = np.flatnonzero(tied)
-        if not len(places):
-            break
-        mine = order[places]
+    for j in range(have):
+        key <<= np.uint64(letter)
+        key[:n - j] |= text[j:]
+    key <<= np.uint64(bits)
+    key |= np.arange(n, dtype=np.uint64)
+    key.sort()
+    mask, shift = np.uint64((1 << bits) - 1), np.uint64(bits)
+    order = (key & mask).astype(np.int32)
+    key >>= shift
+    head = np.concatenate(([True], key[1:] != key[:-1]))
+    group = np.maximum.accumulate(np.where(head, np.arange(n, dtype=np.int32), 0)).astype(np.int32)
+    rank = np.empty(n, np.int32)
+    rank[order] = group  # the place of the first member of its group
+    level, groups = have, head.copy()
+    tied = ~(head & np.append(head[1:], True))
+    places = np.flatnonzero(tied).astype(np.int32)
+    mine, group = order[places], group[places]
+    while have < depth and len(places):
         after = mine + have
-        second = np.where(after < n, rank[np.minimum(after, n - 1)], -1) + 1
-        key2 = rank[mine] * (n + 1) + second
-        by = np.argsort(key2, kind="stable")
-        order[places] = mine[by]
-        sorted_ = key2[by]
-        fresh = np.concatenate(([True], sorted_[1:] != sorted_[:-1]))
-        head[places] = fresh | head[places]
-        rank[order[places]] = np.maximum.accumulate(np.where(head, np.arange(n), 0))[places]
+        second = rank.take(np.minimum(after, n - 1)) + 1
+        second[after >= n] = 0
+        if 3 * bits <= 64:
+            key = group.astype(np.uint64)
+            key <<= shift
+            key |= second.astype(np.uint64)
+            key <<= shift
+            key |= mine.astype(np.uint64)
+            key.sort()
+            mine = (key & mask).astype(np.int32)
+            key >>= shift
+        else:
+            key = group.astype(np.int64) * (n + 1) + second
+            by = np.argsort(key)
+            mine, key = mine[by], key[by]
+        fresh = np.concatenate(([True], key[1:] != key[:-1]))
+        order[places] = mine
+        group = np.maximum.accumulate(np.where(fresh, places, 0))
+        rank[mine] = group
+        head[places[fresh]] = True
         have *= 2
-    return order
-
-
-def prefix_places(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
-    """Flags: whether suffixes ``q - 1`` and ``q`` of ``order`` share fewer than ``depth`` bytes.
-
-    Interval extension: all suffixes that begin with a string stand in one interval; the letters
-    before them give the intervals of the strings one letter longer. The place after an interval
-    that appears at level ``l`` and has no value yet is where exactly ``l`` bytes are shared, and
-    only such intervals are extended further.
+        if have <= shallow:
+            level, groups = have, head.copy()
+        rest = ~(fresh & np.append(fresh[1:], True))
+        places, mine, group = places[rest], mine[rest], group[rest]
+    return order, level, groups
+
+
+def _neighbours(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each place the place before and after with the same value; -1 and the length where there is none."""
+    n = len(values)
+    by = np.argsort(values, kind="stable")
+    same = values[by[1:]] == values[by[:-1]]
+    before, after = np.full(n, -1), np.full(n, n)
+    before[by[1:][same]] = by[:-1][same]
+    after[by[:-1][same]] = by[1:][same]
+    return before, after
+
+
+def prefix_places(text: np.ndarray, order: np.ndarray, depth: int, level: int, groups: np.ndarray) -> np.ndarray:
+    """Flags: whether suffixes ``q - 1`` and ``q`` of ``order`` share fewer than ``depth`` symbols.
+
+    Interval extension: all suffixes that begin with a string stand in one interval; the letters before
+    them give the intervals of the strings one letter longer. The place after an interval that appears at
+    level ``l`` and has no value yet is where exactly ``l`` symbols are shared, and only such intervals are
+    extended further. The first ``level`` levels are read off the ``groups`` of the sort. Within an interval
+    the transform is gone through by runs of one letter.
     """
     n = len(text)
     letters = text[order - 1]  # the transform; the text is read as a ring
-    by_letter = np.argsort(letters, kind="stable")
     to = np.empty(n, np.int64)
-    to[by_letter] = np.arange(n)
-    same = letters[by_letter[1:]] == letters[by_letter[:-1]]
-    next_, last = np.full(n, n), np.full(n, -1)
-    next_[by_letter[:-1][same]] = by_letter[1:][same]
-    last[by_letter[1:][same]] = by_letter[:-1][same]
-    found = np.zeros(n + 1, bool)
-    found[0] = found[n] = True
-    low, high = np.array([0]), np.array([n - 1])
-    for _ in range(depth):
+    to[np.argsort(letters, kind="stable")] = np.arange(n)
+    turn = letters[1:] != letters[:-1]
+    run_of = np.concatenate(([0], np.cumsum(turn)))
+    run_low = np.concatenate(([0], np.flatnonzero(turn) + 1))
+    run_high = np.append(run_low[1:], n) - 1
+    before, after = _neighbours(letters[run_low])
+    found = np.append(groups, True)
+    low = np.flatnonzero(groups)
+    high = np.append(low[1:], n) - 1
+    for _ in range(level, depth):
         single = low == high
         end = to[low[single]]
         end = end[~found[end + 1]]
         lows, highs = [end], [end]
         wide_low, wide_high = low[~single], high[~single]
         if len(wide_low):
-            size = wide_high - wide_low + 1
+            one, last = run_of[wide_low], run_of[wide_high]
+            size = last - one + 1
             stop = np.cumsum(size)
             which = np.repeat(np.arange(len(size)), size)
-            place = np.arange(stop[-1]) - np.repeat(stop - size, size) + wide_low[which]
-            is_first = last[place] < wide_low[which]
-            is_last = next_[place] > wide_high[which]
-            first = np.sort(which[is_first] * n + to[place[is_first]])
-            final = np.sort(which[is_last] * n + to[place[is_last]])
+            run = np.arange(stop[-1]) + (one - stop + size)[which]
+            is_first, is_last = before[run] < one[which], after[run] > last[which]
+            a, b = which[is_first], which[is_last]
+            first = np.sort(a * n + to[np.maximum(run_low[run[is_first]], wide_low[a])])
+            final = np.sort(b * n + to[np.minimum(run_high[run[is_last]], wide_high[b])])
             i, j = first % n, final % n
             fresh = ~found[j + 1]
             lows.append(i[fresh])
@@ -213,57 +401,27 @@ def prefix_places(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray
     return found
 
 
-def repeated_windows(parts: list[bytes], counts: list[int], length: int | None = None) -> list[np.ndarray]:
-    """For each part the windows (by first byte) that occur elsewhere in ``parts``, or that belong
-    to a part that stands for several equal ones."""
+def repeated_windows(parts: list[bytes], counts: list[int], length: int | None = None, width: int = 1) -> list[np.ndarray]:
+    """For each part the windows that occur elsewhere in ``parts``, or that belong to a part that stands for
+    several equal ones. A part is symbols of ``width`` bytes."""
     length = length or LENGTH
-    text = np.frombuffer(b"\xff".join(parts) + b"\xff", np.uint8)
-    size = np.array([len(p) for p in parts])
+    between = b"\xff" * width  # never part of UTF-8 or of codes
+    text = unpacked(width, between.join(parts) + between)
+    if width > 1:
+        text = np.unique(text, return_inverse=True)[1].astype(np.uint32)
+    size = np.array([len(p) // width for p in parts])
     begin = np.concatenate(([0], np.cumsum(size + 1)[:-1]))
-    order = suffix_order(text, length)
-    apart = prefix_places(text, order, length)
-    paired = ~(apart[:-1] & apart[1:])  # shares ``length`` bytes with the suffix before or after
+    order, level, groups = suffix_order(text, length)
+    apart = prefix_places(text, order, length, level, groups)
+    paired = ~(apart[:-1] & apart[1:])  # shares ``length`` symbols with the suffix before or after
     again = np.zeros(len(text), bool)
     again[order] = paired
     return [
-        np.arange(s - length + 1) if c > 1 else np.flatnonzero(again[b:b + s - length + 1])
+        np.arange(s - length + 1) if c > 1 else np.flatnonzero(again[b:b + max(0, s - length + 1)])
         for b, s, c in zip(begin, size, counts)
     ]
 
 
-# Words
-
-
-def word_spans(data: bytes) -> list[tuple[int, int]]:
-    """First and last byte, plus one, of each word."""
-    text = data.decode("utf-8", "surrogateescape")
-    if len(text) == len(data):
-        return [m.span() for m in _WORD.finditer(text)]
-    size = lambda part: len(part.encode("utf-8", "surrogateescape"))
-    spans, at, end = [], 0, 0
-    for m in _WORD.finditer(text):
-        at += size(text[end:m.start()])
-        spans.append((at, at + size(m[0])))
-        at, end = spans[-1][1], m.end()
-    return spans
-
-
-def word_codes(data: bytes) -> bytes:
-    """``CODE`` bytes below 255 for each word; equal words have equal codes."""
-    hashes = np.array([xxhash.xxh3_64_intdigest(data[a:b]) for a, b in word_spans(data)], np.uint64)
-    digits = [hashes // np.uint64(255 ** i) % np.uint64(255) for i in range(CODE)]
-    return np.stack(digits, axis=1).astype(np.uint8).tobytes()
-
-
-def word_cover(data: bytes, runs: list[int], words: int) -> list[tuple[int, int]]:
-    """Byte spans of the words in ``runs`` of windows of codes."""
-    spans = word_spans(data)
-    return [
-        (spans[-(-first // CODE)][0], spans[last // CODE + words - 1][1])
-        for first, last in zip(runs[::2], runs[1::2]) if -(-first // CODE) <= last // CODE
-    ]
-
-
 # Jobs
 
 
@@ -277,182 +435,291 @@ def _runs(places: np.ndarray) -> list[int]:
     return np.stack([first, last], axis=1).ravel().tolist()
 
 
-_ANCHORS = T.StructType([
-    T.StructField("tkey", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType())),
-    T.StructField("own", T.ArrayType(T.LongType())),
-])
-_SEGMENTS = T.StructType([
-    T.StructField("hash", T.LongType()), T.StructField("digest", T.LongType()),
-    T.StructField("tkey", T.LongType()), T.StructField("starts", T.ArrayType(T.IntegerType())),
-    T.StructField("bytes", T.BinaryType()),
-])
-_RUNS = T.StructType([
-    T.StructField("hash", T.LongType()), T.StructField("digest", T.LongType()),
-    T.StructField("runs", T.ArrayType(T.IntegerType())),
-])
-_PACKED = T.StructType([
-    T.StructField("hash", T.LongType()), T.StructField("part", T.IntegerType()),
-    T.StructField("salt", T.IntegerType()), T.StructField("windows", T.BinaryType()),
-])
-
-
-def _anchors(length, view, keys, texts) -> Iterator[tuple]:
-    for key, text in zip(keys, map(view, texts)):
-        if len(text) < length:
-            continue
-        hashes, place = anchors(np.frombuffer(text, np.uint8), length)
-        found, times = np.unique(hashes[np.unique(place)].view(np.int64), return_counts=True)
-        yield key, found[times == 1].tolist(), found[times > 1].tolist()
-
-
-def _segments(length, view, keys, known, texts) -> Iterator[tuple]:
-    for key, hashes, text in zip(keys, known, map(view, texts)):
-        known_hashes = np.sort(np.array(hashes, np.int64).view(np.uint64))
-        found: dict[tuple[int, int], tuple[list[int], bytes]] = {}
-        for hash_, first, last in segments(np.frombuffer(text, np.uint8), known_hashes, length):
-            content = text[first:last + length]
-            digest = xxhash.xxh3_64_intdigest(content) - (1 << 63)
-            found.setdefault((hash_, digest), ([], content))[0].append(first)
-        for (hash_, digest), (starts, content) in found.items():
-            yield hash_, digest, key, starts, content
-
-
-def _bucket(length, key, hashes, digests, counts, contents) -> Iterator[tuple]:
-    several = {}
-    for h in hashes:
-        several[h] = several.get(h, 0) + 1
-    alone = [x for x, h in enumerate(hashes) if several[h] == 1]
-    for x in alone:  # nothing else has its hash: all or nothing
-        if counts[x] > 1:
-            yield hashes[x], digests[x], [0, len(contents[x]) - length]
-    rest = [x for x, h in enumerate(hashes) if several[h] > 1]
-    while rest:  # a few megabytes at a time; groups of one hash stay together
-        rest.sort(key=lambda x: hashes[x])
-        size, end = 0, 0
-        while end < len(rest) and (
-            size < 2 * BUCKET_BYTES or hashes[rest[end]] == hashes[rest[end - 1]]
-        ):
+def _fields(names: str) -> T.StructType:
+    kinds = {
+        "law": T.IntegerType(), "part": T.IntegerType(), "salt": T.IntegerType(), "block": T.LongType(),
+        "hash": T.LongType(), "digest": T.LongType(), "tkey": T.LongType(), "starts": T.ArrayType(T.IntegerType()),
+        "runs": T.ArrayType(T.IntegerType()), "tkeys": T.ArrayType(T.LongType()), "sizes": T.ArrayType(T.LongType()),
+    }
+    return T.StructType([T.StructField(n, kinds.get(n, T.BinaryType())) for n in names.split()])
+
+
+_BLOCK = _fields("block tkeys sizes data")
+_HASHES = _fields("law part block pack")
+_MASKS = _HASHES
+_SEGMENTS = _fields("law hash digest tkey starts bytes")
+_RUNS = _fields("law hash digest runs")
+_PACKED = _fields("law hash part salt windows")
+_PLACED = _fields("tkey law runs")
+
+
+def _blocks(texts: DataFrame) -> DataFrame:
+    """``texts`` (tkey, bytes) packed into a row for about ``BLOCK_BYTES``, under numbers of their own."""
+    ship_package(texts.sparkSession)
+    target = to_arrow_schema(_BLOCK)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, names, held = TaskContext.get().partitionId() << 32, [], []
+
+        def block():
+            columns = [[number], [names], [[len(c) for c in held]], [b"".join(held)]]
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, target)], schema=target)
+
+        size = 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                for key, content in zip(*(c.to_pylist() for c in batch.slice(at, 64).columns)):
+                    names.append(key)
+                    held.append(content)
+                    size += len(content)
+                    if size >= BLOCK_BYTES:
+                        yield block()
+                        number, names, held, size = number + 1, [], [], 0
+        if held:
+            yield block()
+
+    return texts.select("tkey", "bytes").mapInArrow(run, _BLOCK)
+
+
+def _texts_of(sizes: list[int], data: bytes) -> Iterator[bytes]:
+    at = 0
+    for size in sizes:
+        yield data[at:at + size]
+        at += size
+
+
+def _chunks_of(laws: list[Law], sizes: list[int], data: bytes) -> dict[int, list[tuple]]:
+    """By law: (symbol count, first runs, chunk hashes) of each text of a block."""
+    found: dict[int, list[tuple]] = {law.number: [] for law in laws}
+    for text in _texts_of(sizes, data):
+        for law in laws:
+            symbols = symbols_of(law, text)
+            found[law.number].append((len(symbols), *chunks(law, symbols)))
+    return found
+
+
+def _dealt(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(chunks by part, the parts there are, where each begins)"""
+    part = (hashes % np.uint64(parts)).astype(np.int64)
+    by = np.argsort(part, kind="stable")
+    there, begin = np.unique(part[by], return_index=True)
+    return by, there, begin
+
+
+def _hashes(laws, parts, blocks, sizes, datas) -> Iterator[tuple]:
+    for block, size, data in zip(blocks, sizes, datas):
+        for number, texts in _chunks_of(laws, size, data).items():
+            hashes = np.concatenate([h for _, _, h in texts])
+            by, there, begin = _dealt(hashes, parts[number])
+            high = (hashes[by] >> np.uint64(32)).astype("<u4")
+            for p, own in zip(there.tolist(), np.split(high, begin[1:])):
+                yield number, p, block, own.tobytes()
+
+
+def _count(key, blocks, packs) -> Iterator[tuple]:
+    """One bit for each hash that was sent: whether it occurs twice."""
+    law, part = key
+    each = [np.frombuffer(p, "<u4") for p in packs]
+    ordered = np.sort(np.concatenate(each))
+    twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    if not len(twice):
+        return
+    for block, own in zip(blocks, each):
+        mask = twice[np.minimum(np.searchsorted(twice, own), len(twice) - 1)] == own
+        if mask.any():
+            yield law, part, block, np.packbits(mask).tobytes()
+
+
+def _segments(laws, parts, sent, blocks, keys, sizes, datas, masks) -> Iterator[tuple]:
+    """``sent``: a set of the task's own."""
+    for block_keys, size, data, mask in zip(keys, sizes, datas, masks):
+        found = _chunks_of(laws, size, data)
+        texts = list(_texts_of(size, data))
+        for law in laws:
+            each = found[law.number]
+            hashes = np.concatenate([h for _, _, h in each])
+            known = np.zeros(len(hashes), bool)
+            by, there, begin = _dealt(hashes, parts[law.number])
+            own = {m["part"]: m["pack"] for m in mask if m["law"] == law.number}
+            for p, places in zip(there.tolist(), np.split(by, begin[1:])):
+                if p in own:
+                    known[places] = np.unpackbits(np.frombuffer(own[p], np.uint8), count=len(places)).view(bool)
+            at = 0
+            for key, text, (count, first, chunk_hashes) in zip(block_keys, texts, each):
+                mine = known[at:at + len(chunk_hashes)]
+                at += len(chunk_hashes)
+                yield from _segments_of(law, key, text, count, first, chunk_hashes, mine, sent)
+
+
+def _segments_of(law, key, text, count, first, hashes, known, sent) -> Iterator[tuple]:
+    runs = segments(law, count, first, hashes, known)
+    if not runs:
+        return
+    symbols = symbols_of(law, text)
+    found: dict[tuple[int, int], tuple[list[int], bytes]] = {}
+    for hash_, begin, last in runs:
+        content = packed(law, symbols[begin:last + law.length])
+        digest = xxhash.xxh3_64_intdigest(content) - (1 << 63)
+        found.setdefault((hash_, digest), ([], content))[0].append(begin)
+    for (hash_, digest), (starts, content) in found.items():
+        if len(sent) > SENT:
+            sent.clear()
+        # Equal segments are equal in content: a task need not send it again and again.
+        again = (law.number, hash_, digest) in sent
+        sent.add((law.number, hash_, digest))
+        yield law.number, hash_, digest, key, starts, None if again else content
+
+
+def _bucket(laws, key, hashes, digests, counts, contents) -> Iterator[tuple]:
+    law = laws[key[0]]
+    rest = sorted(range(len(hashes)), key=lambda x: hashes[x])
+    at = 0
+    while at < len(rest):  # about a megabyte at a time; groups of one hash stay together
+        size, end = 0, at
+        while end < len(rest) and (size < BUCKET_BYTES or hashes[rest[end]] == hashes[rest[end - 1]]):
             size += len(contents[rest[end]])
             end += 1
-        now, rest = rest[:end], rest[end:]
-        windows = repeated_windows([contents[x] for x in now], [counts[x] for x in now], length)
+        now, at = rest[at:end], end
+        windows = repeated_windows([contents[x] for x in now], [counts[x] for x in now], law.length, law.width)
         for x, places in zip(now, windows):
             if len(places):
-                yield hashes[x], digests[x], _runs(places)
-
-
-def window_digests(content: bytes, length: int) -> np.ndarray:
-    """Two independent 64-bit hashes of each window."""
-    data = np.frombuffer(content, np.uint8)
-    other = (data.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(40)
-    return np.stack([gram_hashes(data, length), gram_hashes(other, length)], axis=1)
+                yield law.number, hashes[x], digests[x], _runs(places)
 
 
 _PAIR = np.dtype([("a", "<u8"), ("b", "<u8")])
 
 
-def _pairs(windows: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(windows).view(_PAIR).ravel()
+def window_digests(law: Law, content: bytes) -> np.ndarray:
+    """Two independent 64-bit hashes of each window."""
+    symbols = unpacked(law.width, content)
+    starts = np.arange(len(symbols) - law.length + 1)
+    made = np.empty(len(starts), _PAIR)
+    made["a"] = span_hashes(symbols, starts, starts + law.length)
+    made["b"] = span_hashes(symbols, starts, starts + law.length, _OTHER)
+    return made
 
 
-def _pack(length, key, contents) -> Iterator[tuple]:
-    hash_, salt = key
-    windows = np.unique(np.concatenate([_pairs(window_digests(c, length)) for c in contents]))
+def _pack(laws, key, contents) -> Iterator[tuple]:
+    number, hash_, salt = key
+    windows = np.unique(np.concatenate([window_digests(laws[number], c) for c in contents]))
     part = (windows["a"] % np.uint64(DIGEST_PARTS)).astype(np.int64)
     for p in np.unique(part):
-        yield hash_, int(p), salt, windows[part == p].tobytes()
+        yield number, hash_, int(p), salt, windows[part == p].tobytes()
 
 
 def _across(key, salts, packs) -> Iterator[tuple]:
     """The digests that several salts hold, for each of these salts."""
-    hash_, part = key
+    number, hash_, part = key
     each = [np.frombuffer(p, _PAIR) for p in packs]
     found, times = np.unique(np.concatenate(each), return_counts=True)
     shared = found[times > 1]
     for salt, own in zip(salts, each):
         mine = own[np.isin(own, shared)] if len(shared) else shared
         if len(mine):
-            yield hash_, part, salt, mine.tobytes()
+            yield number, hash_, part, salt, mine.tobytes()
 
 
-def _apply(length, key, digests, contents, packs) -> Iterator[tuple]:
+def _apply(laws, key, digests, contents, packs) -> Iterator[tuple]:
     """Rows with ``packs`` hold repeated digests, the others hold segments."""
+    number, hash_, _ = key
     shared = np.concatenate([np.frombuffer(p, _PAIR) for p in packs if p is not None] or [np.zeros(0, _PAIR)])
     for digest, content in zip(digests, contents):
         if content is not None and len(shared):
-            places = np.flatnonzero(np.isin(_pairs(window_digests(content, length)), shared))
+            places = np.flatnonzero(np.isin(window_digests(laws[number], content), shared))
             if len(places):
-                yield key[0], digest, _runs(places)
+                yield number, hash_, digest, _runs(places)
+
+
+def _joined(keys, laws, runs) -> Iterator[tuple]:
+    """Runs of windows of one text, put together where they meet."""
+    for key, law, own in zip(keys, laws, runs):
+        spans = merged([(a, b + 1) for a, b in zip(own[::2], own[1::2])])
+        yield key, law, [x for a, b in spans for x in (a, b - 1)]
 
 
-def repeated(texts: DataFrame, length: int, view: Callable[[bytes], bytes] = bytes) -> DataFrame:
-    """tkey, runs: [first, last, ...] of windows of ``length`` bytes that occur elsewhere.
+def repeated(texts: DataFrame, *laws: Law) -> DataFrame:
+    """tkey, law (its number), runs: [first, last, ...] of windows that occur elsewhere.
 
-    ``texts``: tkey, bytes, one row for each different text; ``view`` gives what is compared. A window that repeats only in copies of
-    its text is not found here; ``remove`` takes all of such a text.
+    ``texts``: tkey, bytes, one row for each different text. A window that repeats only in copies of its
+    text is not found here; ``remove`` takes all of such a text.
     """
-    marked = map_slices(texts, _ANCHORS, partial(_anchors, length, view))
-    each = marked.select("tkey", F.explode("hashes").alias("hash"), F.lit(False).alias("own"))
-    own = marked.select("tkey", F.explode("own").alias("hash"), F.lit(True).alias("own"))
-    found = stage(each.union(own), "anchors")
-    several = found.groupBy("hash").agg(
-        F.min("tkey").alias("low"), F.max("tkey").alias("high"), F.max("own").alias("own")
-    ).where("own OR low != high").select("hash")
-    known = found.select("hash", "tkey").join(several, "hash").groupBy("tkey").agg(
-        F.collect_set("hash").alias("known")  # at most the anchors of one text
-    )
-    known = stage(known, "anchors-known")
-    weight = known.agg(F.sum(F.size("known"))).first()[0] or 0
-    rows = max(1, known.count())
-    chosen = texts.join(small_side(known, 16 + 8 * weight // rows), "tkey")
+    return settled(texts.sparkSession, lambda: _repeated(texts, list(laws)), "repeats")
+
+
+def _repeated(texts: DataFrame, laws: list[Law]) -> DataFrame:
+    by_number = {law.number: law for law in laws}
+    blocks = stage(_blocks(texts), "repeat-blocks")
+    size = blocks.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+    # About two anchors in ``near`` + 1 symbols; a word has about six bytes.
+    parts = {
+        law.number: 1 + 2 * size // ((law.near + 1) * (1 if law.width == 1 else 6) * PART_HASHES) for law in laws
+    }
+    sent = map_slices(blocks.select("block", "sizes", "data"), _HASHES, partial(_hashes, laws, parts), rows=1)
+    masks = map_groups(sent, ["law", "part"], _MASKS, _count)
+    masks = stage(masks.groupBy("block").agg(
+        F.collect_list(F.struct("law", "part", "pack")).alias("masks"), F.sum(F.octet_length("pack") + 16).alias("weight")
+    ), "repeat-masks")
+    weight, rows = masks.agg(F.sum("weight"), F.count("*")).first()
+    side = small_side(masks.select("block", "masks"), 16 + (weight or 0) // max(1, rows), MASK_BYTES)
     cut = stage(
-        map_slices(chosen.select("tkey", "known", "bytes"), _SEGMENTS, partial(_segments, length, view), rows=64), "segments"
+        map_slices(
+            blocks.join(side, "block").select("block", "tkeys", "sizes", "data", "masks"), _SEGMENTS,
+            partial(_segments, laws, parts, set()), rows=1,
+        ),
+        "segments",
     )
     distinct = stage(
-        cut.groupBy("hash", "digest").agg(
+        cut.groupBy("law", "hash", "digest").agg(
             F.sum(F.size("starts")).alias("count"), F.max("bytes").alias("bytes")
         ),
         "segments-distinct",
     )
-    variants = distinct.groupBy("hash").agg(
+    variants = stage(distinct.groupBy("law", "hash").agg(
         F.count("*").alias("variants"), F.sum(F.octet_length("bytes")).alias("size")
-    )
-    variants = stage(variants, "segments-variants")
-    size = variants.where("variants > 1").agg(F.sum("size")).first()[0] or 0
+    ).where("variants > 1"), "segments-variants")
+    size = variants.agg(F.sum("size")).first()[0] or 0
     buckets = max(1, size // BUCKET_BYTES)
-    hot = stage(variants.where(F.col("variants") > HOT), "segments-hot")
-    salts = F.ceil(F.col("variants") / HOT).cast("int")
-    salted = distinct.join(variants, "hash").withColumn("salt", F.pmod(F.xxhash64("digest"), salts).cast("int"))
-    dealt = salted.withColumn("bucket", F.pmod(F.xxhash64("hash", "salt"), F.lit(buckets)))
+    salts = F.greatest(F.ceil(F.col("variants") / HOT), F.ceil(F.col("size") / HOT_BYTES)).cast("int")
+    salted = distinct.join(variants.withColumn("salts", salts), ["law", "hash"]).withColumn(
+        "salt", F.pmod(F.xxhash64("digest"), F.col("salts")).cast("int")
+    )
+    dealt = salted.withColumn("bucket", F.pmod(F.xxhash64("law", "hash", "salt"), F.lit(buckets)))
     runs = map_groups(
-        dealt.select("bucket", "hash", "digest", "count", "bytes"), ["bucket"], _RUNS, partial(_bucket, length), int(buckets)
+        dealt.select("law", "bucket", "hash", "digest", "count", "bytes"), ["law", "bucket"], _RUNS,
+        partial(_bucket, by_number), int(buckets),
     )
-    if hot.limit(1).count():
+    # A segment that nothing else shares its hash with: all or nothing.
+    windows = F.lit(None).cast("int")
+    for law in laws:
+        windows = F.when(F.col("law") == law.number, (F.octet_length("bytes") / law.width - law.length).cast("int")).otherwise(windows)
+    alone = distinct.where("count > 1").join(variants, ["law", "hash"], "left_anti")
+    runs = runs.union(alone.select("law", "hash", "digest", F.array(F.lit(0), windows)))
+    if variants.where(salts > 1).limit(1).count():
         spread = stage(
-            salted.join(hot.select("hash"), "hash", "left_semi").select("hash", "salt", "digest", "bytes"),
-            "segments-spread",
+            salted.where("salts > 1").select("law", "hash", "salt", "digest", "bytes"), "segments-spread"
         )
-        packed = map_groups(spread.select("hash", "salt", "bytes"), ["hash", "salt"], _PACKED, partial(_pack, length))
-        shared = map_groups(packed.select("hash", "part", "salt", "windows"), ["hash", "part"], _PACKED, _across)
+        packs = map_groups(spread.select("law", "hash", "salt", "bytes"), ["law", "hash", "salt"], _PACKED, partial(_pack, by_number))
+        shared = map_groups(packs.select("law", "hash", "part", "salt", "windows"), ["law", "hash", "part"], _PACKED, _across)
         none = F.lit(None)
-        both = spread.select("hash", "salt", "digest", "bytes", none.cast("binary").alias("pack")).union(
-            shared.select("hash", "salt", none.cast("long"), none.cast("binary"), "windows")
+        both = spread.select("law", "hash", "salt", "digest", "bytes", none.cast("binary").alias("pack")).union(
+            shared.select("law", "hash", "salt", none.cast("long"), none.cast("binary"), "windows")
         )
-        runs = runs.union(map_groups(both, ["hash", "salt"], _RUNS, partial(_apply, length)))
+        runs = runs.union(map_groups(both, ["law", "hash", "salt"], _RUNS, partial(_apply, by_number)))
     runs = stage(runs, "runs")
     placed = (
-        cut.select("hash", "digest", "tkey", "starts").join(runs, ["hash", "digest"])
-        .select("tkey", F.explode("starts").alias("start"), "runs")
-        .select("tkey", F.transform("runs", lambda x: x + F.col("start")).alias("runs"))
+        cut.select("law", "hash", "digest", "tkey", "starts").join(runs, ["law", "hash", "digest"])
+        .select("tkey", "law", F.explode("starts").alias("start"), "runs")
+        .select("tkey", "law", F.transform("runs", lambda x: x + F.col("start")).alias("runs"))
+        .groupBy("tkey", "law").agg(F.flatten(F.collect_list("runs")).alias("runs"))  # of one text
     )
-    return placed.groupBy("tkey").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+    return map_slices(placed, _PLACED, _joined)
 
 
 def distinct_texts(texts: DataFrame, copies: DataFrame) -> DataFrame:
     """tkey, bytes: each text once. Only texts in ``copies`` are sorted; they meet within tasks first."""
     several = small_side(copies, 16).select("tkey")
     one = texts.join(several, "tkey", "left_semi").groupBy("tkey").agg(F.max("bytes").alias("bytes"))
-    return texts.join(several, "tkey", "left_anti").select("tkey", "bytes").union(stage(one, "texts-copied"))
+    return texts.join(several, "tkey", "left_anti").select("tkey", "bytes").union(one)
 
 
 def merged(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -465,39 +732,36 @@ def merged(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in spans]
 
 
-def covered(runs: list[int]) -> list[tuple[int, int]]:
-    """Byte spans covered by runs of windows."""
-    return [(first, last + LENGTH) for first, last in zip(runs[::2], runs[1::2])]
+def covered(runs: list[int], length: int) -> list[tuple[int, int]]:
+    """Spans of symbols covered by runs of windows."""
+    return merged([(first, last + length) for first, last in zip(runs[::2], runs[1::2])])
 
 
 _REMOVED = [
     T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
     T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType()),
-    T.StructField("kept", T.StringType()),
+    T.StructField("n_repeated_words", T.LongType()), T.StructField("kept", T.StringType()),
 ]
 
 
 def remove(
-    docs: DataFrame, keep: list[str], text: str = "text", with_text: bool = True, words: int | None = None
+    docs: DataFrame, keep: list[str], text: str = "text", with_text: bool = True, words: int = WORDS,
+    cut_words: bool = False,
 ) -> DataFrame:
-    """Columns ``keep`` plus ``n_bytes, n_removed, n_spans, kept_sha256, kept``.
+    """Columns ``keep`` plus ``n_bytes, n_removed, n_spans, kept_sha256, n_repeated_words, kept``.
 
     ``kept``: the remaining text; bytes of a character that was cut are left out of it. It is null
-    where nothing was removed, or if ``with_text`` is false. ``words``: runs of so many words that
-    start somewhere else too are removed besides.
+    where nothing was removed, or if ``with_text`` is false. ``n_repeated_words``: words in runs of ``words``
+    that start somewhere else too; with ``cut_words`` these are removed besides.
     """
+    byte, word = byte_law(LENGTH), word_law(words)
     value = F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")
-    least = min(LENGTH, 2 * words - 1) if words else LENGTH
-    long = docs.select(value.alias("bytes")).where(F.octet_length("bytes") >= least)
+    long = docs.select(value.alias("bytes")).where(F.octet_length("bytes") >= min(LENGTH, 2 * words - 1))
     long = long.select(F.xxhash64("bytes").alias("tkey"), "bytes")
     copies = stage(long.groupBy("tkey").agg(F.count("*").alias("n")).where("n > 1"), "copies")
-    texts = distinct_texts(long, copies)
-    found = repeated(texts.where(F.octet_length("bytes") >= LENGTH), LENGTH)
-    if words:
-        again = repeated(texts, words * CODE, word_codes).withColumnRenamed("runs", "word_runs")
-        found = found.join(again, "tkey", "full")
-    else:
-        found = found.withColumn("word_runs", F.lit(None).cast("array<int>"))
+    found = repeated(distinct_texts(long, copies), byte, word)
+    of = lambda law: F.max(F.when(F.col("law") == law.number, F.col("runs")))
+    found = found.groupBy("tkey").agg(of(byte).alias("runs"), of(word).alias("word_runs"))
     own = lambda c: F.when(F.col("n").isNull(), F.col(c)).alias(c)
     both = found.join(copies, "tkey", "full").select(
         "tkey", own("runs"), own("word_runs"), F.col("n").isNotNull().alias("whole")
@@ -514,9 +778,14 @@ def remove(
 
     def work(*columns):
         for *left, data, whole, runs, word_runs in zip(*columns):
-            spans = merged(covered(runs or []) + (word_cover(data, word_runs, words) if word_runs else []))
-            if whole and (len(data) >= LENGTH or words and len(word_spans(data)) >= words):
-                spans = [(0, len(data))]
+            spans, word_cover = covered(runs or [], LENGTH), covered(word_runs or [], words)
+            if whole:
+                count = len(word_spans(data)[0])
+                word_cover = [(0, count)] if count >= words else []
+                spans = [(0, len(data))] if len(data) >= LENGTH or cut_words and word_cover else []
+            elif cut_words and word_cover:
+                first, end = word_spans(data)
+                spans = merged(spans + [(int(first[a]), int(end[b - 1])) for a, b in word_cover])
             rest, at = [], 0
             for a, b in spans:
                 rest.append(data[at:a])
@@ -525,7 +794,7 @@ def remove(
             kept = b"".join(rest)
             yield (
                 *left, len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(),
-                kept.decode("utf-8", "ignore") if with_text and spans else None,
+                sum(b - a for a, b in word_cover), kept.decode("utf-8", "ignore") if with_text and spans else None,
             )
 
     names = [f.name for f in _REMOVED]
@@ -540,9 +809,9 @@ def query(docs: DataFrame) -> DataFrame:
     return remove(docs, ["doc_id"], with_text=False).drop("kept")
 
 
-def cut(docs: DataFrame, words: int | None = None) -> DataFrame:
-    """``docs`` with repeated strings taken out of ``text`` and ``n_chars`` counted anew."""
-    made = remove(docs, docs.columns, words=words)
+def cut(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """``docs`` with repeated strings and runs of words taken out of ``text`` and ``n_chars`` counted anew."""
+    made = remove(docs, docs.columns, words=words, cut_words=True)
     text = F.coalesce("kept", "text")
     changed = F.col("kept").isNotNull()
     columns = []
@@ -556,7 +825,7 @@ def cut(docs: DataFrame, words: int | None = None) -> DataFrame:
     return made.select(columns)
 
 
-ORACLE = """
+ORACLE = r"""
 WITH d AS (
   SELECT doc_id, hex(encode(coalesce(text, ''))) AS h,
          octet_length(encode(coalesce(text, ''))) AS n FROM documents),
@@ -576,8 +845,20 @@ gap AS (
 kept AS (
   SELECT doc_id, sum(b - a) AS removed, count(*) AS spans, max(b) AS tail,
          string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS parts
-  FROM gap JOIN d USING (doc_id) GROUP BY doc_id)
+  FROM gap JOIN d USING (doc_id) GROUP BY doc_id),
+t AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''),
+    '[^\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+') AS v
+  FROM documents),
+run AS (
+  SELECT doc_id, i, md5(array_to_string(list_slice(v, i + 1, i + 51), ' ')) AS s
+  FROM t, unnest(range(0, len(v) - 50)) AS r(i) WHERE len(v) >= 51),
+runs AS (SELECT s FROM run GROUP BY s HAVING count(*) > 1),
+met AS (SELECT DISTINCT doc_id, i FROM run JOIN runs USING (s)),
+step AS (SELECT doc_id, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 51) AS wide FROM met),
+words AS (SELECT doc_id, sum(least(wide, 51)) AS n_repeated_words FROM step GROUP BY doc_id)
 SELECT doc_id, n AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(spans, 0) AS n_spans,
-       sha256(unhex(coalesce(parts, '') || substr(h, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
-FROM d LEFT JOIN kept USING (doc_id)
+       sha256(unhex(coalesce(parts, '') || substr(h, 2 * coalesce(tail, 0) + 1))) AS kept_sha256,
+       coalesce(n_repeated_words, 0) AS n_repeated_words
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN words USING (doc_id)
 """
