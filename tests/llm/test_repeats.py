@@ -96,30 +96,33 @@ def test_word_spans():
 def test_windows_that_occur_twice_are_candidates_under_one_hash(law):
     shared = words(150)
     texts = [words(rng.randint(0, 200)) + shared + words(rng.randint(0, 200)) for _ in range(6)] + ["ab" * 600] * 2
-    made = [(t.encode(), repeats.symbols_of(law, t.encode())) for t in texts]
-    found = [repeats.chunks(law, s) for _, s in made]
-    every = np.concatenate([h for _, h in found])
-    values, times = np.unique(every, return_counts=True)
-    under = {}
-    for k, ((_, symbols), (first, hashes)) in enumerate(zip(made, found)):
-        known = np.isin(hashes, values[times > 1])
-        for hash_, a, b in repeats.segments(law, len(symbols), first, hashes, known):
+    texts.insert(3, "too short")
+    symbols, begin = repeats.symbols_of(law, [t.encode() for t in texts])
+    found = repeats.chunks(law, symbols, begin)
+    values, times = np.unique(found.hashes, return_counts=True)
+    under, where = {}, {}
+    for k in range(len(texts)):
+        count, first, mine = found.of(k)
+        own = symbols[begin[k]:begin[k + 1]]
+        assert count == len(own) and np.array_equal(own, repeats.symbols_of(law, [texts[k].encode()])[0])
+        for hash_, a, b in repeats.segments(law, count, first, found.hashes[mine], np.isin(found.hashes[mine], values[times > 1])):
             for p in range(a, b + 1):
                 under[k, p] = hash_
-    where = {}
-    for k, (_, symbols) in enumerate(made):
-        for p in range(len(symbols) - law.length + 1):
-            where.setdefault(symbols[p:p + law.length].tobytes(), []).append((k, p))
+        for p in range(count - law.length + 1):
+            where.setdefault(own[p:p + law.length].tobytes(), []).append((k, p))
     for places in where.values():
         if len(places) > 1:
             assert len({under[x] for x in places}) == 1
 
 
 def test_pieces_do_not_change_chunks(monkeypatch):
-    law, text = repeats.byte_law(400), words(3000).encode()
-    symbols = repeats.symbols_of(law, text)
-    whole = repeats.chunks(law, symbols)
-    for piece in (500, 1013, 4096):
+    law = repeats.byte_law(400)
+    texts = [words(n).encode() for n in (3000, 40, 200, 90, 5, 300)]
+    alone = [repeats.chunks(law, *repeats.symbols_of(law, [t])) for t in texts]
+    for piece in (500, 1013, 4096, 1 << 17):
         monkeypatch.setattr(repeats, "PIECE", piece)
-        first, hashes = repeats.chunks(law, symbols)
-        assert np.array_equal(first, whole[0]) and np.array_equal(hashes, whole[1])
+        found = repeats.chunks(law, *repeats.symbols_of(law, texts))
+        for k, one in enumerate(alone):
+            count, first, mine = found.of(k)
+            assert count == one.counts[0] and np.array_equal(first, one.first)
+            assert np.array_equal(found.hashes[mine], one.hashes)

@@ -10,14 +10,14 @@ symbols are (bytes, or words as codes) and how long a window is; all laws are se
    window can only repeat if all of them do. Texts are packed into blocks; a block's chunk hashes go to
    the counting tasks as packed numbers, and one bit a chunk comes back: whether it occurs twice.
 2. Segments. The windows that pass are given to the smallest chunk hash inside each; neighbouring windows
-   with the same one form a segment. Equal windows have equal chunks, so they meet. Equal segments are one
-   row with a count, which takes away what copies of any number would bring.
+   with the same one form a segment. Equal windows have equal chunks, so they meet. A task sends the content
+   of equal segments once, which takes away what copies of any number would bring.
 3. Buckets of segments of about a megabyte. Within a bucket the segments are one text. From its
    Burrows-Wheeler transform, intervals of equal prefixes are extended backward, breadth first: level by
    level this yields the places where neighbouring suffixes share exactly so many symbols. It stops at
    the length of a window: suffixes without a place between them share at least that much and are repeated.
 4. A hash with more than ``HOT`` different segments, or ``HOT_BYTES`` of them, is split over buckets. What
-   repeats only across them is found by digests of the windows, exchanged in packed form.
+   repeats only across them is found by 64-bit digests of the windows, exchanged in packed form.
 
 Texts below a window, nulls and empty texts lose nothing. Repeated rows are copies: a text that
 occurs twice and has a window loses all of itself. Other columns, of any name, are carried where they
@@ -47,7 +47,7 @@ from voxmill.sources.staging import settled, stage
 LENGTH = 400
 #: Words of the runs that ``query`` counts besides.
 WORDS = 51
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 BUCKET_BYTES = 1 << 20
 HOT, HOT_BYTES = 3000, 1 << 19
 DIGEST_PARTS = 64
@@ -58,7 +58,7 @@ PIECE = 1 << 17
 #: A word is a code of so many bytes, never all ones: that is the separator.
 CODE = 5
 #: Segments whose content a task has sent lately.
-SENT = 200_000
+SENT = 50_000
 #: Bytes of the table of chunk bits up to which it is broadcast.
 MASK_BYTES = 64_000_000
 
@@ -172,13 +172,15 @@ def span_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, facto
     return mixed(made ^ (ends - starts).astype(np.uint64) * np.uint64(_OTHER))
 
 
-def word_codes(data: bytes) -> np.ndarray:
-    """A number below 2 ** 40 - 1 for each word; equal words have equal numbers."""
-    return span_hashes(np.frombuffer(data, np.uint8), *word_spans(data)) % np.uint64((1 << 8 * CODE) - 1)
-
-
-def symbols_of(law: Law, data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.uint8) if law.width == 1 else word_codes(data)
+def symbols_of(law: Law, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols of all texts one after the other, where each text begins, and the end)"""
+    ends = np.cumsum([len(t) for t in texts])
+    if law.width == 1:
+        return np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], ends))
+    data = b" ".join(texts)
+    starts, stops = word_spans(data)
+    codes = span_hashes(np.frombuffer(data, np.uint8), starts, stops) % np.uint64((1 << 8 * CODE) - 1)
+    return codes, np.concatenate(([0], np.searchsorted(starts, ends + np.arange(len(texts)))))
 
 
 def packed(law: Law, symbols: np.ndarray) -> bytes:
@@ -226,22 +228,56 @@ def _gram_keys(law: Law, symbols: np.ndarray) -> np.ndarray:
     return keys
 
 
-def chunks(law: Law, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(for each anchor the first run of grams that it is the smallest of, hashes of the chunks between)"""
-    runs = len(symbols) - law.gram - law.near + 2
-    if len(symbols) < law.length:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    firsts, places, last = [], [], -1
+@dataclass
+class Chunks:
+    """The chunks of several texts, one after the other."""
+
+    #: Symbols of each text.
+    counts: np.ndarray
+    #: For each anchor the first run of grams, within its text, that it is the smallest of.
+    first: np.ndarray
+    #: Where the anchors of each text begin, and the end; the same for chunks.
+    anchor_at: np.ndarray
+    chunk_at: np.ndarray
+    hashes: np.ndarray
+
+    def of(self, text: int) -> tuple[int, np.ndarray, slice]:
+        """(symbols, first runs, which chunks) of one text"""
+        a, b = self.anchor_at[text:text + 2]
+        return int(self.counts[text]), self.first[a:b], slice(*self.chunk_at[text:text + 2].tolist())
+
+
+def chunks(law: Law, symbols: np.ndarray, begin: np.ndarray) -> Chunks:
+    """Chunks of the texts that begin at ``begin`` (and the end); short texts have none."""
+    counts = np.diff(begin)
+    texts = np.flatnonzero(counts >= law.length)
+    low_run = begin[texts]
+    high_run = low_run + counts[texts] - law.gram - law.near + 2
+    firsts, places, last, runs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], -1, int(high_run.max(initial=0))
     for low in range(0, runs, PIECE):
         high = min(runs, low + PIECE)
         part = np.ascontiguousarray(symbols[low:high + law.near + law.gram - 2])
         place = (sliding_min(_gram_keys(law, part), law.near) & _LOW).astype(np.int64) + low
-        turn = np.flatnonzero(np.diff(place, prepend=last))
+        turn = np.diff(place, prepend=last) != 0
+        last = int(place[-1])
+        inside = np.zeros(high - low + 1, np.int8)  # runs that lie within a text
+        np.add.at(inside, np.clip(low_run, low, high) - low, 1)
+        np.add.at(inside, np.clip(high_run, low, high) - low, -1)
+        here = low_run[(low_run >= low) & (low_run < high)] - low
+        turn[here] = True
+        turn &= np.cumsum(inside[:-1], dtype=np.int8) > 0
+        turn = np.flatnonzero(turn)
         firsts.append(turn + low)
         places.append(place[turn])
-        last = int(place[-1])
     first, anchor = np.concatenate(firsts), np.concatenate(places)
-    return first, span_hashes(symbols, anchor[:-1], anchor[1:] + law.gram)
+    owner = np.searchsorted(low_run, first, side="right") - 1
+    same = np.flatnonzero(owner[1:] == owner[:-1])
+    hashes = span_hashes(symbols, anchor[same], anchor[same + 1] + law.gram)
+    number = np.zeros(len(counts), np.int64)
+    number[texts] = np.bincount(owner, minlength=len(texts))
+    at = np.concatenate(([0], np.cumsum(number)))
+    chunk_at = np.concatenate(([0], np.cumsum(np.maximum(number - 1, 0))))
+    return Chunks(counts, first - low_run[owner], at, chunk_at, hashes)
 
 
 def segments(law: Law, count: int, first: np.ndarray, hashes: np.ndarray, known: np.ndarray) -> list[tuple[int, int, int]]:
@@ -437,7 +473,7 @@ def _runs(places: np.ndarray) -> list[int]:
 
 def _fields(names: str) -> T.StructType:
     kinds = {
-        "law": T.IntegerType(), "part": T.IntegerType(), "salt": T.IntegerType(), "block": T.LongType(),
+        "law": T.IntegerType(), "part": T.IntegerType(), "salt": T.IntegerType(), "size": T.IntegerType(), "block": T.LongType(),
         "hash": T.LongType(), "digest": T.LongType(), "tkey": T.LongType(), "starts": T.ArrayType(T.IntegerType()),
         "runs": T.ArrayType(T.IntegerType()), "tkeys": T.ArrayType(T.LongType()), "sizes": T.ArrayType(T.LongType()),
     }
@@ -447,7 +483,7 @@ def _fields(names: str) -> T.StructType:
 _BLOCK = _fields("block tkeys sizes data")
 _HASHES = _fields("law part block pack")
 _MASKS = _HASHES
-_SEGMENTS = _fields("law hash digest tkey starts bytes")
+_SEGMENTS = _fields("law hash digest tkey starts size bytes")
 _RUNS = _fields("law hash digest runs")
 _PACKED = _fields("law hash part salt windows")
 _PLACED = _fields("tkey law runs")
@@ -481,21 +517,9 @@ def _blocks(texts: DataFrame) -> DataFrame:
     return texts.select("tkey", "bytes").mapInArrow(run, _BLOCK)
 
 
-def _texts_of(sizes: list[int], data: bytes) -> Iterator[bytes]:
-    at = 0
-    for size in sizes:
-        yield data[at:at + size]
-        at += size
-
-
-def _chunks_of(laws: list[Law], sizes: list[int], data: bytes) -> dict[int, list[tuple]]:
-    """By law: (symbol count, first runs, chunk hashes) of each text of a block."""
-    found: dict[int, list[tuple]] = {law.number: [] for law in laws}
-    for text in _texts_of(sizes, data):
-        for law in laws:
-            symbols = symbols_of(law, text)
-            found[law.number].append((len(symbols), *chunks(law, symbols)))
-    return found
+def _texts_of(sizes: list[int], data: bytes) -> list[bytes]:
+    at = np.concatenate(([0], np.cumsum(sizes))).tolist()
+    return [data[a:b] for a, b in zip(at, at[1:])]
 
 
 def _dealt(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -508,12 +532,13 @@ def _dealt(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 def _hashes(laws, parts, blocks, sizes, datas) -> Iterator[tuple]:
     for block, size, data in zip(blocks, sizes, datas):
-        for number, texts in _chunks_of(laws, size, data).items():
-            hashes = np.concatenate([h for _, _, h in texts])
-            by, there, begin = _dealt(hashes, parts[number])
+        texts = _texts_of(size, data)
+        for law in laws:
+            hashes = chunks(law, *symbols_of(law, texts)).hashes
+            by, there, begin = _dealt(hashes, parts[law.number])
             high = (hashes[by] >> np.uint64(32)).astype("<u4")
             for p, own in zip(there.tolist(), np.split(high, begin[1:])):
-                yield number, p, block, own.tobytes()
+                yield law.number, p, block, own.tobytes()
 
 
 def _count(key, blocks, packs) -> Iterator[tuple]:
@@ -533,32 +558,29 @@ def _count(key, blocks, packs) -> Iterator[tuple]:
 def _segments(laws, parts, sent, blocks, keys, sizes, datas, masks) -> Iterator[tuple]:
     """``sent``: a set of the task's own."""
     for block_keys, size, data, mask in zip(keys, sizes, datas, masks):
-        found = _chunks_of(laws, size, data)
-        texts = list(_texts_of(size, data))
+        texts = _texts_of(size, data)
         for law in laws:
-            each = found[law.number]
-            hashes = np.concatenate([h for _, _, h in each])
-            known = np.zeros(len(hashes), bool)
-            by, there, begin = _dealt(hashes, parts[law.number])
+            symbols, begin = symbols_of(law, texts)
+            found = chunks(law, symbols, begin)
+            known = np.zeros(len(found.hashes), bool)
+            by, there, start = _dealt(found.hashes, parts[law.number])
             own = {m["part"]: m["pack"] for m in mask if m["law"] == law.number}
-            for p, places in zip(there.tolist(), np.split(by, begin[1:])):
+            for p, places in zip(there.tolist(), np.split(by, start[1:])):
                 if p in own:
                     known[places] = np.unpackbits(np.frombuffer(own[p], np.uint8), count=len(places)).view(bool)
-            at = 0
-            for key, text, (count, first, chunk_hashes) in zip(block_keys, texts, each):
-                mine = known[at:at + len(chunk_hashes)]
-                at += len(chunk_hashes)
-                yield from _segments_of(law, key, text, count, first, chunk_hashes, mine, sent)
+            total = np.concatenate(([0], np.cumsum(known)))[found.chunk_at]
+            for i in np.flatnonzero(total[1:] > total[:-1]).tolist():
+                count, first, mine = found.of(i)
+                runs = segments(law, count, first, found.hashes[mine], known[mine])
+                if runs:
+                    yield from _segments_of(law, block_keys[i], symbols[begin[i]:begin[i + 1]], runs, sent)
 
 
-def _segments_of(law, key, text, count, first, hashes, known, sent) -> Iterator[tuple]:
-    runs = segments(law, count, first, hashes, known)
-    if not runs:
-        return
-    symbols = symbols_of(law, text)
+def _segments_of(law, key, symbols, runs, sent) -> Iterator[tuple]:
     found: dict[tuple[int, int], tuple[list[int], bytes]] = {}
+    whole = packed(law, symbols)
     for hash_, begin, last in runs:
-        content = packed(law, symbols[begin:last + law.length])
+        content = whole[begin * law.width:(last + law.length) * law.width]
         digest = xxhash.xxh3_64_intdigest(content) - (1 << 63)
         found.setdefault((hash_, digest), ([], content))[0].append(begin)
     for (hash_, digest), (starts, content) in found.items():
@@ -567,42 +589,63 @@ def _segments_of(law, key, text, count, first, hashes, known, sent) -> Iterator[
         # Equal segments are equal in content: a task need not send it again and again.
         again = (law.number, hash_, digest) in sent
         sent.add((law.number, hash_, digest))
-        yield law.number, hash_, digest, key, starts, None if again else content
+        yield law.number, hash_, digest, key, starts, len(content), None if again else content
 
 
 def _bucket(laws, key, hashes, digests, counts, contents) -> Iterator[tuple]:
+    """Runs of windows of each segment that occur elsewhere in this bucket; equal segments are one."""
     law = laws[key[0]]
-    rest = sorted(range(len(hashes)), key=lambda x: hashes[x])
+    each: dict[tuple[int, int], list] = {}
+    for hash_, digest, count, content in zip(hashes, digests, counts, contents):
+        own = each.setdefault((hash_, digest), [0, None])
+        own[0] += count
+        own[1] = content if own[1] is None else own[1]
+    rest = sorted(each)
     at = 0
     while at < len(rest):  # about a megabyte at a time; groups of one hash stay together
         size, end = 0, at
-        while end < len(rest) and (size < BUCKET_BYTES or hashes[rest[end]] == hashes[rest[end - 1]]):
-            size += len(contents[rest[end]])
+        while end < len(rest) and (size < BUCKET_BYTES or rest[end][0] == rest[end - 1][0]):
+            last = end + 1
+            while last < len(rest) and rest[last][0] == rest[end][0]:
+                last += 1
+            if last == end + 1 and (end == at or rest[end - 1][0] != rest[end][0]):
+                # Nothing else has its hash: all or nothing.
+                count, content = each[rest[end]]
+                if count > 1:
+                    yield law.number, *rest[end], [0, len(content) // law.width - law.length]
+                each[rest[end]][1] = b""
+            size += len(each[rest[end]][1])
             end += 1
-        now, at = rest[at:end], end
-        windows = repeated_windows([contents[x] for x in now], [counts[x] for x in now], law.length, law.width)
-        for x, places in zip(now, windows):
-            if len(places):
-                yield law.number, hashes[x], digests[x], _runs(places)
+        now, at = [x for x in rest[at:end] if each[x][1]], end
+        if now:
+            windows = repeated_windows([each[x][1] for x in now], [each[x][0] for x in now], law.length, law.width)
+            for x, places in zip(now, windows):
+                if len(places):
+                    yield law.number, *x, _runs(places)
 
 
-_PAIR = np.dtype([("a", "<u8"), ("b", "<u8")])
+def window_digests(law: Law, contents: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(a 64-bit hash of each window of all segments, how many windows each has)"""
+    symbols = unpacked(law.width, b"".join(contents))
+    count = np.array([len(c) // law.width for c in contents])
+    begin = np.concatenate(([0], np.cumsum(count)[:-1]))
+    windows = count - law.length + 1
+    skipped = begin - np.concatenate(([0], np.cumsum(windows)[:-1]))
+    starts = np.arange(windows.sum()) + np.repeat(skipped, windows)
+    one = span_hashes(symbols, starts, starts + law.length)
+    return mixed(one ^ (span_hashes(symbols, starts, starts + law.length, _OTHER) << np.uint64(1))), windows
 
 
-def window_digests(law: Law, content: bytes) -> np.ndarray:
-    """Two independent 64-bit hashes of each window."""
-    symbols = unpacked(law.width, content)
-    starts = np.arange(len(symbols) - law.length + 1)
-    made = np.empty(len(starts), _PAIR)
-    made["a"] = span_hashes(symbols, starts, starts + law.length)
-    made["b"] = span_hashes(symbols, starts, starts + law.length, _OTHER)
-    return made
+def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(len(values), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
 
 
 def _pack(laws, key, contents) -> Iterator[tuple]:
     number, hash_, salt = key
-    windows = np.unique(np.concatenate([window_digests(laws[number], c) for c in contents]))
-    part = (windows["a"] % np.uint64(DIGEST_PARTS)).astype(np.int64)
+    windows = np.unique(window_digests(laws[number], list(set(contents)))[0])
+    part = (windows % np.uint64(DIGEST_PARTS)).astype(np.int64)
     for p in np.unique(part):
         yield number, hash_, int(p), salt, windows[part == p].tobytes()
 
@@ -610,11 +653,11 @@ def _pack(laws, key, contents) -> Iterator[tuple]:
 def _across(key, salts, packs) -> Iterator[tuple]:
     """The digests that several salts hold, for each of these salts."""
     number, hash_, part = key
-    each = [np.frombuffer(p, _PAIR) for p in packs]
-    found, times = np.unique(np.concatenate(each), return_counts=True)
-    shared = found[times > 1]
+    each = [np.frombuffer(p, "<u8") for p in packs]
+    ordered = np.sort(np.concatenate(each))
+    shared = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
     for salt, own in zip(salts, each):
-        mine = own[np.isin(own, shared)] if len(shared) else shared
+        mine = own[_among(own, shared)]
         if len(mine):
             yield number, hash_, part, salt, mine.tobytes()
 
@@ -622,12 +665,16 @@ def _across(key, salts, packs) -> Iterator[tuple]:
 def _apply(laws, key, digests, contents, packs) -> Iterator[tuple]:
     """Rows with ``packs`` hold repeated digests, the others hold segments."""
     number, hash_, _ = key
-    shared = np.concatenate([np.frombuffer(p, _PAIR) for p in packs if p is not None] or [np.zeros(0, _PAIR)])
-    for digest, content in zip(digests, contents):
-        if content is not None and len(shared):
-            places = np.flatnonzero(np.isin(window_digests(laws[number], content), shared))
-            if len(places):
-                yield number, hash_, digest, _runs(places)
+    law = laws[number]
+    shared = np.sort(np.concatenate([np.frombuffer(p, "<u8") for p in packs if p is not None] or [np.zeros(0, "<u8")]))
+    each = {d: c for d, c in zip(digests, contents) if c is not None}
+    if not len(shared) or not each:
+        return
+    found, windows = window_digests(law, list(each.values()))
+    for digest, mask in zip(each, np.split(_among(found, shared), np.cumsum(windows)[:-1])):
+        places = np.flatnonzero(mask)
+        if len(places):
+            yield number, hash_, digest, _runs(places)
 
 
 def _joined(keys, laws, runs) -> Iterator[tuple]:
@@ -646,8 +693,8 @@ def repeated(texts: DataFrame, *laws: Law) -> DataFrame:
     return settled(texts.sparkSession, lambda: _repeated(texts, list(laws)), "repeats")
 
 
-def _repeated(texts: DataFrame, laws: list[Law]) -> DataFrame:
-    by_number = {law.number: law for law in laws}
+def _candidates(texts: DataFrame, laws: list[Law]) -> DataFrame:
+    """law, hash, digest, tkey, starts, size, bytes of the segments; one row of equal ones in a task has the bytes."""
     blocks = stage(_blocks(texts), "repeat-blocks")
     size = blocks.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     # About two anchors in ``near`` + 1 symbols; a word has about six bytes.
@@ -661,43 +708,34 @@ def _repeated(texts: DataFrame, laws: list[Law]) -> DataFrame:
     ), "repeat-masks")
     weight, rows = masks.agg(F.sum("weight"), F.count("*")).first()
     side = small_side(masks.select("block", "masks"), 16 + (weight or 0) // max(1, rows), MASK_BYTES)
-    cut = stage(
-        map_slices(
-            blocks.join(side, "block").select("block", "tkeys", "sizes", "data", "masks"), _SEGMENTS,
-            partial(_segments, laws, parts, set()), rows=1,
-        ),
-        "segments",
+    return map_slices(
+        blocks.join(side, "block").select("block", "tkeys", "sizes", "data", "masks"), _SEGMENTS,
+        partial(_segments, laws, parts, set()), rows=1,
     )
-    distinct = stage(
-        cut.groupBy("law", "hash", "digest").agg(
-            F.sum(F.size("starts")).alias("count"), F.max("bytes").alias("bytes")
-        ),
-        "segments-distinct",
+
+
+def _repeated(texts: DataFrame, laws: list[Law]) -> DataFrame:
+    spark = texts.sparkSession
+    by_number = {law.number: law for law in laws}
+    cut = settled(spark, lambda: _candidates(texts, laws), "segments")
+    # Narrow rows: how many different segments a hash has, and how many bytes.
+    variants = cut.groupBy("law", "hash", "digest").agg(F.max("size").alias("size")).groupBy("law", "hash").agg(
+        F.count("*").alias("variants"), F.sum("size").alias("size")
     )
-    variants = stage(distinct.groupBy("law", "hash").agg(
-        F.count("*").alias("variants"), F.sum(F.octet_length("bytes")).alias("size")
-    ).where("variants > 1"), "segments-variants")
-    size = variants.agg(F.sum("size")).first()[0] or 0
-    buckets = max(1, size // BUCKET_BYTES)
     salts = F.greatest(F.ceil(F.col("variants") / HOT), F.ceil(F.col("size") / HOT_BYTES)).cast("int")
-    salted = distinct.join(variants.withColumn("salts", salts), ["law", "hash"]).withColumn(
-        "salt", F.pmod(F.xxhash64("digest"), F.col("salts")).cast("int")
+    variants = stage(variants.select("law", "hash", "size", salts.alias("salts")), "segments-variants")
+    buckets = int(max(1, (variants.agg(F.sum("size")).first()[0] or 0) // BUCKET_BYTES))
+    hot = stage(variants.where("salts > 1").select("law", "hash", "salts"), "segments-hot")
+    salted = cut.join(small_side(hot, 24), ["law", "hash"], "left").withColumn(
+        "salt", F.when(F.col("salts") > 1, F.pmod(F.xxhash64("digest"), F.col("salts"))).otherwise(0).cast("int")
     )
     dealt = salted.withColumn("bucket", F.pmod(F.xxhash64("law", "hash", "salt"), F.lit(buckets)))
     runs = map_groups(
-        dealt.select("law", "bucket", "hash", "digest", "count", "bytes"), ["law", "bucket"], _RUNS,
-        partial(_bucket, by_number), int(buckets),
+        dealt.select("law", "bucket", "hash", "digest", F.size("starts").alias("count"), "bytes"),
+        ["law", "bucket"], _RUNS, partial(_bucket, by_number), buckets,
     )
-    # A segment that nothing else shares its hash with: all or nothing.
-    windows = F.lit(None).cast("int")
-    for law in laws:
-        windows = F.when(F.col("law") == law.number, (F.octet_length("bytes") / law.width - law.length).cast("int")).otherwise(windows)
-    alone = distinct.where("count > 1").join(variants, ["law", "hash"], "left_anti")
-    runs = runs.union(alone.select("law", "hash", "digest", F.array(F.lit(0), windows)))
-    if variants.where(salts > 1).limit(1).count():
-        spread = stage(
-            salted.where("salts > 1").select("law", "hash", "salt", "digest", "bytes"), "segments-spread"
-        )
+    if hot.limit(1).count():
+        spread = salted.where("salts > 1 AND bytes IS NOT NULL").select("law", "hash", "salt", "digest", "bytes")
         packs = map_groups(spread.select("law", "hash", "salt", "bytes"), ["law", "hash", "salt"], _PACKED, partial(_pack, by_number))
         shared = map_groups(packs.select("law", "hash", "part", "salt", "windows"), ["law", "hash", "part"], _PACKED, _across)
         none = F.lit(None)
