@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voxmill.llm.rows import map_slices
-from voxmill.sources.staging import stage
+from voxmill.sources.staging import scope, stage
 
 FIT_ROWS = 20_000
 MAX_VOTERS = 300
@@ -87,8 +87,8 @@ class Model:
                 found += [known[b] for b in {w[:n] for w in words if len(w) > n} & known.keys()]
         return sorted(found + [i for i, p in self.patterns if p.search(text)])
 
-    def score(self, text: str | None) -> float:
-        found = self.fired(text)
+    def score(self, found: list[int]) -> float:
+        """From the voters that fired."""
         z = self.weights[-1] + self.weights[-2] * math.log1p(len(found))
         if found:
             z += float(self.weights[found].sum())
@@ -150,10 +150,10 @@ def fit(docs: DataFrame, labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("_toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     )
-    sample = stage(
-        docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").select("text", "_toxic"),
-        "toxicity-sample",
-    )
+    # An id may stand on many rows: one row for each id and text, and no more than the bound in all.
+    rows = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")
+    rows = rows.groupBy("doc_id", F.xxhash64("text").alias("_key"), "_toxic").agg(F.max("text").alias("text"))
+    sample = stage(rows.orderBy("_key", "doc_id").limit(fit_rows).select("text", "_toxic"), "toxicity-sample")
 
     def count(texts, toxic):
         counts = {0: Counter(), 1: Counter()}
@@ -213,14 +213,17 @@ def fit(docs: DataFrame, labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model
     return Model(voters, linear_fit(votes[:-1], label_model(votes[:-1], said[:-1])))
 
 
-def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
-    """Columns ``keep`` plus ``score`` and the names of the voters that fired."""
+def score(
+    docs: DataFrame, model: Model, keep: list[str], text: str = "text", names: bool = True
+) -> DataFrame:
+    """Columns ``keep`` plus ``score`` and ``fired``: the names of the voters that fired, null without ``names``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(*columns):
         own = shared.value
         for *left, value in zip(*columns):
-            yield (*left, own.score(value), [own.voters[i] for i in own.fired(value)])
+            found = own.fired(value)
+            yield (*left, own.score(found), [own.voters[i] for i in found] if names else None)
 
     inner = [T.StructField(f"_{i}", docs.schema[c].dataType) for i, c in enumerate(keep)]
     schema = T.StructType([
@@ -239,11 +242,12 @@ def _held_out():
 
 
 def trained(docs: DataFrame, labels: DataFrame) -> Model:
-    return fit(docs, labels.select("doc_id", "toxic").where(~_held_out()))
+    with scope(docs.sparkSession):
+        return fit(docs, labels.select("doc_id", "toxic").where(~_held_out()))
 
 
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    scored = score(docs, trained(docs, labels), ["doc_id"])
+    scored = score(docs, trained(docs, labels), ["doc_id"], names=False)
     return scored.select(
         "doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
@@ -252,5 +256,5 @@ def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that score below the threshold, with all their columns."""
-    scored = score(docs, trained(docs, labels), docs.columns)
+    scored = score(docs, trained(docs, labels), docs.columns, names=False)
     return scored.where(F.col("score") < THRESHOLD).select(docs.columns)
