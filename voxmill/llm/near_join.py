@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from voxmill.llm.components import components
 from voxmill.llm.rows import map_groups, map_slices, small_side
-from voxmill.sources.staging import stage
+from voxmill.sources.staging import settled, stage
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -241,7 +241,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
         ),
         "near-nodes",
     )
-    found = verified(docs.select(F.md5(value).alias("tkey"), value.alias("_t")), rows, nodes)
+    texts = docs.select(F.md5(value).alias("tkey"), value.alias("_t"))
+    found = settled(docs.sparkSession, lambda: verified(texts, rows, nodes), "near-links")
     named = stage(
         nodes.join(found, "node", "left").select(
             "node", "id", F.coalesce("root", "node").alias("root"),
@@ -302,14 +303,23 @@ def query(docs: DataFrame) -> DataFrame:
     return join(docs).select(F.col("id").alias("doc_id"), "class_id", "n_links")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without near copies: the one with the smallest id of each group stays."""
+def _kept(docs: DataFrame) -> DataFrame:
+    """id, tkey of the rows that stay, n: how many rows are alike in both."""
     rows = stage(join(docs), "near-classes")
     order = F.struct(F.col("id").isNull().alias("none"), "id", "tkey")
     kept = rows.groupBy("class_id").agg(F.min(order).alias("k")).where("class_id IS NOT NULL")
     # Groups in which no row has an id keep one row for each distinct text.
     blind = rows.where("class_id IS NULL").select("id", "tkey").distinct()
-    kept = stage(kept.select("k.id", "k.tkey").union(blind), "near-kept")
+    kept = kept.select("k.id", "k.tkey").union(blind)
+    times = rows.groupBy("id", "tkey").agg(F.count("*").alias("n")).where("n > 1")
+    own = times.select(F.col("id").alias("_id"), F.col("tkey").alias("_tkey"), "n")
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("tkey") == F.col("_tkey"))
+    return kept.join(own, same, "left").select("id", "tkey", F.coalesce("n", F.lit(1)).alias("n"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without near copies: the one with the smallest id of each group stays."""
+    kept = settled(docs.sparkSession, lambda: _kept(docs), "near-kept")
     names = docs.columns
     own = docs.select(
         *(F.col(c).alias(f"_{i}") for i, c in enumerate(names)),
@@ -318,6 +328,6 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     )
     both = own["id"].eqNullSafe(kept["id"]) & (own["tkey"] == kept["tkey"])
     left = own.join(kept, both, "left_semi")
-    if rows.groupBy("id", "tkey").count().where("count > 1").limit(1).count():
+    if kept.where("n > 1").limit(1).count():
         left = left.dropDuplicates(["id", "tkey"])
     return left.select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(names)))
