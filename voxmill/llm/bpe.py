@@ -30,7 +30,7 @@ from voxmill.llm.rows import map_slices
 
 _END = "\U0010fffe"
 #: Chunks, and words, whose ids a worker keeps; a full cache starts anew.
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 150_000
 #: White space as the split pattern's \s sees it; str.split() takes four controls more.
 _SPACE = r"\t-\r \x85\xa0  -     　"
 _CHUNKS = regex.compile(f"[^{_SPACE}]+")

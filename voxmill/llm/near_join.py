@@ -36,6 +36,8 @@ RECALL = 0.9999
 #: Signatures that agree in this share or more are verified: 4 standard deviations below 0.8.
 SKETCH = 0.65
 BLOCK = 2048
+#: Words whose hashes a worker keeps; a full table starts anew.
+KNOWN_WORDS = 150_000
 
 _WORD = re.compile(r"\w+")
 _RANDOM = np.random.RandomState(11)
@@ -66,7 +68,7 @@ class Shingler:
         try:
             hashes = [known[w] for w in words]
         except KeyError:
-            if len(known) > 1_000_000:
+            if len(known) > KNOWN_WORDS:
                 known.clear()
             for w in words:
                 if w not in known:
