@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import LongType, StructType
 
 from voxmill.config import Site
-from voxmill.operators import search
+from voxmill.operators import search, search_index
 from voxmill.plans import pipeline
 from voxmill.sources import records as io
 from voxmill import schemas
@@ -25,9 +26,15 @@ def parser() -> argparse.ArgumentParser:
         step.add_argument("--format", default="parquet", choices=("parquet", "jsonl", "json"))
         if name in ("extract", "run"):
             step.add_argument("--min-year", type=int)
+    make = steps.add_parser("index")
+    make.add_argument("--input", required=True, help="clean records")
+    make.add_argument("--output", required=True, help="folder of the index")
+    make.add_argument("--format", default="parquet", choices=("parquet", "jsonl", "json"))
     find = steps.add_parser("search")
     find.add_argument("query")
     find.add_argument("--input", required=True)
+    find.add_argument("--index", help="index of the same records; without one the search fits anew")
+    find.add_argument("--format", default="parquet", choices=("parquet", "jsonl", "json"))
     find.add_argument("--top-k", type=int, default=5)
     find.add_argument("--return-only", action="store_true")
     find.add_argument("--warranty-only", action="store_true")
@@ -37,14 +44,29 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def read_table(spark: SparkSession, path: str, form: str) -> DataFrame:
+    """Records of a later step. JSON has no types of its own: the schema of enriched records is asked for."""
+    if form == "parquet":
+        return spark.read.parquet(path)
+    found = spark.read.json(path, multiLine=form == "json").columns
+    own = (schemas.CLEAN_REVIEW, schemas.FEATURES, schemas.ENRICHMENT, schemas.struct(seq=LongType()))
+    known = {f.name: f for schema in own for f in schema.fields}
+    wanted = StructType([known[c] for c in found if c in known])
+    return io.read_records(spark, path, wanted, form)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName("voxmill").getOrCreate()
     site = Site(name=args.site_name, base_url=args.base_url)
+    if args.step == "index":
+        search_index.build(read_table(spark, args.input, args.format), args.output)
+        return
     if args.step == "search":
-        records = spark.read.parquet(args.input)
+        records = read_table(spark, args.input, args.format)
+        index = search_index.open_index(spark, args.index) if args.index else None
         found = search.filtered_search(
-            records, args.query, args.top_k, return_only=args.return_only,
+            records, args.query, args.top_k, index, return_only=args.return_only,
             warranty_only=args.warranty_only, issue=args.issue, years=args.years,
             include_unknown=args.include_unknown_year,
         )
@@ -61,7 +83,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         step = {"features": pipeline.extract_features, "enrich": pipeline.enrich,
                 "report": pipeline.report}[args.step]
-        step(spark.read.parquet(args.input), paths)
+        step(read_table(spark, args.input, args.format), paths)
 
 
 if __name__ == "__main__":

@@ -115,7 +115,8 @@ def fit_classifier(
     train: DataFrame, labels: Sequence[str], max_iter: int = 600, c: float = 1.0
 ) -> IssueClassifier:
     """Fit on (seq, text, label). Classes weigh the same; regularisation is 1 / (c * rows)."""
-    model = tfidf.fit(train.select("seq", "text"))
+    train = stage(tfidf.tokenized(train), "train-tokens")
+    model = tfidf.fit(train)
     per_class = {r.label: r["count"] for r in train.groupBy("label").count().collect()}
     n = sum(per_class.values())
     share = {k: n / (len(per_class) * count) for k, count in per_class.items()}

@@ -11,7 +11,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from voxmill.functions import text as tx
-from voxmill.operators import filters, tfidf
+from voxmill.operators import filters, search_index, tfidf
+from voxmill.sources.staging import stage
 
 QUERIES_PER_PASS = 32
 
@@ -46,7 +47,11 @@ def _similar(
     A document without any of the query words cannot match and is dropped before it is split into
     terms; the rest is scored row by row.
     """
-    hits = docs.where(tx.contains_any(F.lower("text"), words))
+    if "_tokens" in docs.columns:
+        listed = F.array(*map(F.lit, words)).cast("array<string>")
+        hits = docs.where(F.arrays_overlap("_tokens", listed))
+    else:
+        hits = docs.where(tx.contains_any(F.lower("text"), words))
     vector = tfidf.sparse("_weights")
     ready = tfidf.weigh(hits, model).select(
         "seq", vector["indices"].alias("_at"), vector["values"].alias("_w")
@@ -112,20 +117,34 @@ def search_topk(
     query: str,
     top_k: int = 5,
     model: tfidf.TfidfModel | None = None,
+    index: search_index.SearchIndex | None = None,
 ) -> DataFrame:
     """Records by similarity to the query, with ``rank`` and ``similarity``.
 
-    Without a fitted ``model`` one is fitted on ``records``. Read ``records`` from a stage table,
-    as the search goes over them more than once.
+    With an ``index`` of ``records`` only the postings of the query's terms are read, and the found
+    records. Else, without a fitted ``model``, one is fitted on ``records``. Read ``records`` from a stage
+    table, as the search goes over them more than once.
     """
-    docs = tfidf.corpus(records, fallback=False)
+    if index:
+        queries = records.sparkSession.createDataFrame([(0, query)], "query_no int, query string")
+        found = search_index.search(index, queries, top_k).drop("query_no", "query")
+        return with_records(found, records).orderBy("rank")
+    docs = stage(tfidf.tokenized(tfidf.corpus(records, fallback=False), model and model.stopwords), "tokens")
     model = model or tfidf.fit(docs)
     results = search_batch(docs, model, [query], top_k).drop("query_no", "query")
     return with_records(results, records).orderBy("rank")
 
 
-def filtered_search(records: DataFrame, query: str, top_k: int = 10, **conditions) -> DataFrame:
-    """Filter first, then fit on what is left: similarities depend on the filters."""
+def filtered_search(
+    records: DataFrame, query: str, top_k: int = 10, index: search_index.SearchIndex | None = None, **conditions
+) -> DataFrame:
+    """Filter first, then fit on what is left: similarities depend on the filters.
+
+    With an ``index`` of ``records`` the fit reads its totals and tokens instead of the texts.
+    """
+    if index and query.strip():
+        found = search_index.filtered_search(index, query.strip(), top_k, **conditions)
+        return with_records(found, records).orderBy("rank")
     kept = filters.apply_filters(records, **conditions)
     if not query.strip():
         empty = kept.where(F.lit(False))

@@ -1,8 +1,8 @@
 """TF-IDF over single words and word pairs.
 
-Fitting goes over the corpus three times: words, pairs, document frequencies. A pair cannot be more
-frequent than either of its words, so only pairs of words frequent enough for the vocabulary are
-counted; the long tail of rare pairs never reaches the shuffle. The result is exact.
+Text is split once, into a token table (``tokenized``); fitting and weighing read the tokens. A pair
+cannot be more frequent than either of its words, so only pairs of words frequent enough for the
+vocabulary are counted; the long tail of rare pairs never reaches the shuffle. The result is exact.
 
 Weighting is done row by row with the ML transformers: counting, scaling and normalising a document
 needs nothing but the document and the vocabulary, so there is no shuffle.
@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,20 +46,34 @@ class TfidfModel:
     stopwords: tuple[str, ...]
 
 
+def text_of(fallback: bool = True) -> Column:
+    """The text to index; with ``fallback`` the review text stands in for missing text."""
+    return corpus_text() if fallback else F.coalesce("review_text_normalized", F.lit(""))
+
+
 def corpus(records: DataFrame, fallback: bool = True) -> DataFrame:
-    """(seq, text) to index; with ``fallback`` the review text stands in for missing text."""
-    text = corpus_text() if fallback else F.coalesce("review_text_normalized", F.lit(""))
-    return records.select("seq", text.alias("text"))
+    """(seq, text) to index."""
+    return records.select("seq", text_of(fallback).alias("text"))
 
 
 def terms_of(tokens: Column) -> Column:
     return F.concat(tokens, tx.bigrams(tokens))
 
 
+def tokenized(docs: DataFrame, stopwords: Sequence[str] | None = None) -> DataFrame:
+    """``docs`` with ``_tokens`` in place of ``text``; a token table stays as it is.
+
+    Stage it, and no later step splits the text again. It goes with models of the same stop words.
+    """
+    if "_tokens" in docs.columns:
+        return docs
+    words = lx.default_stopwords() if stopwords is None else stopwords
+    return docs.withColumn("_tokens", tx.index_tokens("text", words)).drop("text")
+
+
 def with_terms(docs: DataFrame, stopwords: Sequence[str]) -> DataFrame:
-    """Add ``_terms``: the words of ``text`` and their neighbouring pairs."""
-    tokens = docs.withColumn("_tokens", tx.index_tokens("text", stopwords))
-    return tokens.withColumn("_terms", terms_of(F.col("_tokens"))).drop("_tokens")
+    """Add ``_terms``: the words of the document and their neighbouring pairs."""
+    return tokenized(docs, stopwords).withColumn("_terms", terms_of(F.col("_tokens"))).drop("_tokens")
 
 
 def _key(word: Column) -> Column:
@@ -68,13 +82,16 @@ def _key(word: Column) -> Column:
     return F.when(F.length(word) <= KEY_LENGTH, word).otherwise(digest)
 
 
-def _frequent_terms(docs: DataFrame, stopwords: Sequence[str], max_features: int) -> DataFrame:
+def word_totals(tokens: DataFrame, *by: str) -> DataFrame:
+    """(term, *by, total): how often each word occurs."""
+    words = tokens.select(F.explode("_tokens").alias("term"), *by)
+    return words.groupBy("term", *by).agg(F.count(F.lit(1)).alias("total"))
+
+
+def _frequent_terms(tokens: DataFrame, max_features: int, words: DataFrame | None) -> DataFrame:
     """(term, total) of the ``max_features`` most frequent terms, ties in term order."""
-    tokens = docs.select(tx.index_tokens("text", stopwords).alias("_tokens"))
     total = F.count(F.lit(1)).alias("total")
-    words = stage(
-        tokens.select(F.explode("_tokens").alias("term")).groupBy("term").agg(total), "words"
-    )
+    words = stage(word_totals(tokens) if words is None else words, "words")
     order = [F.desc("total"), F.asc("term")]
     best = words.orderBy(*order).limit(max_features)
     floor, found = best.agg(F.min("total"), F.count(F.lit(1))).first()
@@ -102,18 +119,22 @@ def fit(
     docs: DataFrame,
     stopwords: Sequence[str] | None = None,
     max_features: int = MAX_FEATURES,
+    totals: DataFrame | None = None,
 ) -> TfidfModel:
-    """Vocabulary and smoothed idf of (seq, text). An action; read ``docs`` from a stage table."""
+    """Vocabulary and smoothed idf of (seq, text) or of a staged token table. An action.
+
+    ``totals``: (term, total) of the words of ``docs``, if they have been counted already.
+    """
     words = tuple(lx.default_stopwords() if stopwords is None else stopwords)
-    frequent = stage(_frequent_terms(docs, words, max_features), "terms")
+    if "_tokens" not in docs.columns:
+        docs = stage(tokenized(docs.select("text"), words), "tokens")
+    frequent = stage(_frequent_terms(docs.select("_tokens"), max_features, totals), "terms")
     size = frequent.agg(F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()[0]
     if size > VOCABULARY_BYTES:
         raise ValueError(f"the vocabulary takes {size} bytes; lower max_features")
-    # The counter learns its vocabulary from one row that has every chosen term once.
-    chosen = frequent.agg(F.collect_list("term").alias("_terms"))
-    counter = CountVectorizer(
-        vocabSize=max_features, inputCol="_terms", outputCol="_counts"
-    ).fit(chosen if size else chosen.select(F.array(F.lit(" ")).alias("_terms")))
+    totals = {r.term: r.total for r in frequent.orderBy(F.desc("total"), "term").collect()}
+    terms = list(totals)
+    counter = CountVectorizerModel.from_vocabulary(terms or [" "], inputCol="_terms", outputCol="_counts")
     if size:
         counts = counter.transform(with_terms(docs, words)).select("_counts")
         seen = IDF(inputCol="_counts", outputCol="_idf").fit(counts)
@@ -121,8 +142,6 @@ def fit(
     else:
         n_docs, df = docs.count(), [0]
     idf = [math.log((1.0 + n_docs) / (1.0 + n)) + 1.0 for n in df]
-    totals = {r.term: r.total for r in frequent.collect()}
-    terms = list(counter.vocabulary) if size else []
     vocabulary = docs.sparkSession.createDataFrame(pa.table({
         "index": pa.array(range(len(terms)), pa.int32()),
         "term": pa.array(terms, pa.string()),
@@ -138,7 +157,7 @@ def fit(
 
 
 def weigh(docs: DataFrame, model: TfidfModel) -> DataFrame:
-    """Add the vectors ``_counts`` and ``_weights`` for ``text``; one row in, one row out."""
+    """Add the vectors ``_counts`` and ``_weights`` in place of text or tokens; one row in, one row out."""
     weighed = model.pipeline.transform(with_terms(docs, model.stopwords))
     return weighed.drop("_terms", "_scaled")
 

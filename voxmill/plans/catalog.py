@@ -25,6 +25,7 @@ from voxmill.operators import (
     links,
     pages,
     search,
+    search_index,
     tfidf,
 )
 from voxmill.sources import records as io
@@ -412,10 +413,16 @@ def record_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fitted(spark: SparkSession, sf: str, fallback: bool = True):
-    docs = stage(tfidf.corpus(clean(spark, sf), fallback), "corpus")
+    docs = stage(tfidf.tokenized(tfidf.corpus(clean(spark, sf), fallback)), "tokens")
     return docs, tfidf.fit(docs)
 
 
+def indexed(spark: SparkSession, sf: str, fallback: bool = False):
+    """Clean records and their search index, both written once."""
+    records = staged_clean(spark, sf)
+    return records, search_index.build(records, scratch_path(spark, "index"), fallback)
+
+
 def tfidf_weights(spark: SparkSession, sf: str) -> DataFrame:
     weights = tfidf.tfidf_weights(*fitted(spark, sf))
     return weights.select("seq", "term", "tf", F.round("weight", 6).alias("weight"))
@@ -450,6 +457,28 @@ def search_batch(spark: SparkSession, sf: str) -> DataFrame:
     return search.search_batch(docs, model, asked, 5)
 
 
+def index_search_topk(spark: SparkSession, sf: str) -> DataFrame:
+    records, index = indexed(spark, sf)
+    found = search.search_topk(records, QUERY, 5, index=index)
+    return found.select("rank", "seq", "company", "title", "similarity")
+
+
+def index_search_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """Four queries by an index."""
+    asked = list(enumerate(q for q, _ in lx.EVALUATION_QUERIES))
+    queries = spark.createDataFrame(asked, "query_no int, query string")
+    return search_index.search(indexed(spark, sf, True)[1], queries, 5)
+
+
+def search_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A table of queries: the beginning of every twentieth review, against all of them."""
+    records, index = indexed(spark, sf, True)
+    queries = records.where("seq % 20 = 0").select(
+        F.col("seq").alias("query_no"), F.substring("review_text", 1, 120).alias("query")
+    )
+    return search_index.search(index, queries, 10).drop("query")
+
+
 def filter_mentions(spark: SparkSession, sf: str) -> DataFrame:
     return filters.filter_mentions(clean(spark, sf), True, True).select("seq")
 
@@ -459,7 +488,9 @@ def filter_issue(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def filter_years(spark: SparkSession, sf: str) -> DataFrame:
-    return filters.filter_years(clean(spark, sf), [1996, 1999], True).select("seq", "review_date")
+    # The column is raw, so the filter comes before the text work.
+    where = filters.in_years([1996, 1999], True)
+    return cleaning.clean_reviews(tv.raw_reviews(spark, sf), where=where).select("seq", "review_date")
 
 
 def recent_years(spark: SparkSession, sf: str) -> DataFrame:
@@ -473,6 +504,24 @@ def filtered_search(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("rank", "seq", "company", "similarity")
 
 
+def index_filtered_search(spark: SparkSession, sf: str) -> DataFrame:
+    return _index_filtered(spark, sf, return_only=True)
+
+
+def index_filtered_search_issue(spark: SparkSession, sf: str) -> DataFrame:
+    return _index_filtered(spark, sf, issue="delivery_issue")
+
+
+def index_filtered_search_years(spark: SparkSession, sf: str) -> DataFrame:
+    return _index_filtered(spark, sf, warranty_only=True, years=[1996, 1999], include_unknown=True)
+
+
+def _index_filtered(spark: SparkSession, sf: str, **conditions) -> DataFrame:
+    records, index = indexed(spark, sf)
+    found = search.filtered_search(records, FILTERED_QUERY, 10, index, **conditions)
+    return found.select("rank", "seq", "company", "similarity")
+
+
 def dataset_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return filters.dataset_metrics(clean(spark, sf), issue="support_issue")
 
@@ -681,8 +730,9 @@ def queries() -> dict[str, Query]:
         missing_counts, preprocess_summary, clean_reviews,
         keyword_hits, record_features, tfidf_weights, top_corpus_terms, corpus_stats,
         issue_label_distribution, feature_summary,
-        search_topk, search_batch, filter_mentions, filter_issue, filter_years, recent_years,
-        filtered_search, dataset_metrics, result_view, dataset_preview,
+        search_topk, search_batch, index_search_topk, index_search_batch, search_table, filter_mentions, filter_issue, filter_years, recent_years,
+        filtered_search, index_filtered_search, index_filtered_search_issue, index_filtered_search_years,
+        dataset_metrics, result_view, dataset_preview,
         fallback_predict, stratified_split, fit_classifier, predict_all, holdout_metrics,
         label_suggestion,
         split_sentences, sentiment, summary, domain_relevance, enrich, sentiment_distribution,

@@ -263,6 +263,13 @@ def _fragments() -> dict[str, tuple[str, tuple[str, ...]]]:
         "eval_queries": (
             f"SELECT * FROM (VALUES {numbered_queries}) AS t(query_no, query, expected)", ()),
         "chosen": ("SELECT * FROM clean WHERE has_return_mention", ("clean",)),
+        "chosen_issue": ("SELECT * FROM clean WHERE list_contains(issue_labels, 'delivery_issue')", ("clean",)),
+        "chosen_years": (f"""
+          SELECT * FROM clean WHERE has_warranty_mention
+            AND ({_year('review_date')} IN (1996, 1999) OR {_year('review_date')} IS NULL)""", ("clean",)),
+        "table_queries": ("""
+          SELECT seq AS query_no, substring(review_text, 1, 120) AS query FROM clean
+          WHERE seq % 20 = 0""", ("clean",)),
         "hits": (f"""
           SELECT t.query_no, t.query, t.rank, t.seq, e.company, t.similarity,
             list_filter(q.expected, lambda x: contains(lower({both}), x)) AS matched
@@ -319,9 +326,14 @@ def _fragments() -> dict[str, tuple[str, tuple[str, ...]]]:
     base |= corpus("c", "clean", both)
     base |= corpus("n", "clean", text)
     base |= corpus("s", "chosen", text)
+    base |= corpus("i", "chosen_issue", text)
+    base |= corpus("y", "chosen_years", text)
     base |= ranked("ev", "eval_queries", "c", "clean", EVAL_K)
     base |= ranked("one", "asked", "n", "clean", 5)
     base |= ranked("sub", "asked_filtered", "s", "chosen", 10)
+    base |= ranked("iss", "asked_filtered", "i", "chosen_issue", 10)
+    base |= ranked("yrs", "asked_filtered", "y", "chosen_years", 10)
+    base |= ranked("tab", "table_queries", "c", "clean", 10)
     return base
 
 
@@ -595,9 +607,15 @@ def oracle_sql() -> dict[str, str]:
       SELECT year FROM ({both_years}) WHERE year >= 1998
         OR (year IS NOT NULL AND (SELECT max(year) FROM ({both_years})) < 1998)""", "clean")
     out["issue_values"] = sql("SELECT DISTINCT unnest(issue_labels) AS label FROM clean", "clean")
-    out["filtered_search"] = sql("""
-      SELECT t.rank, t.seq, c.company, t.similarity
-      FROM sub_top t JOIN clean c ON c.seq = t.seq""", "sub_top", "clean")
+    out["search_table"] = sql("SELECT query_no, rank, seq, similarity FROM tab_top", "tab_top")
+    out["index_search_topk"], out["index_search_batch"] = out["search_topk"], out["search_batch"]
+    for name, top in (
+        ("", "sub_top"), ("index_", "sub_top"), ("index_", "iss_top"), ("index_", "yrs_top"),
+    ):
+        facet = {"iss_top": "_issue", "yrs_top": "_years"}.get(top, "")
+        out[f"{name}filtered_search{facet}"] = sql(f"""
+          SELECT t.rank, t.seq, c.company, t.similarity
+          FROM {top} t JOIN clean c ON c.seq = t.seq""", top, "clean")
     out["dataset_metrics"] = cleaned(
         """(SELECT count(*) FROM clean) AS total_records, count(*) AS filtered_records,
         count(DISTINCT company) AS distinct_companies""",
