@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -19,6 +20,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def release() -> None:
+    """Give back to the system what a task held; workers live on, and so would their largest size."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
 def map_slices(
     df: DataFrame, schema: T.StructType, work: Callable[..., Iterable[tuple]], rows: int = SLICE_ROWS
 ) -> DataFrame:
@@ -40,6 +49,7 @@ def map_slices(
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(list(c), f.type) for c, f in zip(columns, target)], schema=target
                     )
+        release()
 
     return df.mapInArrow(run, schema)
 
@@ -91,6 +101,7 @@ def map_groups(
             yield from out(2000)
         finish()
         yield from out(0)
+        release()
 
     return dealt.sortWithinPartitions(*keys).mapInArrow(run, schema)
 

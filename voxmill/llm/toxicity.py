@@ -151,9 +151,16 @@ def fit(docs: DataFrame, labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     )
     # An id may stand on many rows: one row for each id and text, and no more than the bound in all.
-    rows = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")
-    rows = rows.groupBy("doc_id", F.xxhash64("text").alias("_key"), "_toxic").agg(F.max("text").alias("text"))
-    sample = stage(rows.orderBy("_key", "doc_id").limit(fit_rows).select("text", "_toxic"), "toxicity-sample")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("_key"))
+    pairs = (
+        rows.select("doc_id", "_key").join(F.broadcast(wanted), "doc_id")
+        .groupBy("doc_id", "_key", "_toxic").agg(F.count("*").alias("_n"))
+        .orderBy("_key", "doc_id").limit(fit_rows)
+    )
+    found = rows.join(F.broadcast(pairs), ["doc_id", "_key"])
+    once = found.where("_n = 1").select("text", "_toxic")
+    several = found.where("_n > 1").groupBy("doc_id", "_key", "_toxic").agg(F.max("text").alias("text"))
+    sample = stage(once.union(several.select("text", "_toxic")), "toxicity-sample")
 
     def count(texts, toxic):
         counts = {0: Counter(), 1: Counter()}
