@@ -6,12 +6,14 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from voxmill import lexicons as lx
 from voxmill.functions import labels as lb
 from voxmill.operators import tfidf
 from voxmill.operators.evaluation import class_scores
@@ -114,8 +116,12 @@ class IssueClassifier:
 def fit_classifier(
     train: DataFrame, labels: Sequence[str], max_iter: int = 600, c: float = 1.0
 ) -> IssueClassifier:
-    """Fit on (seq, text, label). Classes weigh the same; regularisation is 1 / (c * rows)."""
-    train = stage(tfidf.tokenized(train), "train-tokens")
+    """Fit on (seq, text, label), or on a staged token table with labels.
+
+    Classes weigh the same; regularisation is 1 / (c * rows).
+    """
+    if "_tokens" not in train.columns:
+        train = stage(tfidf.tokenized(train), "train-tokens")
     model = tfidf.fit(train)
     per_class = {r.label: r["count"] for r in train.groupBy("label").count().collect()}
     n = sum(per_class.values())
@@ -142,16 +148,110 @@ def fit_classifier(
     return IssueClassifier(model, regression, tuple(labels))
 
 
-def predict_all(records: DataFrame, classifier: IssueClassifier) -> DataFrame:
-    """Label and highest probability for every record, training rows included."""
-    rows = tfidf.weigh(records.withColumn("text", tfidf.corpus_text()), classifier.features)
-    scored = classifier.regression.transform(rows.withColumnRenamed("_weights", "features"))
+def predict(docs: DataFrame, classifier: IssueClassifier) -> DataFrame:
+    """(seq, text) or a token table, with ``ai_predicted_issue`` and ``ai_confidence``."""
+    rows = tfidf.weigh(docs, classifier.features).withColumnRenamed("_weights", "features")
+    scored = classifier.regression.transform(rows)
     names = F.array(*[F.lit(label) for label in classifier.labels])
-    scored = scored.withColumn("ai_predicted_issue", F.get(names, F.col("_prediction").cast("int")))
     return scored.withColumns({
+        "ai_predicted_issue": F.get(names, F.col("_prediction").cast("int")),
         "ai_confidence": F.round(F.array_max(vector_to_array("_probability")), 4),
-        "ai_root_cause_suggestion": lb.label_suggestion(F.col("ai_predicted_issue")),
-    }).drop("text", "_counts", "features", "_raw", "_probability", "_prediction")
+    }).drop("_counts", "features", "_raw", "_probability", "_prediction")
+
+
+def predict_all(records: DataFrame, classifier: IssueClassifier) -> DataFrame:
+    """Label and highest probability for every record, training rows included."""
+    predicted = predict(records.withColumn("text", tfidf.corpus_text()), classifier)
+    return predicted.withColumn(
+        "ai_root_cause_suggestion", lb.label_suggestion(F.col("ai_predicted_issue"))
+    )
+
+
+@dataclass(frozen=True)
+class ModelTables:
+    """A classifier as two tables, which a join and a sum can score with.
+
+    ``terms`` is (term, idf, coefficients), at most ``max_features`` rows, the coefficients in the order
+    of ``labels``; ``labels`` is (position, label, intercept).
+    """
+
+    terms: DataFrame
+    labels: DataFrame
+
+
+def model_tables(classifier: IssueClassifier) -> ModelTables:
+    regression = classifier.regression
+    by_label = regression.coefficientMatrix.toArray()
+    intercepts = list(regression.interceptVector)
+    if regression.numClasses == 2 and len(by_label) == 1:
+        # Two classes have one row of coefficients, that of the second class against the first.
+        by_label = [[0.0] * by_label.shape[1], by_label[0]]
+        intercepts = [0.0, intercepts[0]]
+    spark = classifier.features.vocabulary.sparkSession
+    columns = [list(c) for c in zip(*by_label)]
+    coefficients = spark.createDataFrame(pa.table({
+        "index": pa.array(range(len(columns)), pa.int32()),
+        "coefficients": pa.array(columns, pa.list_(pa.float64())),
+    }))
+    terms = classifier.features.vocabulary.join(coefficients, "index")
+    labels = [(i, label, float(b)) for i, (label, b) in enumerate(zip(classifier.labels, intercepts))]
+    return ModelTables(
+        terms.select("term", "idf", "coefficients"),
+        spark.createDataFrame(labels, "position int, label string, intercept double"),
+    )
+
+
+def save_model(tables: ModelTables, path: str) -> str:
+    tables.terms.write.parquet(f"{path}/terms")
+    tables.labels.coalesce(1).write.parquet(f"{path}/labels")
+    return path
+
+
+def open_model(spark: SparkSession, path: str) -> ModelTables:
+    return ModelTables(spark.read.parquet(f"{path}/terms"), spark.read.parquet(f"{path}/labels"))
+
+
+def score_by_tables(
+    docs: DataFrame, tables: ModelTables, stopwords: Sequence[str] | None = None
+) -> DataFrame:
+    """(seq, ai_predicted_issue, ai_confidence, probabilities) from joins and sums alone.
+
+    ``docs`` is (seq, text) or a token table; ``seq`` is unique. A document is counted down to its
+    vocabulary terms and one row for all others before the shuffle, so one without any keeps a row and
+    gets the intercepts' label. Equal probabilities: the first label. An empty text is such a document.
+    """
+    labels = tables.labels.orderBy("position").collect()  # one row per class
+    words = tfidf.with_terms(docs, lx.default_stopwords() if stopwords is None else stopwords)
+    # At most max_features terms, whose bytes are checked when the model is fitted.
+    known = words.select("seq", F.explode_outer("_terms").alias("term")).join(
+        F.broadcast(tables.terms.select("term", "idf")), "term", "left"
+    )
+    known = known.withColumn("term", F.when(F.col("idf").isNotNull(), F.col("term")))
+    cells = known.groupBy("seq", "term").agg(
+        (F.count(F.lit(1)) * F.coalesce(F.first("idf"), F.lit(0.0))).alias("_x")
+    ).join(F.broadcast(tables.terms.select("term", "coefficients")), "term", "left")
+    zero = F.lit(0.0)
+    sums = cells.groupBy("seq").agg(
+        F.sqrt(F.sum(F.col("_x") * F.col("_x"))).alias("_norm"),
+        *[F.sum(F.coalesce(F.col("_x") * F.get("coefficients", F.lit(r.position)), zero)).alias(f"_s{r.position}")
+          for r in labels],
+    )
+    margins = F.array(*[
+        F.lit(r.intercept) + F.when(F.col("_norm") > 0, F.col(f"_s{r.position}") / F.col("_norm")).otherwise(0.0)
+        for r in labels
+    ])
+    # Shifted by the largest margin, so that no power overflows.
+    powers = F.transform("_margins", lambda m: F.exp(m - F.array_max("_margins")))
+    total = F.aggregate("_powers", zero, lambda a, p: a + p)
+    names = F.array(*[F.lit(r.label) for r in labels])
+    best = F.array_position("_margins", F.array_max("_margins")).cast("int") - 1
+    return (
+        sums.select("seq", margins.alias("_margins"))
+        .withColumn("_powers", powers)
+        .withColumn("probabilities", F.transform("_powers", lambda p: p / total))
+        .select("seq", F.get(names, best).alias("ai_predicted_issue"),
+                F.round(F.array_max("probabilities"), 4).alias("ai_confidence"), "probabilities")
+    )
 
 
 def holdout_metrics(predicted: DataFrame) -> DataFrame:
@@ -173,8 +273,14 @@ def holdout_metrics(predicted: DataFrame) -> DataFrame:
     return sizes.withColumn("_k", one).join(f1.withColumn("_k", one), "_k").drop("_k")
 
 
-def train_and_predict(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(records with predictions, one-row metrics). Read ``records`` from a stage table."""
+def train_and_predict(
+    records: DataFrame, save_to: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(records with predictions, one-row metrics). Read ``records`` from a stage table.
+
+    The text of the split is cut into tokens once; fitting and judging read these. With ``save_to`` the
+    model goes there as tables.
+    """
     counts = {r.label: r.records for r in class_counts(records).collect()}
     labels = sorted(counts)
     names = F.array(*[F.lit(label) for label in labels]).cast("array<string>").alias("labels")
@@ -188,13 +294,11 @@ def train_and_predict(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     docs = with_primary_label(records).select(
         "seq", tfidf.corpus_text().alias("text"), "label"
     )
-    split = stage(stratified_split(docs, counts), "split")
+    tokens = stage(tfidf.tokenized(docs), "tokens")
+    split = stage(stratified_split(tokens, counts), "split")
     classifier = fit_classifier(split.where("not is_test"), labels)
-    predicted = predict_all(records, classifier)
-    judged = predict_all(
-        split.select("seq", "label", "is_test", F.col("text").alias("review_text_normalized"),
-                     F.lit("").alias("review_text")),
-        classifier,
-    )
+    if save_to:
+        save_model(model_tables(classifier), save_to)
+    judged = predict(split, classifier).select("label", "ai_predicted_issue", "is_test")
     metrics = holdout_metrics(judged).select(F.lit("tfidf_logreg").alias("model_used"), "*", names)
-    return predicted, metrics
+    return predict_all(records, classifier), metrics

@@ -61,14 +61,14 @@ def terms_of(tokens: Column) -> Column:
 
 
 def tokenized(docs: DataFrame, stopwords: Sequence[str] | None = None) -> DataFrame:
-    """``docs`` with ``_tokens`` in place of ``text``; a token table stays as it is.
+    """``docs`` with ``_tokens`` in place of ``text`` (null: no tokens); a token table stays as it is.
 
     Stage it, and no later step splits the text again. It goes with models of the same stop words.
     """
     if "_tokens" in docs.columns:
         return docs
     words = lx.default_stopwords() if stopwords is None else stopwords
-    return docs.withColumn("_tokens", tx.index_tokens("text", words)).drop("text")
+    return docs.withColumn("_tokens", tx.index_tokens("coalesce(text, '')", words)).drop("text")
 
 
 def with_terms(docs: DataFrame, stopwords: Sequence[str]) -> DataFrame:

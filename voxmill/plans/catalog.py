@@ -578,6 +578,41 @@ def fit_classifier(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def score_by_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Per label: records, those that tables and model judge alike, and the mean probability of the label.
+
+    The fit gives every class the same weight and does not penalise intercepts, so at its optimum each
+    label's weighted mean probability is one over the number of labels.
+    """
+    records = staged_clean(spark, sf)
+    rows = classifier.with_primary_label(records).select(
+        "seq", tfidf.corpus_text().alias("text"), "label"
+    )
+    tokens = stage(tfidf.tokenized(rows), "tokens")
+    counts = _counts(records)
+    model = classifier.fit_classifier(tokens, sorted(counts))
+    path = classifier.save_model(classifier.model_tables(model), scratch_path(spark, "model"))
+    by_tables = classifier.score_by_tables(tokens.drop("label"), classifier.open_model(spark, path)).select(
+        "seq", F.col("ai_predicted_issue").alias("_label"), F.col("ai_confidence").alias("_confidence"),
+        "probabilities",
+    )
+    # Rounding to four places may differ in the last one, as sums run in another order.
+    alike = (F.col("_label") == F.col("ai_predicted_issue")) & (
+        F.abs(F.col("_confidence") - F.col("ai_confidence")) < 0.00011)
+    both = classifier.predict(tokens, model).join(by_tables, "seq")
+    sizes = F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])
+    weight = F.lit(1.0) / (len(counts) * F.element_at(sizes, F.col("label")))
+    counted = both.groupBy("label").agg(
+        F.count(F.lit(1)).alias("records"), F.count_if(alike).alias("alike"),
+        *[F.sum(weight * F.get("probabilities", F.lit(i))).alias(f"_p{i}") for i in range(len(counts))],
+    )
+    shares = counted.agg(F.array(*[F.sum(f"_p{i}") for i in range(len(counts))])).scalar()
+    place = F.array_position(F.array(*[F.lit(c) for c in sorted(counts)]), F.col("label")).cast("int") - 1
+    return counted.select(
+        "label", "records", "alike", F.round(F.get(shares, place), 3).alias("mean_probability")
+    )
+
+
 def predict_all(spark: SparkSession, sf: str) -> DataFrame:
     predicted, _ = classifier.train_and_predict(staged_clean(spark, sf))
     return predicted.select(
@@ -733,7 +768,7 @@ def queries() -> dict[str, Query]:
         search_topk, search_batch, index_search_topk, index_search_batch, search_table, filter_mentions, filter_issue, filter_years, recent_years,
         filtered_search, index_filtered_search, index_filtered_search_issue, index_filtered_search_years,
         dataset_metrics, result_view, dataset_preview,
-        fallback_predict, stratified_split, fit_classifier, predict_all, holdout_metrics,
+        fallback_predict, stratified_split, fit_classifier, score_by_tables, predict_all, holdout_metrics,
         label_suggestion,
         split_sentences, sentiment, summary, domain_relevance, enrich, sentiment_distribution,
         retrieval_hits, retrieval_hit_rate, classification_eval, ai_coverage, evaluation_report,

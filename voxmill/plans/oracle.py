@@ -631,6 +631,9 @@ def oracle_sql() -> dict[str, str]:
 
     # Classifier
     out["class_counts"] = cleaned("label, count(*) AS records", "GROUP BY label")
+    out["score_by_tables"] = cleaned(
+        "label, count(*) AS records, count(*) AS alike, round(1.0 / count(*) OVER (), 3) AS mean_probability",
+        "GROUP BY label")
     out["model_gate"] = cleaned(
         """count(*) AS classes, CAST(sum(n) AS BIGINT) AS records, min(n) AS smallest_class,
         count(*) >= 2 AND sum(n) >= 30 AND min(n) >= 2 AS trainable
