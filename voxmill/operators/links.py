@@ -14,6 +14,7 @@ from voxmill.config import DEFAULT_SITE, Site
 from voxmill.functions import text as tx
 from voxmill.functions import urls
 from voxmill.functions.candidates import find_links
+from voxmill.operators import robots
 from voxmill.operators.numbering import running_total
 from voxmill.operators.pages import scan
 from voxmill.sources.staging import stage
@@ -218,43 +219,13 @@ def robots_filter(
 def robots_filter_by_host(
     links: DataFrame, rules: DataFrame, agent: str, url: str = "url"
 ) -> tuple[DataFrame, DataFrame]:
-    """``robots_filter`` for many sites. ``rules``: host, agent, allow, path_pattern.
-
-    A host's rules are one row, joined by host; the URLs are not repeated for each rule. A host
-    without rules allows everything.
-    """
-    token = agent.lower().split("/")[0].strip()
-    own = F.max((F.col("agent") == token).cast("int"))
-    special = r"([\\.\[\]{}()+?^|$])"
-    escaped = F.regexp_replace(F.col("path_pattern"), special, r"\\$1")
-    regex = F.concat(
-        F.lit("^"), F.regexp_replace(F.replace(escaped, F.lit("*"), F.lit(".*")), r"\\\$$", r"\$")
-    )
-    wanted = rules.where(F.col("agent").isin(token, "*") & (F.col("path_pattern") != ""))
-    mine = rules.where(F.col("agent").isin(token, "*")).groupBy("host").agg(own.alias("_own"))
-    listed = (
-        wanted.join(mine, "host")
-        .where((F.col("agent") == token).cast("int") == F.col("_own"))
-        .groupBy(F.lower("host").alias("_host"))
-        .agg(F.collect_list(F.struct(
-            regex.alias("regex"), F.length("path_pattern").alias("size"), "allow"
-        )).alias("_rules"))
-    )
-    host = F.lower(F.regexp_extract(F.col(url), r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)", 1))
-    target = F.regexp_replace(F.col(url), r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//[^/?#]*|#.*$", "")
-    target = F.when(target.startswith("/"), target).otherwise(F.concat(F.lit("/"), target))
-
-    def best(allow: bool):
-        fits = F.filter("_rules", lambda r: (r["allow"] == allow) & F.regexp_like(F.col("_target"), r["regex"]))
-        return F.coalesce(F.array_max(F.transform(fits, lambda r: r["size"])), F.lit(-1))
-
-    placed = links.withColumns({"_host": host, "_target": target}).join(listed, "_host", "left")
-    judged = placed.withColumn("_allowed", best(True) >= best(False))
-    skipped = judged.where("not _allowed").select(
+    """``robots_filter`` for many sites. ``rules``: host, agent, allow, path_pattern."""
+    judged = robots.judged(links, robots.rule_index(rules, agent), url)
+    skipped = judged.where("not robots_allowed").select(
         F.col(url).alias("url"), F.lit("skipped_by_robots").alias("status"),
         F.lit("robots_disallow").alias("reason"),
     )
-    return judged.where("_allowed").select(links.columns), skipped
+    return judged.where("robots_allowed").select(links.columns), skipped
 
 
 def discovery_source(url: Column) -> Column:
