@@ -26,6 +26,12 @@ def parser() -> argparse.ArgumentParser:
         step.add_argument("--format", default="parquet", choices=("parquet", "jsonl", "json"))
         if name in ("extract", "run"):
             step.add_argument("--min-year", type=int)
+            step.add_argument("--robots", help="robots files, <host>/robots.txt or <host>.txt")
+            step.add_argument("--agent", default="*", help="whose robots rules apply")
+            step.add_argument("--listings", help="table of listing pages: listing_no, url, html")
+            step.add_argument("--target-records", type=int, default=30)
+            step.add_argument("--search-pages", type=int, default=2)
+            step.add_argument("--all-pages", action="store_true", help="two pages a category, longer queue")
     make = steps.add_parser("index")
     make.add_argument("--input", required=True, help="clean records")
     make.add_argument("--output", required=True, help="folder of the index")
@@ -73,10 +79,17 @@ def main(argv: list[str] | None = None) -> None:
         search.result_view(found).orderBy("rank").show(args.top_k, truncate=False, vertical=True)
         return
     paths = pipeline.Paths(args.output)
+    if args.step in ("run", "extract"):
+        given = pipeline.Crawl(
+            io.read_host_rules(spark, args.robots) if args.robots else None,
+            spark.read.parquet(args.listings) if args.listings else None,
+            args.agent, args.target_records, not args.all_pages, args.search_pages,
+        )
     if args.step == "run":
-        pipeline.run(spark, args.input, args.output, args.min_year, site)
+        pipeline.run(spark, args.input, args.output, args.min_year, site, given)
     elif args.step == "extract":
-        pipeline.extract(io.read_pages(spark, args.input), paths, min_year=args.min_year, site=site)
+        stored = io.read_pages(spark, args.input)
+        pipeline.extract(stored, paths, min_year=args.min_year, site=site, given=given)
     elif args.step == "preprocess":
         raw = io.read_records(spark, args.input, schemas.RAW_REVIEW, args.format)
         pipeline.preprocess(raw, paths, site)

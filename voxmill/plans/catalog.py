@@ -24,10 +24,12 @@ from voxmill.operators import (
     insights,
     links,
     pages,
+    robots,
     search,
     search_index,
     tfidf,
 )
+from voxmill.plans import pipeline
 from voxmill.sources import records as io
 from voxmill.sources import testviews as tv
 from voxmill.sources.staging import scratch_path, stage
@@ -267,6 +269,39 @@ def robots_filter(spark: SparkSession, sf: str) -> DataFrame:
     return passed.unionByName(skipped.select("url", "status"))
 
 
+def _host_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return io.parse_robots(tv.robots_files(spark, sf)).withColumnRenamed("origin", "host")
+
+
+def robots_by_host(spark: SparkSession, sf: str) -> DataFrame:
+    index = robots.rule_index(_host_rules(spark, sf), "review-bot/1.0")
+    return robots.judged(tv.hosted_pages(spark, sf).select("seq", "url"), index)
+
+
+def outcomes_by_host(spark: SparkSession, sf: str) -> DataFrame:
+    index = robots.rule_index(_host_rules(spark, sf), "review-bot/1.0")
+    visited = tv.hosted_pages(spark, sf).withColumn("fetched", F.col("html").isNotNull())
+    keep = ("seq", "fetched", "robots_allowed")
+    found = pages.page_candidates(robots.judged(visited, index), (*keep, "url"))
+    return crawl.crawl_outcomes(pages.extracted(found, keep), MIN_YEAR)
+
+
+def crawl_outcomes_by_host(spark: SparkSession, sf: str) -> DataFrame:
+    return crawl.crawl_log(outcomes_by_host(spark, sf), MIN_YEAR)
+
+
+def crawl_extract(spark: SparkSession, sf: str) -> DataFrame:
+    """Listings walked, queue filled, queued pages judged, records up to the target."""
+    listings = tv.listing_pages(spark, sf).select(
+        F.when(F.col("page_no") == 1, F.col("listing_no") - 1).alias("listing_no"), "url", "html"
+    )
+    given = pipeline.Crawl(_host_rules(spark, sf), listings, "review-bot/1.0", TARGET_RECORDS, search_pages=4)
+    stored = tv.review_pages(spark, sf).where("seq % 23 <> 0")
+    paths = pipeline.Paths(scratch_path(spark, "crawl"))
+    kept = pipeline.extract(stored, paths, "seq", MIN_YEAR, given=given)
+    return kept.select("seq", "raw_url", "discovery_source")
+
+
 def crawl_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     return outcomes(spark, sf).select("seq", "status")
 
@@ -757,7 +792,8 @@ def queries() -> dict[str, Query]:
         page_candidates, page_breadcrumbs, page_labeled_field, page_reviewer, page_comments,
         page_comments_dedup, page_relevance, review_records, collapse_ws,
         page_links, absolute_url, item_url_filter, normalize_url, subcategory_url_filter,
-        next_page_link, subcategory_links, listing_links, robots_filter, crawl_outcomes, crawl_log,
+        next_page_link, subcategory_links, listing_links, robots_filter, robots_by_host, crawl_outcomes,
+        crawl_outcomes_by_host, crawl_extract, crawl_log,
         recency_filter, extract_year, accept_limit, discovery_source, crawl_status_counts,
         crawl_summary,
         normalize_text, tokenize, stopword_set, issue_labels, primary_label, root_cause,

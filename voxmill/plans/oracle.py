@@ -323,6 +323,26 @@ def _fragments() -> dict[str, tuple[str, tuple[str, ...]]]:
           SELECT listing_no, sum(count(*)) OVER (ORDER BY listing_no) - count(*) AS before
           FROM firsts GROUP BY listing_no""", ("firsts",)),
     }
+    base |= {
+        "host_rules": (
+            "SELECT DISTINCT CAST(p_size AS VARCHAR) AS p, p_size % 7 <> 0 AS allow FROM part", ()),
+        "hosted": ("""
+          SELECT seq, seq % 3 AS h, substr(raw_url, strpos(raw_url, '/item-')) AS path,
+            replace(raw_url, 'reviews.example.org', CASE seq % 3 WHEN 0 THEN 'reviews.example.org'
+              WHEN 1 THEN 'm.example.org' ELSE 'shop.example.net' END) AS url FROM reviews""", ("reviews",)),
+        "hosted_judged": ("""
+          SELECT h.seq, h.url, coalesce(arg_max(r.allow, length(r.p)), true) AS robots_allowed
+          FROM hosted h LEFT JOIN host_rules r ON (h.h = 0 AND starts_with(h.path, '/item-c' || r.p))
+            OR (h.h = 1 AND h.path LIKE '/item-%' || r.p)
+          GROUP BY h.seq, h.url""", ("hosted", "host_rules")),
+        "walked": ("""
+          SELECT link, place // 1099511627776 AS listing_no, place % 1099511627776 AS ord FROM (
+            SELECT link, min(listing_no * 1099511627776 + step * 2147483648 + pos) AS place
+            FROM listed WHERE listing_no = 0 OR step = 0 GROUP BY link)""", ("listed",)),
+        "walked_queue": ("""
+          SELECT listing_no, sum(count(*)) OVER (ORDER BY listing_no) - count(*) AS before
+          FROM walked GROUP BY listing_no""", ("walked",)),
+    }
     base |= corpus("c", "clean", both)
     base |= corpus("n", "clean", text)
     base |= corpus("s", "chosen", text)
@@ -492,6 +512,29 @@ def oracle_sql() -> dict[str, str]:
         > CASE WHEN starts_with(t, '/en/45') THEN 6 ELSE -1 END
         THEN 'skipped_by_robots' ELSE 'allowed' END AS status
       FROM (SELECT url, {target} AS t FROM pages)"""
+    out["robots_by_host"] = sql(
+        "SELECT seq, url, robots_allowed FROM hosted_judged", "hosted_judged")
+    out["crawl_outcomes_by_host"] = sql("""
+      SELECT status, url, CASE status WHEN 'skipped_by_robots' THEN 'robots_disallow'
+          WHEN 'error' THEN 'not_fetched' END AS reason,
+        CASE WHEN status = 'skipped_old_year' THEN review_date END AS review_date,
+        CASE WHEN status = 'skipped_old_year' THEN 1998 END AS min_year,
+        CASE WHEN status = 'ok_relevant' THEN review_year END AS review_year
+      FROM (SELECT j.url, p.review_date, p.review_year, CASE WHEN NOT j.robots_allowed
+            THEN 'skipped_by_robots' WHEN j.seq % 23 = 0 THEN 'error' ELSE p.status END AS status
+          FROM hosted_judged j JOIN page_status p ON p.seq = j.seq)""", "hosted_judged", "page_status")
+    out["crawl_extract"] = sql(f"""
+      SELECT p.seq, p.url AS raw_url,
+        CASE WHEN w.listing_no = 0 THEN 'search' ELSE 'category_navigation' END AS discovery_source
+      FROM walked w JOIN walked_queue q ON q.listing_no = w.listing_no
+      JOIN (SELECT raw_url, min(seq) AS seq FROM reviews WHERE seq % 23 <> 0 GROUP BY raw_url) f
+        ON f.raw_url = w.link
+      JOIN page_status p ON p.seq = f.seq
+      WHERE (w.listing_no = 0 OR q.before < {cap}) AND p.status = 'ok_relevant'
+        AND coalesce((SELECT arg_max(r.allow, length(r.p)) FROM host_rules r
+                      WHERE starts_with(w.link, {root} || '/item-c' || r.p)), true)
+      ORDER BY w.listing_no, w.ord LIMIT {TARGET_RECORDS}""",
+                               "walked", "walked_queue", "reviews", "page_status", "host_rules")
     out["crawl_outcomes"] = sql("SELECT seq, status FROM page_status", "page_status")
     out["crawl_log"] = sql("""
       SELECT url, status,

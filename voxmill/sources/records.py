@@ -51,6 +51,13 @@ def read_robots(spark: SparkSession, path: str) -> DataFrame:
     return parse_robots(files)
 
 
+def read_host_rules(spark: SparkSession, path: str) -> DataFrame:
+    """(host, agent, allow, path_pattern) of files named ``<host>/robots.txt`` or ``<host>.txt``."""
+    rules = read_robots(spark, path)
+    host = F.regexp_extract("origin", r"([^/]+)(?:/robots\.txt|\.txt)$", 1)
+    return rules.select(F.lower(host).alias("host"), "agent", "allow", "path_pattern")
+
+
 def parse_robots(files: DataFrame) -> DataFrame:
     """(origin, body) -> (origin, line_no, agent, allow, path_pattern).
 

@@ -30,6 +30,7 @@ SCHEMAS = {
     "orders": "o_orderkey long, o_orderdate timestamp_ntz",
     "conversations": "conv_id long, turn long, text string",
     "supplier": "s_suppkey long, s_name string",
+    "part": "p_size int",
 }
 
 
@@ -194,3 +195,32 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("<html><body><h2>List</h2>"), "items", numbers, following,
                  F.lit("</body></html>")).alias("html"),
     )
+
+
+CRAWL_HOSTS = ("reviews.example.org", "m.example.org", "shop.example.net")
+
+
+def hosted_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``review_pages`` on three hosts; every 23rd page was not fetched."""
+    host = F.element_at(F.array(*[F.lit(h) for h in CRAWL_HOSTS]), (F.col("seq") % 3 + 1).cast("int"))
+    return review_pages(spark, sf_dir).select(
+        "seq", F.replace(F.col("url"), F.lit(CRAWL_HOSTS[0]), host).alias("url"),
+        F.when(F.col("seq") % 23 != 0, F.col("html")).alias("html"),
+    )
+
+
+def robots_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(origin, body) of two of the hosts, made from the part sizes: one rule per size.
+
+    The first host's rules are prefixes, the second's begin and end. Sizes divisible by 7 are disallowed.
+    """
+    rule = F.concat(
+        F.when(F.col("p_size") % 7 == 0, "Disallow: ").otherwise("Allow: "),
+        F.lit("/item-"), F.when(F.col("host") == CRAWL_HOSTS[0], "c").otherwise("*"),
+        F.col("p_size").cast("string"), F.when(F.col("host") == CRAWL_HOSTS[1], "$").otherwise(""),
+    )
+    sizes = table(spark, sf_dir, "part").select("p_size").distinct()  # 50 sizes
+    hosts = F.array(*[F.lit(h) for h in CRAWL_HOSTS[:2]])
+    return sizes.select("p_size", F.explode(hosts).alias("host")).groupBy(F.col("host").alias("origin")).agg(
+        F.concat(F.lit("User-agent: *\n"), F.array_join(F.sort_array(F.collect_list(rule)), "\n")).alias("body")
+    )
