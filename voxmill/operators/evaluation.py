@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from voxmill import lexicons as lx
 from voxmill.operators import search, tfidf
+from voxmill.sources.staging import stage
 
 
 def retrieval_hits(
@@ -51,6 +52,25 @@ def retrieval_summary(hits: DataFrame, top_k: int = 5) -> DataFrame:
     )
 
 
+def query_results(hits: DataFrame, top_k: int = 5) -> DataFrame:
+    """One row with ``query_results``: per query its hit rate and what was found, best first.
+
+    There are at most ``top_k`` hits per query, and as many queries as the caller listed.
+    """
+    shown = F.struct("rank", "company", "similarity", "matched_terms")
+    per_query = hits.groupBy("query_no", "query").agg(
+        F.round(F.count_if(F.size("matched_terms") > 0) / top_k, 4).alias("keyword_hit_rate"),
+        F.array_sort(F.collect_list(shown)).alias("_found"),
+    )
+    found = F.transform("_found", lambda h: F.struct(
+        h["company"].alias("company"), h["similarity"].alias("similarity"),
+        h["matched_terms"].alias("matched_terms"),
+    ))
+    row = F.struct("query", F.lit(top_k).alias("top_k"), "keyword_hit_rate", found.alias("top_results"))
+    placed = F.array_sort(F.collect_list(F.struct("query_no", row.alias("row"))))
+    return per_query.agg(F.transform(placed, lambda q: q["row"]).alias("query_results"))
+
+
 def class_scores(pairs: DataFrame, truth: str, predicted: str) -> DataFrame:
     """(label, support, f1) over the union of true and predicted labels.
 
@@ -115,9 +135,10 @@ def ai_coverage(records: DataFrame) -> DataFrame:
 
 def evaluation_report(records: DataFrame, top_k: int = 5) -> DataFrame:
     """One row with the structs ``retrieval``, ``classification`` and ``ai_coverage``."""
-    retrieval = retrieval_summary(retrieval_hits(records, top_k=top_k), top_k)
+    hits = stage(retrieval_hits(records, top_k=top_k), "hits")
+    results = query_results(hits, top_k).scalar()
     parts = {
-        "retrieval": retrieval,
+        "retrieval": retrieval_summary(hits, top_k).withColumn("query_results", results),
         "classification": classification_eval(records),
         "ai_coverage": ai_coverage(records),
     }

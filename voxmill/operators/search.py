@@ -152,6 +152,16 @@ def filtered_search(
     return search_topk(kept, query.strip(), top_k)
 
 
+def result_card(results: DataFrame) -> DataFrame:
+    """The longer form of a result: 800 characters and dots, "N/A" where there is no label or suggestion."""
+    view = result_view(results, 800)
+    return view.withColumns({
+        "issue_labels": F.coalesce(tx.non_empty(F.col("issue_labels")), F.lit("N/A")),
+        "suggestion": F.coalesce("suggestion", F.lit("N/A")),
+        "text": F.concat("text", F.lit("...")),
+    })
+
+
 def result_view(results: DataFrame, text_limit: int = 700) -> DataFrame:
     """What a result page shows: cut texts, the first five comments, the better suggestion."""
     for name in ("ai_root_cause_suggestion", "root_cause_suggestion"):

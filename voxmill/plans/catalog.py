@@ -24,6 +24,7 @@ from voxmill.operators import (
     insights,
     links,
     pages,
+    reports,
     robots,
     search,
     search_index,
@@ -475,6 +476,20 @@ def issue_label_distribution(spark: SparkSession, sf: str) -> DataFrame:
     return features.issue_label_distribution(labelled(spark, sf))
 
 
+def feature_report(spark: SparkSession, sf: str) -> DataFrame:
+    report = reports.feature_report(stage(features.record_features(clean(spark, sf)), "featured"))
+    counts = F.transform(F.map_entries("issue_label_distribution"), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return report.select(
+        "feature_extraction_method", "corpus_features.record_count", "corpus_features.vocabulary_size",
+        F.array_join("corpus_features.matrix_shape", "x").alias("matrix_shape"),
+        F.array_join("corpus_features.top_corpus_terms.term", "|").alias("top_terms"),
+        F.round(F.aggregate("corpus_features.top_corpus_terms", F.lit(0.0),
+                            lambda n, t: n + t["avg_tfidf_weight"]), 4).alias("top_weight"),
+        F.array_join(F.sort_array(counts), "|").alias("issue_label_distribution"), "avg_token_count",
+        "records_with_return_signal", "records_with_warranty_signal",
+    )
+
+
 def feature_summary(spark: SparkSession, sf: str) -> DataFrame:
     return features.feature_summary(features.record_features(clean(spark, sf)))
 
@@ -571,6 +586,11 @@ def result_view(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def result_card(spark: SparkSession, sf: str) -> DataFrame:
+    found = search.search_topk(staged_clean(spark, sf), QUERY, 5)
+    return search.result_card(found).select("rank", "seq", "text", "issue_labels", "suggestion")
+
+
 def dataset_preview(spark: SparkSession, sf: str) -> DataFrame:
     records = filters.filter_mentions(clean(spark, sf), return_only=True)
     return filters.dataset_preview(records, 100).select("seq", "title", "company", "rating")
@@ -725,12 +745,24 @@ def ai_coverage(spark: SparkSession, sf: str) -> DataFrame:
 def evaluation_report(spark: SparkSession, sf: str) -> DataFrame:
     records = enrichment.enrich(classifier.fallback_predict(staged_clean(spark, sf)))
     return evaluation.evaluation_report(records).select(
-        "retrieval.*", F.col("classification.status").alias("status"),
+        "retrieval.queries_evaluated", "retrieval.avg_keyword_hit_rate", F.col("classification.status").alias("status"),
         F.col("classification.accuracy").alias("accuracy"),
         F.col("classification.macro_f1").alias("macro_f1"), "ai_coverage.*",
     )
 
 
+def evaluation_query_results(spark: SparkSession, sf: str) -> DataFrame:
+    """The report's query results, one row per result."""
+    hits = stage(evaluation.retrieval_hits(staged_clean(spark, sf)), "hits")
+    per_query = evaluation.query_results(hits).select(F.inline("query_results"))
+    return per_query.select(
+        "query", "top_k", "keyword_hit_rate", F.posexplode("top_results").alias("pos", "r")
+    ).select(
+        "query", "top_k", "keyword_hit_rate", "pos", "r.company", "r.similarity",
+        F.array_join("r.matched_terms", "|").alias("matched_terms"),
+    )
+
+
 # --- Summaries ---
 
 def complete_schema(spark: SparkSession, sf: str) -> DataFrame:
@@ -800,14 +832,15 @@ def queries() -> dict[str, Query]:
         reliability_score, dedup_reviews, fill_defaults, text_select, mention_flags, surrogate_id,
         missing_counts, preprocess_summary, clean_reviews,
         keyword_hits, record_features, tfidf_weights, top_corpus_terms, corpus_stats,
-        issue_label_distribution, feature_summary,
+        issue_label_distribution, feature_summary, feature_report,
         search_topk, search_batch, index_search_topk, index_search_batch, search_table, filter_mentions, filter_issue, filter_years, recent_years,
         filtered_search, index_filtered_search, index_filtered_search_issue, index_filtered_search_years,
-        dataset_metrics, result_view, dataset_preview,
+        dataset_metrics, result_view, result_card, dataset_preview,
         fallback_predict, stratified_split, fit_classifier, score_by_tables, predict_all, holdout_metrics,
         label_suggestion,
         split_sentences, sentiment, summary, domain_relevance, enrich, sentiment_distribution,
         retrieval_hits, retrieval_hit_rate, classification_eval, ai_coverage, evaluation_report,
+        evaluation_query_results,
         complete_schema, eda_summary, top_issues, top_keywords, sentiment_counts, insight_rates,
         key_findings,
     ]

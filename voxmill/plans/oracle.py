@@ -324,6 +324,10 @@ def _fragments() -> dict[str, tuple[str, tuple[str, ...]]]:
           FROM firsts GROUP BY listing_no""", ("firsts",)),
     }
     base |= {
+        "best_terms": ("""
+          SELECT term, round(mean, 6) AS weight FROM (
+            SELECT term, sum(w) / (SELECT count(*) FROM clean) AS mean FROM c_w GROUP BY term)
+          ORDER BY round(mean, 10) DESC, term DESC LIMIT 25""", ("clean", "c_w")),
         "host_rules": (
             "SELECT DISTINCT CAST(p_size AS VARCHAR) AS p, p_size % 7 <> 0 AS allow FROM part", ()),
         "hosted": ("""
@@ -631,6 +635,20 @@ def oracle_sql() -> dict[str, str]:
         count(*) FILTER (WHERE feature_warranty_hits > 0) AS records_with_warranty_signal
       FROM featured""", "featured")
 
+    out["feature_report"] = sql("""
+      SELECT 'tfidf + keyword frequency + token statistics' AS feature_extraction_method,
+        count(*) AS record_count, (SELECT count(*) FROM c_vocab) AS vocabulary_size,
+        count(*) || 'x' || (SELECT count(*) FROM c_vocab) AS matrix_shape,
+        (SELECT string_agg(term, '|' ORDER BY weight DESC, term DESC) FROM best_terms) AS top_terms,
+        (SELECT round(sum(weight), 4) FROM best_terms) AS top_weight,
+        (SELECT string_agg(label || '=' || n, '|' ORDER BY label) FROM (
+          SELECT label, count(*) AS n FROM (SELECT unnest(issue_labels) AS label FROM clean)
+          GROUP BY label)) AS issue_label_distribution,
+        round(avg(feature_token_count), 2) AS avg_token_count,
+        count(*) FILTER (WHERE feature_return_hits > 0) AS records_with_return_signal,
+        count(*) FILTER (WHERE feature_warranty_hits > 0) AS records_with_warranty_signal
+      FROM featured""", "featured", "clean", "best_terms", "c_vocab")
+
     # Search
     out["search_topk"] = sql("""
       SELECT t.rank, t.seq, c.company, c.title, t.similarity
@@ -663,6 +681,11 @@ def oracle_sql() -> dict[str, str]:
         """(SELECT count(*) FROM clean) AS total_records, count(*) AS filtered_records,
         count(DISTINCT company) AS distinct_companies""",
         "WHERE list_contains(issue_labels, 'support_issue')")
+    out["result_card"] = sql("""
+      SELECT t.rank, t.seq, substring(c.review_text, 1, 800) || '...' AS text,
+        coalesce(nullif(array_to_string(c.issue_labels, ', '), ''), 'N/A') AS issue_labels,
+        coalesce(c.root_cause_suggestion, 'N/A') AS suggestion
+      FROM one_top t JOIN clean c ON c.seq = t.seq""", "one_top", "clean")
     out["result_view"] = sql(f"""
       SELECT t.rank, t.seq, c.title, substring(c.review_text, 1, 700) AS text,
         {_case('c.label', lx.LABEL_SUGGESTIONS, lx.LABEL_SUGGESTIONS['other'])} AS suggestion,
@@ -719,6 +742,11 @@ def oracle_sql() -> dict[str, str]:
       SELECT query_no, query,
         round(count(*) FILTER (WHERE len(matched) > 0) / {EVAL_K}, 4) AS keyword_hit_rate
       FROM hits GROUP BY query_no, query""", "hits")
+    out["evaluation_query_results"] = sql(f"""
+      SELECT query, {EVAL_K} AS top_k, rank - 1 AS pos, company, similarity,
+        round(count(*) FILTER (WHERE len(matched) > 0) OVER (PARTITION BY query_no) / {EVAL_K}, 4)
+          AS keyword_hit_rate, array_to_string(matched, '|') AS matched_terms
+      FROM hits""", "hits")
     out["classification_eval"] = sql("""
       SELECT 'ok' AS status, count(*) AS records_evaluated,
         round(avg(CAST(truth = predicted AS INTEGER)), 4) AS accuracy,

@@ -19,6 +19,7 @@ from voxmill.operators import (
     insights,
     links,
     pages,
+    reports,
     robots,
 )
 from voxmill.sources import records as io
@@ -134,7 +135,7 @@ def preprocess(raw: DataFrame, paths: Paths, site: Site = DEFAULT_SITE) -> DataF
 
 def extract_features(clean: DataFrame, paths: Paths) -> DataFrame:
     featured = _written(features.record_features(clean), paths.at("featured_reviews"))
-    io.write_summary(features.feature_summary(featured), paths.at("feature_summary"))
+    io.write_summary(reports.feature_report(featured), paths.at("feature_summary"))
     return featured
 
 
