@@ -197,6 +197,18 @@ def review_records(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def page_details(spark: SparkSession, sf: str) -> DataFrame:
+    """Every rule with optional parts, on pages that have them or not."""
+    found = pages.page_candidates(tv.detailed_pages(spark, sf), ("seq", "url"))
+    replies = F.transform("comments", lambda c: F.concat_ws(
+        "/", c["author_name"], c["author_location"], c["helpful_count"], c["is_company_response"]))
+    return pages.review_records(found, ("seq",)).select(
+        "seq", "company", "category", joined("breadcrumbs"), "reviewer_name", "reviewer_location", "rating",
+        "helpful_count", "desired_outcome", "review_updated_date", "is_featured_review",
+        F.array_join(replies, "|").alias("comments"),
+    )
+
+
 def collapse_ws(spark: SparkSession, sf: str) -> DataFrame:
     docs = tv.table(spark, sf, "documents")
     return docs.select("doc_id", tx.collapse_ws(F.col("text")).alias("text"))
@@ -533,6 +545,10 @@ def filter_mentions(spark: SparkSession, sf: str) -> DataFrame:
     return filters.filter_mentions(clean(spark, sf), True, True).select("seq")
 
 
+def filter_warranty(spark: SparkSession, sf: str) -> DataFrame:
+    return filters.filter_mentions(clean(spark, sf), warranty_only=True).select("seq")
+
+
 def filter_issue(spark: SparkSession, sf: str) -> DataFrame:
     return filters.filter_issue(clean(spark, sf), "billing_issue").select("seq")
 
@@ -822,7 +838,7 @@ def queries() -> dict[str, Query]:
     own = [
         read_records, read_robots, write_records, write_summaries,
         page_candidates, page_breadcrumbs, page_labeled_field, page_reviewer, page_comments,
-        page_comments_dedup, page_relevance, review_records, collapse_ws,
+        page_comments_dedup, page_relevance, review_records, page_details, collapse_ws,
         page_links, absolute_url, item_url_filter, normalize_url, subcategory_url_filter,
         next_page_link, subcategory_links, listing_links, robots_filter, robots_by_host, crawl_outcomes,
         crawl_outcomes_by_host, crawl_extract, crawl_log,
@@ -833,7 +849,8 @@ def queries() -> dict[str, Query]:
         missing_counts, preprocess_summary, clean_reviews,
         keyword_hits, record_features, tfidf_weights, top_corpus_terms, corpus_stats,
         issue_label_distribution, feature_summary, feature_report,
-        search_topk, search_batch, index_search_topk, index_search_batch, search_table, filter_mentions, filter_issue, filter_years, recent_years,
+        search_topk, search_batch, index_search_topk, index_search_batch, search_table,
+        filter_mentions, filter_warranty, filter_issue, filter_years, recent_years,
         filtered_search, index_filtered_search, index_filtered_search_issue, index_filtered_search_years,
         dataset_metrics, result_view, result_card, dataset_preview,
         fallback_predict, stratified_split, fit_classifier, score_by_tables, predict_all, holdout_metrics,

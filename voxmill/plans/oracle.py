@@ -467,6 +467,23 @@ def oracle_sql() -> dict[str, str]:
         full_text AS full_text_with_comments,
         {_hits('low', lx.PAGE_FOCUS_KEYWORDS)} AS relevance_score, raw_url,
         'unknown' AS discovery_source""", "page_low")
+    out["page_details"] = sql("""
+      SELECT seq,
+        CASE seq % 3 WHEN 0 THEN 'Shop ' || (seq % 6) WHEN 1 THEN 'Firm ' || (seq % 7) ELSE 'unknown' END
+          AS company,
+        CASE seq % 2 WHEN 0 THEN 'cat-number-' || (seq % 4) ELSE 'side-' || (seq % 3) END AS category,
+        CASE seq % 2 WHEN 0 THEN 'Home|Cat Number ' || (seq % 4) ELSE 'Side ' || (seq % 3) END AS breadcrumbs,
+        CASE seq % 3 WHEN 0 THEN 'Guest 0' WHEN 1 THEN 'Other' ELSE
+          CASE WHEN seq % 4 <> 3 THEN 'Ann Lee' END END AS reviewer_name,
+        CASE WHEN seq % 4 <> 3 THEN 'TX' END AS reviewer_location,
+        CASE WHEN seq % 3 <> 2 AND seq % 6 < 5 THEN CAST(seq % 6 + 1 AS DOUBLE) END AS rating,
+        CASE WHEN seq % 3 <> 0 THEN seq % 9 END AS helpful_count,
+        CASE WHEN seq % 2 = 0 THEN 'Outcome ' || (seq % 5) END AS desired_outcome,
+        CASE WHEN seq % 5 = 0 THEN 'Apr ' || (seq % 28 + 1) || ', 2020' END AS review_updated_date,
+        seq % 4 = 0 AS is_featured_review,
+        CASE seq % 3 WHEN 0 THEN 'Guest 0/false|Other/NY/' || (seq % 8) || '/true'
+          WHEN 1 THEN 'Other/NY/' || (seq % 8) || '/true|Guest 1/false' ELSE '' END AS comments
+      FROM reviews""", "reviews")
     out["collapse_ws"] = f"SELECT doc_id, {_collapse('text')} AS text FROM documents"
 
     # Links and crawl
@@ -656,6 +673,7 @@ def oracle_sql() -> dict[str, str]:
     out["search_batch"] = sql(
         "SELECT query_no, query, rank, seq, similarity FROM ev_top", "ev_top")
     out["filter_mentions"] = cleaned("seq", "WHERE has_return_mention AND has_warranty_mention")
+    out["filter_warranty"] = cleaned("seq", "WHERE has_warranty_mention")
     out["filter_issue"] = cleaned("seq", "WHERE list_contains(issue_labels, 'billing_issue')")
     out["filter_years"] = cleaned(
         "seq, review_date", f"WHERE {year} IN (1996, 1999) OR {year} IS NULL")

@@ -224,3 +224,42 @@ def robots_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes.select("p_size", F.explode(hosts).alias("host")).groupBy(F.col("host").alias("origin")).agg(
         F.concat(F.lit("User-agent: *\n"), F.array_join(F.sort_array(F.collect_list(rule)), "\n")).alias("body")
     )
+
+
+def detailed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages whose optional parts come and go with ``seq``: every page rule has several outcomes."""
+    seq = F.col("seq")
+
+    def some(condition, template: str, *values):
+        return F.when(condition, F.format_string(template, *values)).otherwise("")
+
+    lit = F.lit
+    reply = F.format_string(
+        '<div itemprop="comment"><span itemprop="author">Guest %d</span>'
+        '<p itemprop="commentText">the same reply was sent</p></div>', seq % 3)
+    second = F.format_string(
+        '<div itemprop="comment"><span itemprop="author">Other</span>'
+        '<p itemprop="commentText">another reply %d of NY, US company response</p>'
+        '<span>Helpful %d</span></div>', seq % 5, seq % 8)
+    html = F.concat(
+        some(seq % 2 == 0, '<html><body><div class="breadcrumbs"><a href="/">Home</a>'
+                           '<a href="/c">Cat Number %d</a></div>', seq % 4),
+        some(seq % 2 == 1, '<html><body><nav class="breadcrumb"><a href="/c">Side %d</a></nav>', seq % 3),
+        lit("<h1>Notes</h1><div class='complaint-main__content'>"),
+        some(seq % 3 == 0, '<span itemprop="name">Shop %d</span>', seq % 6),
+        some(seq % 3 == 1, '<span itemprop="name">CB</span>'),
+        some(seq % 4 != 3, '<div class="complaint-main__user">Ann Lee of TX, US | user %d</div>', seq),
+        lit('<p itemprop="reviewBody">'),
+        F.replace(F.replace(F.col("review_text"), lit("&"), lit("&amp;")), lit("<"), lit("&lt;")), lit("</p>"),
+        some(seq % 2 == 0, "<p>Desired outcome: Outcome %d</p>", seq % 5),
+        some(seq % 3 != 0, "<p>Helpful %d</p>", seq % 9),
+        some(seq % 4 == 0, "<p>Featured review</p>"),
+        some(seq % 5 == 0, "<p>Review updated: Apr %d, 2020</p>", seq % 28 + 1),
+        lit("</div>"),
+        some(seq % 3 != 2, '<script type="application/ld+json">{"name": "Firm %d", '
+                           '"reviewRating": {"ratingValue": "%d"}}</script>', seq % 7, seq % 6 + 1),
+        F.when(seq % 3 == 0, F.concat(reply, reply, second)).when(seq % 3 == 1, F.concat(second, reply))
+        .otherwise(""),
+        lit("</body></html>"),
+    )
+    return reviews(spark, sf_dir).select("seq", F.col("raw_url").alias("url"), html.alias("html"))
