@@ -258,6 +258,11 @@ def subcategory_links(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("page_id", "link")
 
 
+def hub_links(spark: SparkSession, sf: str) -> DataFrame:
+    scanned = links.page_anchors(tv.hub_pages(spark, sf), ("hub_no",))
+    return links.subcategory_links(scanned, 2, 2, "hub_no").select("hub_no", "link")
+
+
 def listing_links(spark: SparkSession, sf: str) -> DataFrame:
     scanned = stage(scanned_listings(spark, sf), "listings")
     starts = scanned.where("page_no = 1").select(F.col("url").alias("listing"))
@@ -840,7 +845,7 @@ def queries() -> dict[str, Query]:
         page_candidates, page_breadcrumbs, page_labeled_field, page_reviewer, page_comments,
         page_comments_dedup, page_relevance, review_records, page_details, collapse_ws,
         page_links, absolute_url, item_url_filter, normalize_url, subcategory_url_filter,
-        next_page_link, subcategory_links, listing_links, robots_filter, robots_by_host, crawl_outcomes,
+        next_page_link, subcategory_links, hub_links, listing_links, robots_filter, robots_by_host, crawl_outcomes,
         crawl_outcomes_by_host, crawl_extract, crawl_log,
         recency_filter, extract_year, accept_limit, discovery_source, crawl_status_counts,
         crawl_summary,

@@ -328,6 +328,22 @@ def _fragments() -> dict[str, tuple[str, tuple[str, ...]]]:
           SELECT term, round(mean, 6) AS weight FROM (
             SELECT term, sum(w) / (SELECT count(*) FROM clean) AS mean FROM c_w GROUP BY term)
           ORDER BY round(mean, 10) DESC, term DESC LIMIT 25""", ("clean", "c_w")),
+        "hub_anchors": ("""
+          SELECT doc_id // 12 AS hub_no, doc_id // 3 % 4 AS card, doc_id % 12 AS pos,
+            doc_id % 11 <> 0 AS is_sub, doc_id % 13 = 0 AS named,
+            CASE WHEN doc_id % 11 = 0 THEN '/login'
+              WHEN doc_id // 12 % 3 = 0 AND doc_id // 3 % 4 < 2 THEN '/categories/k0'
+              ELSE '/categories/k' || (n_chars % 7) END AS link FROM documents""", ()),
+        "hub_placed": ("""
+          SELECT *, row_number() OVER (PARTITION BY hub_no, place // 100 ORDER BY place) <= 2 AS taken FROM (
+            SELECT hub_no, link, min(c * 100 + pos) AS place FROM hub_anchors JOIN (
+              SELECT hub_no, card, row_number() OVER (PARTITION BY hub_no ORDER BY card) - 1 AS c
+              FROM hub_anchors GROUP BY hub_no, card HAVING count(*) >= 2) USING (hub_no, card)
+            WHERE c < 2 AND (is_sub OR named) GROUP BY hub_no, link)""", ("hub_anchors",)),
+        "hub_taken": ("""
+          SELECT h.hub_no, count(p.link) AS n FROM (SELECT DISTINCT hub_no FROM hub_anchors) h
+          LEFT JOIN hub_placed p ON p.hub_no = h.hub_no AND p.taken
+          GROUP BY h.hub_no""", ("hub_anchors", "hub_placed")),
         "host_rules": (
             "SELECT DISTINCT CAST(p_size AS VARCHAR) AS p, p_size % 7 <> 0 AS allow FROM part", ()),
         "hosted": ("""
@@ -512,6 +528,15 @@ def oracle_sql() -> dict[str, str]:
       SELECT DISTINCT {root} || '/categories/l' || listing_no || '?page=' || (step + 1) AS url,
         {root} || '/categories/l' || listing_no || '?page=' || (step + 2) AS next_url
       FROM listed WHERE step < 3""", "listed")
+    out["hub_links"] = sql(f"""
+      SELECT hub_no, {root} || link AS link FROM (
+        SELECT hub_no, link FROM hub_placed WHERE taken UNION ALL
+        SELECT hub_no, link FROM (
+          SELECT r.hub_no, r.link, t.n + row_number() OVER (PARTITION BY r.hub_no ORDER BY r.pos) AS place
+          FROM (SELECT hub_no, link, min(pos) AS pos FROM hub_anchors WHERE is_sub GROUP BY hub_no, link) r
+          JOIN hub_taken t ON t.hub_no = r.hub_no AND t.n < 2
+          ANTI JOIN hub_placed p ON p.hub_no = r.hub_no AND p.link = r.link)
+        WHERE place <= 4)""", "hub_anchors", "hub_placed", "hub_taken")
     out["listing_links"] = sql(f"""
       SELECT {root} || '/categories/l' || listing_no || '?page=1' AS listing, link,
         min(step * 2147483648 + pos) AS ord

@@ -263,3 +263,30 @@ def detailed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         lit("</body></html>"),
     )
     return reviews(spark, sf_dir).select("seq", F.col("raw_url").alias("url"), html.alias("html"))
+
+
+def hub_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hub pages of four cards with three links each; every third hub repeats one link in its first cards."""
+    doc_id = F.col("doc_id")
+    hub, card = F.expr("doc_id div 12"), F.expr("doc_id div 3") % 4
+    path = (
+        F.when(doc_id % 11 == 0, "/login")
+        .when((hub % 3 == 0) & (card < 2), "/categories/k0")
+        .otherwise(F.format_string("/categories/k%d", F.col("n_chars") % 7))
+    )
+    text = F.when(doc_id % 13 == 0, "Go to category").otherwise("open")
+    links = table(spark, sf_dir, "documents").select(
+        hub.alias("hub_no"), card.alias("card"),
+        F.struct("doc_id", F.concat(F.lit('<a href="'), path, F.lit('">'), text, F.lit("</a>")).alias("a")).alias("l"),
+    )
+
+    def in_order(column: str, part: str):
+        return F.array_join(F.transform(F.array_sort(F.collect_list(column)), lambda x: x[part]), "")
+
+    # Three links a card and four cards a hub.
+    cards = links.groupBy("hub_no", "card").agg(
+        F.concat(F.lit("<div><h2>t</h2>"), in_order("l", "a"), F.lit("</div>")).alias("html")
+    )
+    return cards.select("hub_no", F.struct("card", "html").alias("c")).groupBy("hub_no").agg(
+        F.concat(F.lit("<html><body>"), in_order("c", "html"), F.lit("</body></html>")).alias("html")
+    )
