@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -135,12 +135,11 @@ def fit(
     totals = {r.term: r.total for r in frequent.orderBy(F.desc("total"), "term").collect()}
     terms = list(totals)
     counter = CountVectorizerModel.from_vocabulary(terms or [" "], inputCol="_terms", outputCol="_counts")
+    n_docs, df = docs.count(), [0] * max(len(terms), 1)
     if size:
-        counts = counter.transform(with_terms(docs, words)).select("_counts")
-        seen = IDF(inputCol="_counts", outputCol="_idf").fit(counts)
-        n_docs, df = seen.numDocs, [int(n) for n in seen.docFreq]
-    else:
-        n_docs, df = docs.count(), [0]
+        seen = counter.transform(with_terms(docs, words)).select(F.explode(sparse("_counts")["indices"]).alias("i"))
+        for row in seen.groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect():  # a row per term
+            df[row.i] = row.n
     idf = [math.log((1.0 + n_docs) / (1.0 + n)) + 1.0 for n in df]
     vocabulary = docs.sparkSession.createDataFrame(pa.table({
         "index": pa.array(range(len(terms)), pa.int32()),
