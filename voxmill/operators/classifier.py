@@ -141,7 +141,7 @@ def fit_classifier(
     )
     regression = LogisticRegression(
         featuresCol="features", labelCol="_index", weightCol="_weight", family="auto",
-        maxIter=max_iter, tol=1e-6, regParam=1.0 / (c * n), elasticNetParam=0.0,
+        maxIter=max_iter, tol=1e-7, regParam=1.0 / (c * n), elasticNetParam=0.0,
         standardization=False, probabilityCol="_probability", predictionCol="_prediction",
         rawPredictionCol="_raw",
     ).fit(ready)
