@@ -107,3 +107,32 @@ def test_command_line_builds_and_reads_an_index(spark, records, tmp_path, capsys
     command.main(["index", *common, "--output", str(tmp_path / "index")])
     command.main(["search", "warranty claim", *common, "--index", str(tmp_path / "index"), "--top-k", "2"])
     assert "similarity" in capsys.readouterr().out
+
+
+def test_many_queries_by_chunks(spark, records, index, monkeypatch):
+    """Tables of many queries give the rows of the other way, through several chunks and parts of queries."""
+    rng = random.Random(3)
+    asked = [" ".join(rng.choices([*WORDS, "hot", "unknown"], k=rng.randint(0, 5))) for _ in range(40)]
+    queries = spark.createDataFrame([*enumerate(asked), (None, "hot")], "query_no long, query string")
+    want = {k: results(search_index.search(index, queries, k)) for k in (1, 7, 800)}
+    monkeypatch.setattr(search_index, "MANY_QUERIES", 5)
+    monkeypatch.setattr(search_index, "CHUNK_BLOCKS", 4)
+    monkeypatch.setattr(search_index, "CHUNK_QUERIES", 15)
+    for k, rows in want.items():
+        assert results(search_index.search(index, queries, k)) == rows
+    plan = search_index.similar(index, queries, 7)._jdf.queryExecution().toString()
+    assert "CoGroupsInArrow" in plan and "search-bounds" not in plan
+
+
+def test_vectors_are_not_ranked_in_one_task(spark, records, tmp_path, monkeypatch):
+    """Blocks are dealt by a table of numbers: no vector goes through the ranking by ``seq``."""
+    ranked = []
+    kept = search_index.numbering.positions
+    monkeypatch.setattr(search_index.numbering, "positions",
+                        lambda df, *rest: ranked.append(df.columns) or kept(df, *rest))
+    # A number that stands twice keeps its two rows.
+    twice = records.where("seq < 3000").unionByName(records.where("seq = -4903"))
+    own = search_index.build(twice, str(tmp_path / "i"))
+    assert ranked == [["seq"]]
+    assert own.postings.select(F.explode("seqs").alias("seq"), "index").where("seq = -4903").groupBy("index").count().where(
+        "count <> 2").count() == 0

@@ -9,7 +9,9 @@ Tables under the index's folder:
 - ``word_totals``: how often each word occurs by what filters look at.
 
 A search reads the postings of its terms and no text. Largest weights bound what a block can give: the
-blocks that promise most are scored first, and only those that can beat their results after that.
+blocks that promise most are scored first, and only those that can beat their results after that. With
+many queries bounds hold few blocks back, and a row per query and block, or document, would fill the disk:
+then a task scores all queries against a chunk of blocks and passes on ``top_k`` rows of each query.
 """
 
 from __future__ import annotations
@@ -22,8 +24,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from voxmill import lexicons as lx
+from voxmill.functions import scoring
 from voxmill.functions import text as tx
 from voxmill.operators import filters, numbering, tfidf
+from voxmill.sources.shipping import ship_package
 from voxmill.sources.staging import broadcast_if_small, stage
 
 BLOCK_DOCS = 1024
@@ -31,6 +35,10 @@ BLOCK_DOCS = 1024
 SEED_BLOCKS = 4
 #: Different terms up to which a search names them in the scan of the postings.
 NAMED_TERMS = 1000
+#: Queries from which on chunks of documents are scored in full instead of blocks by their bounds.
+MANY_QUERIES = 256
+#: Blocks of a chunk, and queries that meet it in one task.
+CHUNK_BLOCKS, CHUNK_QUERIES = 32, 200_000
 #: Parts in which the best rows of a query are found before the best of all.
 SPREAD = 64
 #: Bounds and similarities are sums of the same numbers in another order.
@@ -73,9 +81,11 @@ def build(
     vectors = stage(tfidf.weigh(tokens.select("seq", "_tokens"), model).select(
         "seq", F.arrays_zip(vector["indices"].alias("index"), vector["values"].alias("weight")).alias("_cells")
     ).where(F.size("_cells") > 0), "vectors")
-    placed = numbering.positions(vectors, "seq", "_pos").select(
-        F.floor((F.col("_pos") - 1) / BLOCK_DOCS).cast("long").alias("block"), "seq", F.inline("_cells")
-    )
+    # Only numbers are ranked: a bucket of a million documents meets in one task, without their vectors.
+    blocks = numbering.positions(vectors.select("seq"), "seq", "_pos").select(
+        "seq", F.floor((F.col("_pos") - 1) / BLOCK_DOCS).cast("long").alias("block")
+    ).groupBy("seq").agg(F.max("block").alias("block"))  # rows of one number share a position
+    placed = vectors.join(blocks, "seq").select("block", "seq", F.inline("_cells"))
     listed = placed.groupBy("index", "block").agg(  # at most BLOCK_DOCS rows a group
         F.max("weight").alias("top"), F.sort_array(F.collect_list(F.struct("seq", "weight"))).alias("_list")
     )
@@ -123,6 +133,9 @@ def _by_similarity() -> list[Column]:
 def similar(index: SearchIndex, queries: DataFrame, top_k: int) -> DataFrame:
     """(query_no, seq, sim) of the best documents that share a term with a query of the table ``queries``."""
     terms = stage(query_terms(index, queries), "query-terms")
+    asked = terms.agg(F.count_distinct("query_no")).first()[0]
+    if asked > MANY_QUERIES:
+        return _similar_to_many(index, terms, asked, top_k)
     named = [r["index"] for r in terms.select("index").distinct().limit(NAMED_TERMS + 1).collect()]
     postings = index.postings
     if len(named) <= NAMED_TERMS:
@@ -149,6 +162,34 @@ def similar(index: SearchIndex, queries: DataFrame, top_k: int) -> DataFrame:
     return best.select("query_no", "seq", "sim")
 
 
+def _similar_to_many(index: SearchIndex, terms: DataFrame, asked: int, top_k: int) -> DataFrame:
+    """``similar`` for the staged ``terms`` of many queries: work on pairs is done within tasks.
+
+    A task holds a chunk of documents and the terms of a part of the queries; only the best rows of each
+    query and chunk are shuffled.
+    """
+    ship_package(terms.sparkSession)
+    parts = -(-asked // CHUNK_QUERIES)
+    all_parts = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
+    used = terms.select("index").distinct()  # at most the vocabulary
+    chunk = F.expr(f"block div {CHUNK_BLOCKS}").alias("chunk")
+    postings = index.postings.join(F.broadcast(used), "index", "left_semi").select(
+        all_parts, chunk, "index", "seqs", "weights")
+    last = index.postings.agg(F.coalesce(F.max("block"), F.lit(0))).first()[0] // CHUNK_BLOCKS
+    part = F.pmod(F.xxhash64("query_no"), F.lit(parts)).cast("int").alias("part")
+    dealt = terms.where("query_no is not null").select(
+        part, F.explode(F.expr(f"sequence(0L, {last}L)")).alias("chunk"),
+        "query_no", "index", "query_weight",
+    )
+    kind = terms.schema["query_no"].dataType.simpleString()
+    scored = postings.groupBy("part", "chunk").cogroup(dealt.groupBy("part", "chunk")).applyInArrow(
+        lambda docs, asking: scoring.best_of_chunk(docs, asking, top_k),
+        f"query_no {kind}, seq long, sim double",
+    )
+    rank = F.row_number().over(W.partitionBy("query_no").orderBy(*_by_similarity()))  # top_k rows a chunk
+    return scored.withColumn("rank", rank).where(F.col("rank") <= top_k).select("query_no", "seq", "sim")
+
+
 def with_others(found: DataFrame, queries: DataFrame, docs: DataFrame, top_k: int) -> DataFrame:
     """(query_no, query, rank, seq, similarity): min(top_k, documents) rows for every query.
 
