@@ -19,7 +19,7 @@ def retrieval_hits(
     model: tfidf.TfidfModel | None = None,
 ) -> DataFrame:
     """Each query's results with the expected terms that their text contains."""
-    docs = tfidf.corpus(records)
+    docs = stage(tfidf.tokenized(tfidf.corpus(records), model and model.stopwords), "tokens")
     model = model or tfidf.fit(docs)
     found = search.search_batch(docs, model, [q for q, _ in queries], top_k)
     expected = F.lit(None).cast("array<string>")

@@ -15,20 +15,24 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxmill import lexicons as lx
+from voxmill.functions import counting
 from voxmill.functions import text as tx
 from voxmill.operators.features import corpus_text
+from voxmill.sources.shipping import ship_package
 from voxmill.sources.staging import stage
 
 MAX_FEATURES = 8000
 KEY_LENGTH = 64
-BROADCAST_BYTES = 64 * 1024 * 1024
+#: Words whose pairs are counted that go to every worker; beyond that they are joined by a shuffle.
+WORKER_BYTES = 16 * 1024 * 1024
 # The vocabulary goes to the driver and to every executor.
 VOCABULARY_BYTES = 256 * 1024 * 1024
 
@@ -88,6 +92,12 @@ def word_totals(tokens: DataFrame, *by: str) -> DataFrame:
     return words.groupBy("term", *by).agg(F.count(F.lit(1)).alias("total"))
 
 
+def _sent(spark: SparkSession, words: list[str]) -> Broadcast:
+    """``words`` as an Arrow array, for the workers."""
+    ship_package(spark)
+    return spark.sparkContext.broadcast(pa.array(words, pa.string()))
+
+
 def _frequent_terms(tokens: DataFrame, max_features: int, words: DataFrame | None) -> DataFrame:
     """(term, total) of the ``max_features`` most frequent terms, ties in term order."""
     total = F.count(F.lit(1)).alias("total")
@@ -95,22 +105,31 @@ def _frequent_terms(tokens: DataFrame, max_features: int, words: DataFrame | Non
     order = [F.desc("total"), F.asc("term")]
     best = words.orderBy(*order).limit(max_features)
     floor, found = best.agg(F.min("total"), F.count(F.lit(1))).first()
-    pairs = tokens.select(
-        F.inline(F.zip_with(
-            F.slice("_tokens", F.lit(1), F.greatest(F.size("_tokens") - 1, F.lit(0))),
-            F.slice("_tokens", F.lit(2), F.greatest(F.size("_tokens") - 1, F.lit(0))),
-            lambda a, b: F.struct(a.alias("a"), b.alias("b")),
-        ))
-    )
+    counted = None
     if found == max_features and floor > 1:
         # Words that tie with the last one of the vocabulary stay in.
-        frequent = words.where(F.col("total") >= floor).select(_key(F.col("term")).alias("key"))
-        if frequent.count() * (KEY_LENGTH * 4 + 16) <= BROADCAST_BYTES:
-            frequent = F.broadcast(frequent)
-        for side in ("a", "b"):
-            pairs = pairs.withColumn("key", _key(F.col(side))).join(frequent, "key", "left_semi")
-        pairs = pairs.select("a", "b")
-    counted = pairs.groupBy("a", "b").agg(total)
+        frequent = words.where(F.col("total") >= floor)
+        rows, size = frequent.agg(F.count(F.lit(1)), F.sum(F.octet_length("term"))).first()
+        if rows * 16 + size <= WORKER_BYTES:
+            listed = _sent(tokens.sparkSession, [r.term for r in frequent.select("term").collect()])
+            keys = tokens.mapInArrow(lambda batches: counting.pair_counts(batches, listed.value), "key long, n long")
+            # ``best`` is full of words that are as frequent as the floor, so rarer pairs have no place.
+            counted = keys.groupBy("key").agg(F.sum("n").alias("total")).where(F.col("total") >= floor).mapInArrow(
+                lambda batches: counting.named_pairs(batches, listed.value), "a string, b string, total long")
+    if counted is None:
+        pairs = tokens.select(
+            F.inline(F.zip_with(
+                F.slice("_tokens", F.lit(1), F.greatest(F.size("_tokens") - 1, F.lit(0))),
+                F.slice("_tokens", F.lit(2), F.greatest(F.size("_tokens") - 1, F.lit(0))),
+                lambda a, b: F.struct(a.alias("a"), b.alias("b")),
+            ))
+        )
+        if found == max_features and floor > 1:
+            keys = frequent.select(_key(F.col("term")).alias("key"))
+            for side in ("a", "b"):
+                pairs = pairs.withColumn("key", _key(F.col(side))).join(keys, "key", "left_semi")
+            pairs = pairs.select("a", "b")
+        counted = pairs.groupBy("a", "b").agg(total)
     joined = counted.select(F.concat_ws(" ", "a", "b").alias("term"), "total")
     return best.unionByName(joined).orderBy(*order).limit(max_features)
 
@@ -137,8 +156,11 @@ def fit(
     counter = CountVectorizerModel.from_vocabulary(terms or [" "], inputCol="_terms", outputCol="_counts")
     n_docs, df = docs.count(), [0] * max(len(terms), 1)
     if size:
-        seen = counter.transform(with_terms(docs, words)).select(F.explode(sparse("_counts")["indices"]).alias("i"))
-        for row in seen.groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect():  # a row per term
+        known = _sent(docs.sparkSession, terms)
+        seen = docs.select("_tokens").mapInArrow(
+            lambda batches: counting.document_counts(batches, known.value.to_pylist()), "i int, n long"
+        )
+        for row in seen.groupBy("i").agg(F.sum("n").alias("n")).collect():  # a row per term
             df[row.i] = row.n
     idf = [math.log((1.0 + n_docs) / (1.0 + n)) + 1.0 for n in df]
     vocabulary = docs.sparkSession.createDataFrame(pa.table({
