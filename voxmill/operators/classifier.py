@@ -139,13 +139,12 @@ def fit_classifier(
         ),
         "training",
     )
-    # Every step of the fit goes over all rows, so they are dealt evenly over the cores first.
     regression = LogisticRegression(
         featuresCol="features", labelCol="_index", weightCol="_weight", family="auto",
         maxIter=max_iter, tol=1e-7, regParam=1.0 / (c * n), elasticNetParam=0.0,
         standardization=False, probabilityCol="_probability", predictionCol="_prediction",
         rawPredictionCol="_raw",
-    ).fit(ready.repartition(2 * train.sparkSession.sparkContext.defaultParallelism))
+    ).fit(ready)
     return IssueClassifier(model, regression, tuple(labels))
 
 
