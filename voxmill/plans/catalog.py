@@ -57,9 +57,15 @@ def clean(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.clean_reviews(tv.raw_reviews(spark, sf))
 
 
-def staged_clean(spark: SparkSession, sf: str) -> DataFrame:
-    """For queries that go over the clean records more than once."""
-    return stage(clean(spark, sf), "clean")
+def staged_clean(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """For queries that go over the clean records more than once; with ``columns``, of these only."""
+    records = clean(spark, sf)
+    return stage(records.select(*columns) if columns else records, "clean")
+
+
+#: What fits and searches read, and what the classifier does.
+SEARCHED = ("seq", "review_text", "review_text_normalized")
+CLASSIFIED = (*SEARCHED, "issue_labels")
 
 
 def kept(spark: SparkSession, sf: str) -> DataFrame:
@@ -472,7 +478,7 @@ def fitted(spark: SparkSession, sf: str, fallback: bool = True):
 
 def indexed(spark: SparkSession, sf: str, fallback: bool = False):
     """Clean records and their search index, both written once."""
-    records = staged_clean(spark, sf)
+    records = staged_clean(spark, sf, *SEARCHED, "company", "title", *search_index.FACETS)
     return records, search_index.build(records, scratch_path(spark, "index"), fallback)
 
 
@@ -514,7 +520,7 @@ def feature_summary(spark: SparkSession, sf: str) -> DataFrame:
 # --- Search ---
 
 def search_topk(spark: SparkSession, sf: str) -> DataFrame:
-    found = search.search_topk(staged_clean(spark, sf), QUERY, 5)
+    found = search.search_topk(staged_clean(spark, sf, *SEARCHED, "company", "title"), QUERY, 5)
     return found.select("rank", "seq", "company", "title", "similarity")
 
 
@@ -642,7 +648,7 @@ def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
 
 def fit_classifier(spark: SparkSession, sf: str) -> DataFrame:
     """Accuracy of a model on the rows it was fitted on, per label."""
-    records = staged_clean(spark, sf)
+    records = staged_clean(spark, sf, *CLASSIFIED)
     rows = classifier.with_primary_label(records).select(
         "seq", tfidf.corpus_text().alias("text"), "label"
     )
@@ -660,7 +666,7 @@ def score_by_tables(spark: SparkSession, sf: str) -> DataFrame:
     The fit gives every class the same weight and does not penalise intercepts, so at its optimum each
     label's weighted mean probability is one over the number of labels.
     """
-    records = staged_clean(spark, sf)
+    records = staged_clean(spark, sf, *CLASSIFIED)
     rows = classifier.with_primary_label(records).select(
         "seq", tfidf.corpus_text().alias("text"), "label"
     )
@@ -690,14 +696,14 @@ def score_by_tables(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def predict_all(spark: SparkSession, sf: str) -> DataFrame:
-    predicted, _ = classifier.train_and_predict(staged_clean(spark, sf))
+    predicted, _ = classifier.train_and_predict(staged_clean(spark, sf, *CLASSIFIED))
     return predicted.select(
         "seq", "ai_predicted_issue", "ai_confidence", "ai_root_cause_suggestion"
     )
 
 
 def holdout_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    _, metrics = classifier.train_and_predict(staged_clean(spark, sf))
+    _, metrics = classifier.train_and_predict(staged_clean(spark, sf, *CLASSIFIED))
     return metrics.withColumn("labels", F.array_join("labels", "|"))
 
 
@@ -742,12 +748,12 @@ def sentiment_distribution(spark: SparkSession, sf: str) -> DataFrame:
 # --- Evaluation ---
 
 def retrieval_hits(spark: SparkSession, sf: str) -> DataFrame:
-    hits = evaluation.retrieval_hits(staged_clean(spark, sf))
+    hits = evaluation.retrieval_hits(staged_clean(spark, sf, *SEARCHED, "company"))
     return hits.withColumn("matched_terms", F.array_join("matched_terms", "|"))
 
 
 def retrieval_hit_rate(spark: SparkSession, sf: str) -> DataFrame:
-    return evaluation.retrieval_hit_rate(evaluation.retrieval_hits(staged_clean(spark, sf)))
+    return evaluation.retrieval_hit_rate(evaluation.retrieval_hits(staged_clean(spark, sf, *SEARCHED, "company")))
 
 
 def classification_eval(spark: SparkSession, sf: str) -> DataFrame:
@@ -764,7 +770,8 @@ def ai_coverage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def evaluation_report(spark: SparkSession, sf: str) -> DataFrame:
-    records = enrichment.enrich(classifier.fallback_predict(staged_clean(spark, sf)))
+    records = enrichment.enrich(classifier.fallback_predict(
+        staged_clean(spark, sf, *CLASSIFIED, "company", "full_text_with_comments")))
     return evaluation.evaluation_report(records).select(
         "retrieval.queries_evaluated", "retrieval.avg_keyword_hit_rate", F.col("classification.status").alias("status"),
         F.col("classification.accuracy").alias("accuracy"),
@@ -774,7 +781,7 @@ def evaluation_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def evaluation_query_results(spark: SparkSession, sf: str) -> DataFrame:
     """The report's query results, one row per result."""
-    hits = stage(evaluation.retrieval_hits(staged_clean(spark, sf)), "hits")
+    hits = stage(evaluation.retrieval_hits(staged_clean(spark, sf, *SEARCHED, "company")), "hits")
     per_query = evaluation.query_results(hits).select(F.inline("query_results"))
     return per_query.select(
         "query", "top_k", "keyword_hit_rate", F.posexplode("top_results").alias("pos", "r")
