@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from voxmill import lexicons as lx
+from voxmill.functions import cues
 from voxmill.functions import text as tx
 
 
@@ -61,7 +62,8 @@ def sentiment_balance(
     negative: Sequence[str] = lx.NEGATIVE_CUES,
 ) -> Column:
     """(pos - neg) / (pos + neg) over distinct cues; 0 when there are none."""
-    pos, neg = tx.keyword_hits(lowered, positive), tx.keyword_hits(lowered, negative)
+    found = cues.hits(lowered, positive, negative)
+    pos, neg = F.get(found, F.lit(0)), F.get(found, F.lit(1))
     return (pos - neg) / F.greatest(pos + neg, F.lit(1))
 
 
@@ -80,19 +82,9 @@ def summarize(
     max_sentences: int = 2,
 ) -> Column:
     """The best sentences, in rank order; the start of the text when there is none."""
-
-    # Lower case and word counts are made once per sentence; ranking then moves numbers only.
-    measured = F.transform(
-        sentences,
-        lambda s: F.struct(F.lower(s).alias("low"), tx.word_count(s).alias("words")),
-    )
-
-    def ranked(m: Column, i: Column) -> Column:
-        focus = tx.keyword_hits(m["low"], focus_terms) * 2
-        length = F.floor(F.least(m["words"], F.lit(40)) / 10)
-        return F.struct((-(focus + length)).alias("rank"), i.alias("i"))
-
-    best = F.slice(F.array_sort(F.transform(measured, ranked)), 1, max_sentences)
+    ranks = cues.sentence_ranks(F.transform(sentences, F.lower), focus_terms)
+    numbered = F.transform(ranks, lambda r, i: F.struct(r.alias("rank"), i.alias("i")))
+    best = F.slice(F.array_sort(numbered), 1, max_sentences)
     summary = F.array_join(F.transform(best, lambda r: F.get(sentences, r["i"])), " ")
     opening = tx.collapse_ws(F.coalesce(text, F.lit("")))
     return F.when(F.size(sentences) == 0, tx.ellipsis(opening, 280)).otherwise(

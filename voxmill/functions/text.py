@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 
 # All Unicode white space: Java's class leaves out the non-breaking spaces and next line.
 SPACE = r"\p{javaWhitespace}\x{85}\x{a0}\x{2007}\x{202f}"
+#: The same, one by one.
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+    "\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 # A word boundary with letters and digits of all scripts, whatever the regex engine's default.
 _WORD = r"[\p{L}\p{N}_]"
 BOUNDARY = f"(?:(?<={_WORD})(?!{_WORD})|(?<!{_WORD})(?={_WORD}))"
@@ -16,7 +21,7 @@ LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 
 
 def trim_ws(c: Column) -> Column:
-    return F.regexp_replace(c, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def collapse_ws(c: Column) -> Column:
