@@ -66,6 +66,8 @@ def staged_clean(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
 #: What fits and searches read, and what the classifier does.
 SEARCHED = ("seq", "review_text", "review_text_normalized")
 CLASSIFIED = (*SEARCHED, "issue_labels")
+#: What results show besides.
+SHOWN = (*CLASSIFIED, "title", "root_cause_suggestion", "breadcrumbs", "comments")
 
 
 def kept(spark: SparkSession, sf: str) -> DataFrame:
@@ -604,7 +606,7 @@ def dataset_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def result_view(spark: SparkSession, sf: str) -> DataFrame:
-    records = classifier.fallback_predict(staged_clean(spark, sf))
+    records = classifier.fallback_predict(staged_clean(spark, sf, *SHOWN))
     view = search.result_view(search.search_topk(records, QUERY, 5))
     return view.select(
         "rank", "seq", "title", "text", "suggestion", "issue_labels", "similarity",
@@ -614,7 +616,7 @@ def result_view(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def result_card(spark: SparkSession, sf: str) -> DataFrame:
-    found = search.search_topk(staged_clean(spark, sf), QUERY, 5)
+    found = search.search_topk(staged_clean(spark, sf, *SHOWN), QUERY, 5)
     return search.result_card(found).select("rank", "seq", "text", "issue_labels", "suggestion")
 
 
