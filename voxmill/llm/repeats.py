@@ -40,9 +40,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from voxmill.llm.rows import map_groups, map_slices, small_side
+from voxmill.llm.rows import map_batches, map_groups, map_slices, small_side
 from voxmill.sources.shipping import ship_package
-from voxmill.sources.staging import settled, stage
+from voxmill.sources.staging import LARGE_ROWS, settled, stage
 
 LENGTH = 400
 #: Words of the runs that ``query`` counts besides.
@@ -514,7 +514,7 @@ def _blocks(texts: DataFrame) -> DataFrame:
         if held:
             yield block()
 
-    return texts.select("tkey", "bytes").mapInArrow(run, _BLOCK)
+    return map_batches(texts.select("tkey", "bytes"), run, _BLOCK)
 
 
 def _texts_of(sizes: list[int], data: bytes) -> list[bytes]:
@@ -695,7 +695,7 @@ def repeated(texts: DataFrame, *laws: Law) -> DataFrame:
 
 def _candidates(texts: DataFrame, laws: list[Law]) -> DataFrame:
     """law, hash, digest, tkey, starts, size, bytes of the segments; one row of equal ones in a task has the bytes."""
-    blocks = stage(_blocks(texts), "repeat-blocks")
+    blocks = stage(_blocks(texts), "repeat-blocks", **LARGE_ROWS)
     size = blocks.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     # About two anchors in ``near`` + 1 symbols; a word has about six bytes.
     parts = {

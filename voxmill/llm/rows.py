@@ -14,6 +14,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from voxmill.sources.shipping import ship_package
 
 SLICE_ROWS = 256
+#: Bytes of the Arrow batches that tasks send to their workers, unless the session sets it. The JVM keeps buffers
+#: of the largest ones outside its heap, and twice that while they grow: the default, 64 MB, is much of an executor.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -28,6 +32,16 @@ def release() -> None:
         trim(0)
 
 
+def map_batches(
+    df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType
+) -> DataFrame:
+    """``df.mapInArrow`` with batches of about ``BATCH_BYTES``; the setting stays, as the plan runs later."""
+    settings = df.sparkSession.conf
+    if settings.get(_BATCH_SETTING, None) is None:
+        settings.set(_BATCH_SETTING, BATCH_BYTES)
+    return df.mapInArrow(run, schema)
+
+
 def map_slices(
     df: DataFrame, schema: T.StructType, work: Callable[..., Iterable[tuple]], rows: int = SLICE_ROWS
 ) -> DataFrame:
@@ -51,7 +65,7 @@ def map_slices(
                     )
         release()
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def map_groups(
@@ -103,7 +117,7 @@ def map_groups(
         yield from out(0)
         release()
 
-    return dealt.sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return map_batches(dealt.sortWithinPartitions(*keys), run, schema)
 
 
 #: Rows of a narrow table that may be broadcast; larger ones are joined by a shuffle.

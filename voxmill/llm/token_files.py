@@ -29,7 +29,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from voxmill.llm.bpe import byte_letters
 from voxmill.llm.range_coder import Prior, decode_blocks, encode_counted
-from voxmill.llm.rows import map_slices, small_side
+from voxmill.llm.rows import map_batches, map_slices, small_side
 from voxmill.sources.shipping import ship_package
 from voxmill.sources.staging import scratch_path
 
@@ -193,7 +193,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, text: str = "text", end_id
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("_text"))
     ordered = rows.repartitionByRange(count, "doc_id").sortWithinPartitions("doc_id", "_text")
-    ordered.mapInArrow(run, SEGMENTS).write.parquet(path)
+    map_batches(ordered, run, SEGMENTS).write.parquet(path)
 
 
 _DOC = T.StructType([

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
+#: For rows of a megabyte: else a page, and the buffers that it is compressed in, holds a hundred of them.
+LARGE_ROWS = {"parquet.page.size.row.check.min": "1"}
 #: Rows of a table of a few numbers that may be broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -27,11 +29,14 @@ def stage_root(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and read it back, so that it is computed once and survives lost executors."""
+def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write ``df`` once and read it back, so that it is computed once and survives lost executors.
+
+    ``options``: of the writer, such as ``LARGE_ROWS``.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
