@@ -96,3 +96,17 @@ def test_model_saved_by_training(spark, tmp_path):
     got = classifier.score_by_tables(rows.selectExpr("seq", "review_text AS text"), tables)
     want = {r.seq: r.ai_predicted_issue for r in predicted.collect()}
     assert {r.seq: r.ai_predicted_issue for r in got.collect()} == want
+
+
+def test_records_with_tokens_in_place_of_the_text(spark):
+    rows = labelled(spark, ["billing", "support"]).selectExpr(
+        "seq", "array(concat(label, '_issue')) AS issue_labels", "text AS review_text",
+        "text AS review_text_normalized",
+    )
+    cut = tfidf.tokenized(rows.select("seq", "issue_labels", tfidf.corpus_text().alias("text")))
+    results = [classifier.train_and_predict(frame) for frame in (rows, cut)]
+    want, got = ({r.seq: (r.ai_predicted_issue, r.ai_confidence) for r in p.collect()} for p, _ in results)
+    assert got == want and results[0][1].collect() == results[1][1].collect()
+    assert "_tokens" not in results[1][0].columns
+    few, _ = classifier.train_and_predict(cut.limit(5))
+    assert "_tokens" not in few.columns and few.count() == 5

@@ -160,8 +160,9 @@ def predict(docs: DataFrame, classifier: IssueClassifier) -> DataFrame:
 
 
 def predict_all(records: DataFrame, classifier: IssueClassifier) -> DataFrame:
-    """Label and highest probability for every record, training rows included."""
-    predicted = predict(records.withColumn("text", tfidf.corpus_text()), classifier)
+    """Label and highest probability for every record, training rows included; a token table stays as it is."""
+    docs = records if "_tokens" in records.columns else records.withColumn("text", tfidf.corpus_text())
+    predicted = predict(docs, classifier)
     return predicted.withColumn(
         "ai_root_cause_suggestion", lb.label_suggestion(F.col("ai_predicted_issue"))
     )
@@ -278,8 +279,8 @@ def train_and_predict(
 ) -> tuple[DataFrame, DataFrame]:
     """(records with predictions, one-row metrics). Read ``records`` from a stage table.
 
-    The text of the split is cut into tokens once; fitting and judging read these. With ``save_to`` the
-    model goes there as tables.
+    The text of the split is cut into tokens once; fitting and judging read these. Records with ``_tokens`` in
+    place of the text are not cut at all. With ``save_to`` the model goes there as tables.
     """
     counts = {r.label: r.records for r in class_counts(records).collect()}
     labels = sorted(counts)
@@ -290,11 +291,12 @@ def train_and_predict(
             F.lit("insufficient label diversity, class size, or sample size").alias("reason"),
             names,
         )
-        return fallback_predict(records), metrics
-    docs = with_primary_label(records).select(
-        "seq", tfidf.corpus_text().alias("text"), "label"
-    )
-    tokens = stage(tfidf.tokenized(docs), "tokens")
+        return fallback_predict(records.drop("_tokens")), metrics
+    labelled = with_primary_label(records)
+    if "_tokens" in records.columns:
+        tokens = labelled.select("seq", "_tokens", "label")
+    else:
+        tokens = stage(tfidf.tokenized(labelled.select("seq", tfidf.corpus_text().alias("text"), "label")), "tokens")
     split = stage(stratified_split(tokens, counts), "split")
     classifier = fit_classifier(split.where("not is_test"), labels)
     if save_to:
