@@ -1,5 +1,7 @@
 """The classifier as tables: the same predictions by join and sum, in Spark and in SQL, and a converged fit."""
 
+import re
+
 import duckdb
 import numpy as np
 import pytest
@@ -110,3 +112,22 @@ def test_records_with_tokens_in_place_of_the_text(spark):
     assert "_tokens" not in results[1][0].columns
     few, _ = classifier.train_and_predict(cut.limit(5))
     assert "_tokens" not in few.columns and few.count() == 5
+
+
+def test_terms_are_shuffled_as_numbers(spark):
+    terms = spark.createDataFrame(
+        [("alpha", 1.5, [0.5, -0.5]), ("beta", 2.0, [-1.0, 1.0])], "term string, idf double, coefficients array<double>"
+    )
+    tables = classifier.ModelTables(
+        terms, spark.createDataFrame([(0, "x", 0.1), (1, "y", 0.0)], "position int, label string, intercept double")
+    )
+    docs = spark.createDataFrame(
+        [(1, "alpha alpha beta other"), (2, "beta"), (3, "nothing known"), (4, ""), (5, None)], "seq long, text string"
+    )
+    scored = classifier.score_by_tables(docs, tables, [])
+    got = {r.seq: (r.ai_predicted_issue, r.ai_confidence) for r in scored.collect()}
+    margin = [0.1 + (3.0 * 0.5 - 2.0) / np.hypot(3, 2), (-1.5 + 2.0) / np.hypot(3, 2)]
+    assert got[1] == ("y", pytest.approx(np.exp(margin[1]) / np.exp(margin).sum(), abs=1e-4))
+    assert got[2][0] == "y" and {got[k] for k in (3, 4, 5)} == {("x", round(float(1 / (1 + np.exp(-0.1))), 4))}
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(seq" in plan and not re.search(r"hashpartitioning\(seq#\d+L?, term#", plan)

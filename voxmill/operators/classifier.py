@@ -223,14 +223,14 @@ def score_by_tables(
     """
     labels = tables.labels.orderBy("position").collect()  # one row per class
     words = tfidf.with_terms(docs, lx.default_stopwords() if stopwords is None else stopwords)
-    # At most max_features terms, whose bytes are checked when the model is fitted.
+    # At most max_features terms, whose bytes are checked when the model is fitted. Occurrences go by number.
+    numbered = tables.terms.withColumn("_place", F.row_number().over(W.orderBy("term")))
     known = words.select("seq", F.explode_outer("_terms").alias("term")).join(
-        F.broadcast(tables.terms.select("term", "idf")), "term", "left"
+        F.broadcast(numbered.select("term", "_place")), "term", "left"
     )
-    known = known.withColumn("term", F.when(F.col("idf").isNotNull(), F.col("term")))
-    cells = known.groupBy("seq", "term").agg(
-        (F.count(F.lit(1)) * F.coalesce(F.first("idf"), F.lit(0.0))).alias("_x")
-    ).join(F.broadcast(tables.terms.select("term", "coefficients")), "term", "left")
+    cells = known.groupBy("seq", "_place").agg(F.count(F.lit(1)).alias("_n")).join(
+        F.broadcast(numbered.select("_place", "idf", "coefficients")), "_place", "left"
+    ).withColumn("_x", F.col("_n") * F.coalesce("idf", F.lit(0.0)))
     zero = F.lit(0.0)
     sums = cells.groupBy("seq").agg(
         F.sqrt(F.sum(F.col("_x") * F.col("_x"))).alias("_norm"),
