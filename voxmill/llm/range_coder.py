@@ -25,6 +25,8 @@ import numpy as np
 MAGIC = b"VXT2"
 PRIOR_MAGIC = b"VXP2"
 BLOCK = 4096
+#: Blocks that are wanted side by side, and the length they are not cut below for that.
+LANES, SHORTEST = 2048, 1024
 MAX_ID = 1 << 16
 
 _T0, _T1, _T2 = 1 << 8, 1 << 9, 1 << 10  # places per block for each order: small, to stay in fast memory
@@ -202,11 +204,21 @@ def _write(ids: np.ndarray, steps: np.ndarray, chances, hits, prior: Prior) -> l
     return out
 
 
-def _steps(ids: np.ndarray) -> np.ndarray:
+def block_for(count: int) -> int:
+    """The block length for ``count`` ids: shorter than BLOCK where numpy would have few blocks to work on at once.
+
+    A step costs much the same for 500 blocks as for 2,000; blocks of a quarter take about 1 % more bytes.
+    """
+    return min(BLOCK, max(SHORTEST, -(-count // LANES)))
+
+
+def _steps(ids: np.ndarray, block: int = BLOCK) -> np.ndarray:
     """Blocks side by side: row t holds id t of each. The last block is filled up with its last id."""
     if int(ids.max()) >= MAX_ID:
         raise ValueError(f"ids must be below {MAX_ID}")
-    length = min(BLOCK, len(ids))
+    if not 0 < block <= BLOCK:
+        raise ValueError(f"a block must hold 1 to {BLOCK} ids")
+    length = min(block, len(ids))
     count = -(-len(ids) // length)
     padded = np.full(count * length, ids[-1], np.int32)
     padded[:len(ids)] = ids
@@ -221,11 +233,11 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
     return _write(ids, steps, *_predictions(steps), Prior.flat())
 
 
-def encode_counted(ids: np.ndarray) -> tuple[Prior, list[bytes]]:
-    """A prior counted over all blocks, and the blocks that were encoded with it."""
+def encode_counted(ids: np.ndarray, block: int = BLOCK) -> tuple[Prior, list[bytes]]:
+    """A prior counted over all blocks, and the blocks, of ``block`` ids, that were encoded with it."""
     if not len(ids):
         return Prior.flat(), []
-    steps = _steps(ids)
+    steps = _steps(ids, block)
     chances, hits = _predictions(steps)
     prior = Prior.counted(steps[~hits])
     return prior, _write(ids, steps, chances, hits, prior)

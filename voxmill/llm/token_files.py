@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from voxmill.llm.bpe import byte_letters
-from voxmill.llm.range_coder import Prior, decode_blocks, encode_counted
+from voxmill.llm.range_coder import Prior, block_for, decode_blocks, encode_counted
 from voxmill.llm.rows import map_batches, map_slices, small_side
 from voxmill.sources.shipping import ship_package
 from voxmill.sources.staging import scratch_path
@@ -39,7 +39,7 @@ SEGMENT_IDS = 8 * 1024 * 1024
 CACHE_CHUNKS = 700_000
 #: White space of the tokenizer's pattern; its words never hold any, so parts between are independent.
 _CHUNK = re.compile("[^\t-\r \x85\xa0  -     　]+")
-_CONTROL = re.compile("[\x1c-\x1f]")
+_CONTROLS = "\x1c\x1d\x1e\x1f"  # white space for str.split() only
 #: Marks that the tokenizer's pattern never joins with letters, and keeps together at the end of a part.
 _MARKS = ".,!?;:"
 #: Words of letters whose lower case and composition are theirs alone.
@@ -114,7 +114,7 @@ class Encoder:
         if len(self.pieces) > CACHE_CHUNKS:
             self.pieces = {"": b""}
         known, pieces = self.known, self.pieces
-        parts = [_CHUNK.findall(t) if _CONTROL.search(t) else t.split() for t in texts]
+        parts = [_CHUNK.findall(t) if any(map(t.count, _CONTROLS)) else t.split() for t in texts]
         found = [list(map(known.get, own)) for own in parts]
         fresh = {p for own, ids in zip(parts, found) if None in ids for p, i in zip(own, ids) if i is None}
         words = [p.rstrip(_MARKS) for p in fresh]
@@ -166,7 +166,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, text: str = "text", end_id
 
         def segment():
             joined = np.frombuffer(b"".join(ids), "<u4")
-            prior, blocks = encode_counted(joined)
+            prior, blocks = encode_counted(joined, block_for(len(joined)))
             payload = pack([prior.to_bytes(), *blocks])
             return pa.RecordBatch.from_pylist([{
                 "part": part, "segment": number, "n_ids": len(joined), "doc_ids": names,
