@@ -105,6 +105,11 @@ def node_of(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
 
+def _forget() -> None:
+    """Hashing a task's words anew costs little; kept, they would lie in the worker in all later stages."""
+    _SHINGLER.known = {}
+
+
 def _nodes(ids, keys, texts):
     for id_, key, text in zip(ids, keys, texts):
         shingles = _SHINGLER.set_of(text)
@@ -232,7 +237,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
     rows = stage(
         map_slices(
             docs.select(F.col(id_col).cast("long").alias("id"), F.md5(value).alias("tkey"), value.alias("_t")),
-            _NODE, _nodes,
+            _NODE, _nodes, done=_forget,
         ),
         "near-rows",
     )
@@ -288,7 +293,7 @@ def verified(texts: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
         T.StructField("weight", T.LongType()), T.StructField("set", T.BinaryType()),
     ])
     fetched = stage(
-        map_slices(chosen.select("group", "node", "weight", "_t"), schema, sets), "near-sets"
+        map_slices(chosen.select("group", "node", "weight", "_t"), schema, sets, done=_forget), "near-sets"
     )
     blocks = _blocks(fetched, ["group"], "node")
     pairs = stage(

@@ -43,12 +43,14 @@ def map_batches(
 
 
 def map_slices(
-    df: DataFrame, schema: T.StructType, work: Callable[..., Iterable[tuple]], rows: int = SLICE_ROWS
+    df: DataFrame, schema: T.StructType, work: Callable[..., Iterable[tuple]], rows: int = SLICE_ROWS,
+    done: Callable[[], None] | None = None,
 ) -> DataFrame:
     """Feed ``df`` to ``work`` in slices of at most ``rows`` rows, one list per column.
 
     ``work(*columns)`` yields result tuples in the order of ``schema``. A slice bounds what a
-    Python worker holds besides the Arrow batch itself.
+    Python worker holds besides the Arrow batch itself. ``done`` drops at the end of a task what
+    ``work`` kept, as workers live on into later stages.
     """
     ship_package(df.sparkSession)
     target = to_arrow_schema(schema)
@@ -63,6 +65,8 @@ def map_slices(
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(list(c), f.type) for c, f in zip(columns, target)], schema=target
                     )
+        if done:
+            done()
         release()
 
     return map_batches(df, run, schema)
