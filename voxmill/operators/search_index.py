@@ -11,7 +11,8 @@ Tables under the index's folder:
 A search reads the postings of its terms and no text. Largest weights bound what a block can give: the
 blocks that promise most are scored first, and only those that can beat their results after that. With
 many queries bounds hold few blocks back, and a row per query and block, or document, would fill the disk:
-then a task scores all queries against a chunk of blocks and passes on ``top_k`` rows of each query.
+then a task scores all queries against a chunk of blocks and passes on ``top_k`` rows of each query, those
+documents only that can beat the results of the first chunk.
 """
 
 from __future__ import annotations
@@ -19,12 +20,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from voxmill import lexicons as lx
-from voxmill.functions import scoring
+from voxmill.functions import counting, scoring
 from voxmill.functions import text as tx
 from voxmill.operators import filters, numbering, tfidf
 from voxmill.sources.shipping import ship_package
@@ -39,6 +41,8 @@ NAMED_TERMS = 1000
 MANY_QUERIES = 256
 #: Blocks of a chunk, and queries that meet it in one task.
 CHUNK_BLOCKS, CHUNK_QUERIES = 32, 200_000
+#: Queries that meet the first chunk in one task, where no document is left out.
+FIRST_QUERIES = 4000
 #: Parts in which the best rows of a query are found before the best of all.
 SPREAD = 64
 #: Bounds and similarities are sums of the same numbers in another order.
@@ -77,27 +81,31 @@ def build(
         tokens, words, max_features, counted.groupBy("term").agg(F.sum("total").alias("total"))
     )
     model.vocabulary.write.parquet(f"{path}/vocabulary")
-    vector = tfidf.sparse("_weights")
-    vectors = stage(tfidf.weigh(tokens.select("seq", "_tokens"), model).select(
-        "seq", F.arrays_zip(vector["indices"].alias("index"), vector["values"].alias("weight")).alias("_cells")
-    ).where(F.size("_cells") > 0), "vectors")
+    vectors = stage(tfidf.weighed_cells(tokens, model).where("seq is not null"), "vectors")
     # Only numbers are ranked: a bucket of a million documents meets in one task, without their vectors.
     blocks = numbering.positions(vectors.select("seq"), "seq", "_pos").select(
         "seq", F.floor((F.col("_pos") - 1) / BLOCK_DOCS).cast("long").alias("block")
-    ).groupBy("seq").agg(F.max("block").alias("block"))  # rows of one number share a position
-    placed = vectors.join(blocks, "seq").select("block", "seq", F.inline("_cells"))
-    listed = placed.groupBy("index", "block").agg(  # at most BLOCK_DOCS rows a group
-        F.max("weight").alias("top"), F.sort_array(F.collect_list(F.struct("seq", "weight"))).alias("_list")
+    )  # rows of one number share a position
+    # Positions go up with the numbers: where a block starts, two numbers for each, tells the block of a document.
+    first = blocks.groupBy("block").agg(F.min("seq").alias("seq")).orderBy("block").collect()
+    starts = spark.sparkContext.broadcast(np.array([[r.seq, r.block] for r in first], np.int64).reshape(-1, 2).T)
+    placed = vectors.mapInArrow(
+        lambda batches: counting.in_blocks(batches, *starts.value), f"{_ddl(vectors)}, block long"
+    )
+    listed = placed.groupBy("block").applyInArrow(  # at most BLOCK_DOCS different numbers a group
+        counting.postings, "index int, block long, top double, seqs array<long>, weights array<double>"
     )
-    listed.select(
-        "index", "block", "top", F.col("_list.seq").alias("seqs"), F.col("_list.weight").alias("weights")
-    ).repartitionByRange("index", "block").sortWithinPartitions("index", "block").write.parquet(f"{path}/postings")
+    listed.repartitionByRange("index", "block").sortWithinPartitions("index", "block").write.parquet(f"{path}/postings")
     spark.range(1).select(
         F.lit(max_features).alias("max_features"), F.array(*map(F.lit, words)).cast("array<string>").alias("stopwords")
     ).write.parquet(f"{path}/settings")
     return open_index(spark, path)
 
 
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+
+
 def open_index(spark: SparkSession, path: str) -> SearchIndex:
     settings = spark.read.parquet(f"{path}/settings").first()
     tables = (spark.read.parquet(f"{path}/{t}") for t in ("tokens", "vocabulary", "postings", "word_totals"))
@@ -165,24 +173,45 @@ def similar(index: SearchIndex, queries: DataFrame, top_k: int) -> DataFrame:
 def _similar_to_many(index: SearchIndex, terms: DataFrame, asked: int, top_k: int) -> DataFrame:
     """``similar`` for the staged ``terms`` of many queries: work on pairs is done within tasks.
 
-    A task holds a chunk of documents and the terms of a part of the queries; only the best rows of each
-    query and chunk are shuffled.
+    The first chunk of documents is scored in full. What a query's last result has there, the results of all
+    chunks must have, so most documents of the others are left out by a bound.
+    """
+    terms = terms.where("query_no is not null")
+    chunks = index.postings.agg(F.coalesce(F.max("block"), F.lit(0))).first()[0] // CHUNK_BLOCKS + 1
+    none = terms.withColumn("least", F.lit(None).cast("double"))
+    if chunks == 1:
+        return _best_of_chunks(index.postings, none, asked, 1, CHUNK_QUERIES, top_k)
+    start = index.postings.where(F.col("block") < CHUNK_BLOCKS)
+    found = _best_of_chunks(start, none, asked, 1, FIRST_QUERIES, top_k)
+    least = stage(found.groupBy("query_no").agg(
+        F.when(F.count(F.lit(1)) == top_k, F.min("sim")).alias("least")
+    ), "search-least")
+    known = terms.join(broadcast_if_small(least), "query_no", "left")
+    return _best_of_chunks(index.postings, known, asked, chunks, CHUNK_QUERIES, top_k)
+
+
+def _best_of_chunks(
+    postings: DataFrame, terms: DataFrame, asked: int, chunks: int, together: int, top_k: int
+) -> DataFrame:
+    """(query_no, seq, sim): the best documents that ``postings`` have for the queries of ``terms``.
+
+    A task holds a chunk of documents and the terms of a part of the queries, about ``together`` of them; only
+    the best rows of each query and chunk are shuffled.
     """
     ship_package(terms.sparkSession)
-    parts = -(-asked // CHUNK_QUERIES)
+    parts = -(-asked // together)
     all_parts = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
     used = terms.select("index").distinct()  # at most the vocabulary
     chunk = F.expr(f"block div {CHUNK_BLOCKS}").alias("chunk")
-    postings = index.postings.join(F.broadcast(used), "index", "left_semi").select(
+    cells = postings.join(F.broadcast(used), "index", "left_semi").select(
         all_parts, chunk, "index", "seqs", "weights")
-    last = index.postings.agg(F.coalesce(F.max("block"), F.lit(0))).first()[0] // CHUNK_BLOCKS
     part = F.pmod(F.xxhash64("query_no"), F.lit(parts)).cast("int").alias("part")
-    dealt = terms.where("query_no is not null").select(
-        part, F.explode(F.expr(f"sequence(0L, {last}L)")).alias("chunk"),
-        "query_no", "index", "query_weight",
+    dealt = terms.select(
+        part, F.explode(F.expr(f"sequence(0L, {chunks - 1}L)")).alias("chunk"),
+        "query_no", "index", "query_weight", "least",
     )
     kind = terms.schema["query_no"].dataType.simpleString()
-    scored = postings.groupBy("part", "chunk").cogroup(dealt.groupBy("part", "chunk")).applyInArrow(
+    scored = cells.groupBy("part", "chunk").cogroup(dealt.groupBy("part", "chunk")).applyInArrow(
         lambda docs, asking: scoring.best_of_chunk(docs, asking, top_k),
         f"query_no {kind}, seq long, sim double",
     )

@@ -183,6 +183,22 @@ def weigh(docs: DataFrame, model: TfidfModel) -> DataFrame:
     return weighed.drop("_terms", "_scaled")
 
 
+def weighed_cells(tokens: DataFrame, model: TfidfModel) -> DataFrame:
+    """(seq, index, weight): the terms of a token table's documents by number, those without any left out.
+
+    The weights of ``weigh`` as arrays, made in the workers without a string for each pair.
+    """
+    spark = tokens.sparkSession
+    counter, scaler, _ = model.pipeline.stages
+    terms = _sent(spark, counter.vocabulary)
+    idf = spark.sparkContext.broadcast(scaler.getScalingVec().toArray())
+    kind = tokens.schema["seq"].dataType.simpleString()
+    return tokens.select("_tokens", "seq").mapInArrow(
+        lambda batches: counting.document_weights(batches, terms.value.to_pylist(), idf.value),
+        f"seq {kind}, index array<int>, weight array<double>",
+    )
+
+
 def sparse(vector: str) -> Column:
     """The ``indices`` and ``values`` of a sparse vector as a struct of arrays."""
     return F.unwrap_udt(vector)
