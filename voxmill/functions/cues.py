@@ -13,7 +13,7 @@ from voxmill.sources.shipping import ship_package
 SLICE_ROWS = 256
 
 
-def _values(column: pa.Array) -> Iterator:
+def values(column: pa.Array) -> Iterator:
     """The values of ``column``; few of them are Python objects at a time."""
     for at in range(0, len(column), SLICE_ROWS):
         yield from column.slice(at, SLICE_ROWS).to_pylist()
@@ -26,13 +26,31 @@ def hits(lowered: Column, *lists: Sequence[str]) -> Column:
 
     def count(texts: pa.Array) -> pa.Array:
         return pa.array(
-            [None if t is None else [sum([k in t for k in ks]) for ks in wanted] for t in _values(texts)],
+            [None if t is None else [sum([k in t for k in ks]) for ks in wanted] for t in values(texts)],
             pa.list_(pa.int32()),
         )
 
     return F.arrow_udf(count, "array<int>")(lowered)
 
 
+def found(texts: Column, *lists: Sequence[str]) -> Column:
+    """Whether any keyword of each of ``lists`` occurs, as an array; null for a null text."""
+    ship_package(SparkSession.active())
+    # A keyword that holds another one of its list tells nothing more.
+    wanted = [
+        tuple(k.encode() for k in dict.fromkeys(keywords) if not any(o in k for o in keywords if o != k))
+        for keywords in lists
+    ]
+
+    def look(column: pa.Array) -> pa.Array:
+        return pa.array(
+            [None if t is None else [any(k in t for k in ks) for ks in wanted] for t in values(column.cast(pa.binary()))],
+            pa.list_(pa.bool_()),
+        )
+
+    return F.arrow_udf(look, "array<boolean>")(texts)
+
+
 def sentence_ranks(lowered: Column, focus_terms: Sequence[str]) -> Column:
     """For each sentence of an array minus its points: two a focus term, one per ten of its first 40 words.
 
@@ -47,6 +65,6 @@ def sentence_ranks(lowered: Column, focus_terms: Sequence[str]) -> Column:
         return -(2 * sum([t in sentence for t in terms]) + min(len(sentence.split()), 40) // 10)
 
     def ranks(texts: pa.Array) -> pa.Array:
-        return pa.array([None if t is None else [rank(s) for s in t] for t in _values(texts)], pa.list_(pa.int32()))
+        return pa.array([None if t is None else [rank(s) for s in t] for t in values(texts)], pa.list_(pa.int32()))
 
     return F.arrow_udf(ranks, "array<int>")(lowered)

@@ -14,8 +14,9 @@ from voxmill.functions import text as tx
 
 def issue_labels(lowered: Column, taxonomy: Mapping[str, Sequence[str]] = lx.ISSUE_TAXONOMY):
     """Every label one of whose keywords occurs, in taxonomy order; ``other`` when none does."""
+    any_of = cues.found(lowered, *taxonomy.values())
     found = F.array_compact(
-        F.array(*[F.when(tx.contains_any(lowered, ks), F.lit(lb)) for lb, ks in taxonomy.items()])
+        F.array(*[F.when(F.get(any_of, F.lit(i)), F.lit(lb)) for i, lb in enumerate(taxonomy)])
     )
     return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(lx.OTHER_LABEL)))
 

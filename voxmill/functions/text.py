@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from voxmill.functions.plain import plain_words
+
 # All Unicode white space: Java's class leaves out the non-breaking spaces and next line.
 SPACE = r"\p{javaWhitespace}\x{85}\x{a0}\x{2007}\x{202f}"
 #: The same, one by one.
@@ -34,9 +36,7 @@ def non_empty(c: Column) -> Column:
 
 def normalize_text(c: Column) -> Column:
     """Lower case, no links, only a-z and 0-9 words, single spaces."""
-    lowered = F.lower(F.coalesce(c, F.lit("")))
-    no_links = F.regexp_replace(lowered, f"http[^{SPACE}]+", " ")
-    return F.trim(F.regexp_replace(no_links, "[^a-z0-9]+", " "))
+    return plain_words(F.lower(F.coalesce(c, F.lit(""))), SPACES)
 
 
 def tokenize(text: str, stopwords: Sequence[str]) -> Column:
