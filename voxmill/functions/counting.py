@@ -63,7 +63,7 @@ def _term_cells(batches: Iterable[pa.RecordBatch], terms: list[str]) -> Iterator
     for i, p in enumerate(parts):
         if len(p) == 1:
             single[at[p[0]]] = i
-        else:
+        elif len(p) == 2:
             pairs[at[p[0]] * len(words) + at[p[1]]] = i
     pair_keys = np.array([*sorted(pairs), np.iinfo(np.int64).max])
     pair_place = np.array([*(pairs[k] for k in pair_keys[:-1].tolist()), -1])
@@ -86,6 +86,33 @@ def document_counts(batches: Iterable[pa.RecordBatch], terms: list[str]) -> Iter
     yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(seen[some])], ["i", "n"])
 
 
+def document_cells(batches: Iterable[pa.RecordBatch], terms: list[str]) -> Iterator[pa.RecordBatch]:
+    """(seq, place, n) of (tokens, seq): the places of a document's terms and how often they occur in it."""
+    for cells, counts, part in _term_cells(batches, terms):
+        of, place = np.divmod(cells, max(len(terms), 1))
+        ends = pa.array(np.searchsorted(of, np.arange(part.num_rows + 1)), pa.int32())
+        yield pa.RecordBatch.from_arrays([
+            part.column(1), pa.ListArray.from_arrays(ends, pa.array(place, pa.int32())),
+            pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64())),
+        ], ["seq", "place", "n"])
+
+
+def unit_vectors(tokens: pa.Array, terms: list[str], idf: np.ndarray) -> pa.Array:
+    """The weights of ``document_weights`` as sparse vectors of Spark's ML, one for each list."""
+    batch = pa.RecordBatch.from_arrays([tokens, pa.array(np.arange(len(tokens)))], ["tokens", "seq"])
+    ends, index, weight = np.zeros(len(tokens) + 1, np.int64), [np.empty(0, np.int32)], [np.empty(0)]
+    for part in document_weights([batch], terms, idf):
+        ends[part.column("seq").to_numpy() + 1] = part.column("index").value_lengths().to_numpy()
+        index.append(part.column("index").flatten().to_numpy())
+        weight.append(part.column("weight").flatten().to_numpy())
+    ends = pa.array(np.cumsum(ends), pa.int32())
+    return pa.StructArray.from_arrays([
+        pa.array(np.zeros(len(tokens)), pa.int8()), pa.array(np.full(len(tokens), idf.size), pa.int32()),
+        pa.ListArray.from_arrays(ends, pa.array(np.concatenate(index), pa.int32())),
+        pa.ListArray.from_arrays(ends, pa.array(np.concatenate(weight), pa.float64())),
+    ], ["type", "size", "indices", "values"])
+
+
 def document_weights(
     batches: Iterable[pa.RecordBatch], terms: list[str], idf: np.ndarray
 ) -> Iterator[pa.RecordBatch]:

@@ -131,10 +131,10 @@ def fit_classifier(
         [(label, float(i), share.get(label, 1.0)) for i, label in enumerate(labels)],
         "label string, _index double, _weight double",
     )
-    weighed = tfidf.weigh(train, model).join(F.broadcast(classes), "label", "left")
+    weighed = tfidf.weigh_by_number(train, model, "features").join(F.broadcast(classes), "label", "left")
     ready = stage(
         weighed.select(
-            F.col("_weights").alias("features"), F.coalesce("_index", F.lit(0.0)).alias("_index"),
+            "features", F.coalesce("_index", F.lit(0.0)).alias("_index"),
             F.coalesce("_weight", F.lit(1.0)).alias("_weight"),
         ),
         "training",
@@ -150,13 +150,13 @@ def fit_classifier(
 
 def predict(docs: DataFrame, classifier: IssueClassifier) -> DataFrame:
     """(seq, text) or a token table, with ``ai_predicted_issue`` and ``ai_confidence``."""
-    rows = tfidf.weigh(docs, classifier.features).withColumnRenamed("_weights", "features")
+    rows = tfidf.weigh_by_number(docs, classifier.features, "features")
     scored = classifier.regression.transform(rows)
     names = F.array(*[F.lit(label) for label in classifier.labels])
     return scored.withColumns({
         "ai_predicted_issue": F.get(names, F.col("_prediction").cast("int")),
         "ai_confidence": F.round(F.array_max(vector_to_array("_probability")), 4),
-    }).drop("_counts", "features", "_raw", "_probability", "_prediction")
+    }).drop("features", "_raw", "_probability", "_prediction")
 
 
 def predict_all(records: DataFrame, classifier: IssueClassifier) -> DataFrame:
@@ -217,20 +217,21 @@ def score_by_tables(
 ) -> DataFrame:
     """(seq, ai_predicted_issue, ai_confidence, probabilities) from joins and sums alone.
 
-    ``docs`` is (seq, text) or a token table; ``seq`` is unique. A document is counted down to its
-    vocabulary terms and one row for all others before the shuffle, so one without any keeps a row and
-    gets the intercepts' label. Equal probabilities: the first label. An empty text is such a document.
+    ``docs`` is (seq, text) or a token table; ``seq`` is unique. A document is counted in the workers, by the
+    number of a vocabulary term, and is one row of the shuffle; one without any term keeps a row and gets the
+    intercepts' label. Equal probabilities: the first label. An empty text is such a document.
     """
     labels = tables.labels.orderBy("position").collect()  # one row per class
-    words = tfidf.with_terms(docs, lx.default_stopwords() if stopwords is None else stopwords)
     # At most max_features terms, whose bytes are checked when the model is fitted. Occurrences go by number.
-    numbered = tables.terms.withColumn("_place", F.row_number().over(W.orderBy("term")))
-    known = words.select("seq", F.explode_outer("_terms").alias("term")).join(
-        F.broadcast(numbered.select("term", "_place")), "term", "left"
+    numbered = tables.terms.where("term is not null").withColumn("_place", F.dense_rank().over(W.orderBy("term")) - 1)
+    terms = [r.term for r in numbered.select("term", "_place").distinct().orderBy("_place").collect()]
+    counted = tfidf.term_counts(docs, terms, lx.default_stopwords() if stopwords is None else stopwords)
+    known = counted.repartition("seq").select(
+        "seq", F.inline_outer(F.arrays_zip(F.col("place").alias("_place"), F.col("n").alias("_n")))
     )
-    cells = known.groupBy("seq", "_place").agg(F.count(F.lit(1)).alias("_n")).join(
+    cells = known.groupBy("seq", "_place").agg(F.sum("_n").alias("_n")).join(
         F.broadcast(numbered.select("_place", "idf", "coefficients")), "_place", "left"
-    ).withColumn("_x", F.col("_n") * F.coalesce("idf", F.lit(0.0)))
+    ).withColumn("_x", F.coalesce("_n", F.lit(0)) * F.coalesce("idf", F.lit(0.0)))
     zero = F.lit(0.0)
     sums = cells.groupBy("seq").agg(
         F.sqrt(F.sum(F.col("_x") * F.col("_x"))).alias("_norm"),

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -183,15 +183,17 @@ def weigh(docs: DataFrame, model: TfidfModel) -> DataFrame:
     return weighed.drop("_terms", "_scaled")
 
 
+def _sent_model(spark: SparkSession, model: TfidfModel) -> tuple[Broadcast, Broadcast]:
+    counter, scaler, _ = model.pipeline.stages
+    return _sent(spark, counter.vocabulary), spark.sparkContext.broadcast(scaler.getScalingVec().toArray())
+
+
 def weighed_cells(tokens: DataFrame, model: TfidfModel) -> DataFrame:
     """(seq, index, weight): the terms of a token table's documents by number, those without any left out.
 
     The weights of ``weigh`` as arrays, made in the workers without a string for each pair.
     """
-    spark = tokens.sparkSession
-    counter, scaler, _ = model.pipeline.stages
-    terms = _sent(spark, counter.vocabulary)
-    idf = spark.sparkContext.broadcast(scaler.getScalingVec().toArray())
+    terms, idf = _sent_model(tokens.sparkSession, model)
     kind = tokens.schema["seq"].dataType.simpleString()
     return tokens.select("_tokens", "seq").mapInArrow(
         lambda batches: counting.document_weights(batches, terms.value.to_pylist(), idf.value),
@@ -199,6 +201,27 @@ def weighed_cells(tokens: DataFrame, model: TfidfModel) -> DataFrame:
     )
 
 
+def weigh_by_number(docs: DataFrame, model: TfidfModel, to: str) -> DataFrame:
+    """Add the vector ``_weights`` of ``weigh`` as ``to``, made in the workers, in place of text or tokens."""
+    terms, idf = _sent_model(docs.sparkSession, model)
+
+    def vectors(tokens: pa.Array) -> pa.Array:
+        return counting.unit_vectors(tokens, terms.value.to_pylist(), idf.value)
+
+    cut = tokenized(docs, model.stopwords)
+    return cut.withColumn(to, F.arrow_udf(vectors, VectorUDT())("_tokens")).drop("_tokens")
+
+
+def term_counts(docs: DataFrame, terms: list[str], stopwords: Sequence[str]) -> DataFrame:
+    """(seq, place, n) of documents or a token table: arrays of the places in ``terms`` and the counts."""
+    known = _sent(docs.sparkSession, terms)
+    kind = docs.schema["seq"].dataType.simpleString()
+    return tokenized(docs, stopwords).select("_tokens", "seq").mapInArrow(
+        lambda batches: counting.document_cells(batches, known.value.to_pylist()),
+        f"seq {kind}, place array<int>, n array<long>",
+    )
+
+
 def sparse(vector: str) -> Column:
     """The ``indices`` and ``values`` of a sparse vector as a struct of arrays."""
     return F.unwrap_udt(vector)
