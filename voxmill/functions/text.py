@@ -36,7 +36,8 @@ def non_empty(c: Column) -> Column:
 
 def normalize_text(c: Column) -> Column:
     """Lower case, no links, only a-z and 0-9 words, single spaces."""
-    return plain_words(F.lower(F.coalesce(c, F.lit(""))), SPACES)
+    lowered = F.lower(F.coalesce(c, F.lit("")))
+    return plain_words(F.regexp_replace(lowered, f"http[^{SPACE}]+", " "))
 
 
 def tokenize(text: str, stopwords: Sequence[str]) -> Column:
